@@ -44,44 +44,51 @@ def newest_first(error_log: DataFrame) -> DataFrame:
 def run_counters(
     job_name: str,
     step_name: str,
-    lines: DataFrame,
-    distinct: DataFrame | None,
+    processed: DataFrame,
     rejected: Column,
-    malformed: Column | None = None,
+    copies: str | None = None,
+    unreadable: DataFrame | None = None,
 ) -> DataFrame:
     """One row: lines read, written, filtered and skipped, by stage.
 
-    ``lines`` is the feed as it arrived, ``distinct`` what copies were dropped
-    to (the feed itself where nothing is dropped) with ``rejected`` telling its
-    rejects.  Both are plain aggregates over few columns, so they stay exact
-    when tasks are retried.
+    ``processed`` has one row per distinct line; ``copies`` names its column
+    with the number of lines each stands for (one, if not given).  All counts
+    are plain aggregates, so they stay exact when tasks are retried.
     """
-    unreadable = F.count_if(malformed) if malformed is not None else F.lit(0).cast("long")
-    arrived = lines.agg(
-        (F.count(F.lit(1)) - unreadable).alias("leidos"),
-        unreadable.alias("saltados_lectura"),
-    )
-    outcome = (lines if distinct is None else distinct).agg(
+    nothing = F.lit(0).cast("long")
+    counts = processed.agg(
+        (F.sum(copies) if copies else F.count(F.lit(1))).alias("leidos"),
         F.count(F.lit(1)).alias("unicos"),
+        nothing.alias("saltados_lectura"),
         F.count_if(rejected).alias("saltados_proceso"),
     )
-    write_skips = F.lit(0).cast("long")
-    # One row beside one row: paired on a constant key.
-    paired = arrived.withColumn("__one", F.lit(1)).join(
-        outcome.withColumn("__one", F.lit(1)), "__one"
-    )
-    return paired.select(
+    if unreadable is not None:
+        counts = counts.unionByName(
+            unreadable.agg(
+                nothing.alias("leidos"),
+                nothing.alias("unicos"),
+                F.count(F.lit(1)).alias("saltados_lectura"),
+                nothing.alias("saltados_proceso"),
+            )
+        ).agg(
+            *[
+                F.sum(name).alias(name)
+                for name in ("leidos", "unicos", "saltados_lectura", "saltados_proceso")
+            ]
+        )
+    read = F.coalesce(F.col("leidos"), nothing)
+    skipped = F.col("saltados_lectura") + F.col("saltados_proceso")
+    return counts.select(
         F.lit(job_name).alias("job_name"),
         F.lit(step_name).alias("step_name"),
-        "leidos",
+        read.alias("leidos"),
         (F.col("unicos") - F.col("saltados_proceso")).alias("escritos"),
-        (F.col("leidos") - F.col("unicos")).alias("filtrados"),
+        (read - F.col("unicos")).alias("filtrados"),
         "saltados_lectura",
         "saltados_proceso",
-        write_skips.alias("saltados_escritura"),
-        (F.col("saltados_lectura") + F.col("saltados_proceso") + write_skips).alias(
-            "total_saltados"
-        ),
+        # A row that cannot be stored fails the run: nothing is skipped on write.
+        nothing.alias("saltados_escritura"),
+        skipped.alias("total_saltados"),
     )
 
 

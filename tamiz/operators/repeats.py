@@ -111,17 +111,19 @@ def _join_hot_and_cold(
     )
 
 
-def drop_copies(rows: DataFrame, keys: Sequence[Column], seq: str) -> DataFrame:
-    """One row per key: the one with the lowest ``seq``, as it was spelled.
+def drop_copies(
+    rows: DataFrame, keys: Sequence[Column], seq: str, copies: str = "copies"
+) -> DataFrame:
+    """One row per key, the one with the lowest ``seq`` as it was spelled, and
+    how many rows it stands for.
 
     A single aggregate, no join.  Copies combine on the map side, so a group of
     identical rows shrinks to one candidate per input task before the shuffle.
     """
     names = [f"__key_{position}" for position in range(len(keys))]
     others = [column for column in rows.columns if column != seq]
-    survivor = F.min(F.struct(seq, *others)).alias("__row")
     return (
         rows.groupBy(*[key.alias(name) for key, name in zip(keys, names)])
-        .agg(survivor)
-        .select(*[F.col(f"__row.{column}").alias(column) for column in rows.columns])
+        .agg(F.min(F.struct(seq, *others)).alias("__row"), F.count(F.lit(1)).alias(copies))
+        .select(*[F.col(f"__row.{column}").alias(column) for column in rows.columns], copies)
     )

@@ -60,7 +60,7 @@ def distinct_accounts(feed: DataFrame, seq: str = "seq") -> DataFrame:
     looks at them: a repeated bad row is rejected once."""
     accounts = clean_accounts(feed, seq)
     keys = [normalise(F.col(name)) for name in v.ACCOUNT_FIELDS]
-    return drop_copies(accounts, keys, "seq")
+    return drop_copies(accounts, keys, "seq", "copias")
 
 
 def account_rejects(allowed_types) -> list[Reject]:
@@ -110,8 +110,8 @@ def parse_accounts(accounts: DataFrame) -> DataFrame:
 def classify_accounts(
     feed: DataFrame, config: InterestConfig = InterestConfig(), seq: str = "seq"
 ) -> DataFrame:
-    """One row per distinct account line: cleaned fields, parsed fields and the
-    reason it is rejected (NULL = kept)."""
+    """One row per distinct account line: cleaned fields, number of copies,
+    parsed fields and the reason it is rejected (NULL = kept)."""
     parsed = parse_accounts(distinct_accounts(feed, seq))
     rejects = account_rejects(tuple(config.rates))
     return parsed.select("*", first_reason(rejects).alias(REJECT_REASON))

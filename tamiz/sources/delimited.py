@@ -13,9 +13,11 @@ from tamiz.operators.rules import REJECT_REASON
 from tamiz.session import checkpointed, staged
 
 MALFORMED = "_corrupt"
-FILE, BLOCK, POSITION, INDEX = "_file", "_block", "_position", "seq"
-LINE = "_line"
-_PATH_BYTES_BROADCAST = 64 << 20
+FILE, BLOCK, POSITION, LINE = "_file", "_block", "_position", "_line"
+SEQ = "seq"
+_FIRST, _BEFORE, _BEFORE_FILE = "__first_position", "__rows_before", "__rows_before_file"
+_HEADER_LINES = 1
+BROADCAST_BYTES = 64 << 20
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -24,36 +26,24 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[
 
     The header is skipped by position, whatever it says; ``#`` lines are
     comments.  Column pruning is off in the parser: with it on, a query that
-    reads a part of the columns would not notice a ragged line.  Lines stay
-    single (no multi-line fields), so files split.
+    reads a part of the columns would not notice a ragged line.  A field cannot
+    span lines, so large files split.
     """
     schema = StructType([StructField(name, StringType()) for name in (*fields, MALFORMED)])
-    paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.csv(
-        paths,
-        schema=schema,
-        header=True,
-        enforceSchema=True,
-        sep=",",
-        quote='"',
-        escape='"',
-        comment="#",
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=MALFORMED,
-        multiLine=False,
-        encoding="UTF-8",
-    ) if False else (
+    lines = (
         spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("sep", ",")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("comment", "#")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .option("columnPruning", "false")
-        .csv(paths)
+        .options(
+            header=True,
+            enforceSchema=True,
+            sep=",",
+            quote='"',
+            escape='"',
+            comment="#",
+            mode="PERMISSIVE",
+            columnNameOfCorruptRecord=MALFORMED,
+            columnPruning=False,
+        )
+        .csv([path] if isinstance(path, str) else list(path))
     )
     return lines.select(
         *schema.fieldNames(),
@@ -61,3 +51,64 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(POSITION),
     )
+
+
+def stage_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """The lines of ``path``, parsed once into the shared folder and numbered.
+
+    Everything a job does afterwards reads this columnar copy: the text is
+    parsed once, positions no longer depend on how it was split, and a lost
+    executor costs a re-read rather than a re-parse.
+    """
+    return number_lines(staged(read_lines(spark, path, fields), "lines"))
+
+
+def number_lines(lines: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``lines`` with ``seq``, their index in the whole input (0, 1, 2 ..., files
+    in path order), and ``_line``, the line number in the file.
+
+    A line's position inside its file split is known when it is read; what is
+    missing is the number of lines before the split.  That table has one row
+    per split, so its size follows the number of input blocks: it is measured
+    and broadcast while small, joined by shuffle (a split is a bounded group)
+    beyond that.
+    """
+    splits = checkpointed(
+        lines.groupBy(FILE, BLOCK).agg(
+            F.count(F.lit(1)).alias("rows"), F.min(POSITION).alias(_FIRST)
+        )
+    )
+    earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    within = splits.select(
+        FILE, BLOCK, _FIRST, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(_BEFORE)
+    )
+    # One row per input file, a list the driver holds anyway to plan the scan.
+    all_earlier = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+    files = (
+        splits.groupBy(FILE)
+        .agg(F.sum("rows").alias("rows"))
+        .select(FILE, F.coalesce(F.sum("rows").over(all_earlier), F.lit(0)).alias(_BEFORE_FILE))
+    )
+    offsets = checkpointed(within.join(files, FILE))
+    size = offsets.agg(F.sum(F.octet_length(FILE) + F.lit(40))).first()[0] or 0
+    if size <= broadcast_bytes:
+        offsets = F.broadcast(offsets)
+    in_file = F.col(_BEFORE) + F.col(POSITION) - F.col(_FIRST)
+    return (
+        lines.join(offsets, [FILE, BLOCK])
+        .withColumn(SEQ, F.col(_BEFORE_FILE) + in_file)
+        .withColumn(LINE, in_file + F.lit(_HEADER_LINES + 1))
+        .drop(_FIRST, _BEFORE, _BEFORE_FILE, POSITION, BLOCK)
+    )
+
+
+def readable(lines: DataFrame) -> DataFrame:
+    return lines.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def malformed(lines: DataFrame) -> DataFrame:
+    """Lines with the wrong number of fields, with the reason for the log."""
+    reason = message(
+        f"{v.MALFORMED_LINE}: {v.MSG_MALFORMED_LINE}", F.col(LINE), F.col(FILE), F.col(MALFORMED)
+    )
+    return lines.where(F.col(MALFORMED).isNotNull()).select(SEQ, reason.alias(REJECT_REASON))

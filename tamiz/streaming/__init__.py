@@ -1,0 +1,5 @@
+"""Empty on purpose: the workloads this library reproduces are bounded batches.
+
+The row rules are stateless Column expressions and apply to a streaming
+DataFrame as they are (``classify_movements`` needs nothing else).
+"""
