@@ -16,7 +16,12 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--warehouse", required=True, help="folder of the output tables")
     parser.add_argument("--run-id", help="repeat a run: replaces that run's rows")
     chosen = parser.parse_args(arguments)
-    spark = SparkSession.builder.appName(f"tamiz {chosen.job}").getOrCreate()
+    spark = (
+        SparkSession.builder.appName(f"tamiz {chosen.job}")
+        # A generated method above 8000 bytes is never compiled to machine code.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .getOrCreate()
+    )
     result = run_job(spark, chosen.job, chosen.source, chosen.warehouse, chosen.run_id)
     print(f"{result.job_name} run {result.run_id}: {result.seconds:.1f} s")
     for row in result.counters.collect():

@@ -23,7 +23,7 @@ from tamiz.functions.text import clean, is_blank, normalise, render_row
 from tamiz.operators.histogram import rows_per_worker, status_histogram, worker_name
 from tamiz.operators.quality import reject_log, rejects_by_slice, run_counters
 from tamiz.operators.repeats import flag_repeats
-from tamiz.operators.rules import REJECT_REASON, split
+from tamiz.operators.rules import REJECT_REASON, REJECTED, split
 from tamiz.operators.slices import slice_feed, slice_of, slice_table
 from tamiz.plans import interest, statements, transactions
 from tamiz.plans.jobs import run_job
@@ -49,7 +49,7 @@ def _parsed_dates(spark: SparkSession, sf_dir: str, month_end: str) -> DataFrame
         feeds.transactions(spark, sf_dir)
         .select("seq", clean(F.col("fecha")).alias("texto"))
         .select("seq", "texto", flexible_date(text, month_end).alias("fecha"))
-        .select("*", date_problem(text, F.col("fecha")).alias("problema"))
+        .select("*", F.when(F.col("fecha").isNull(), date_problem(text)).alias("problema"))
     )
 
 
@@ -82,7 +82,7 @@ def category_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = clean(F.col("tipo"))
     return (
         feeds.transactions(spark, sf_dir)
-        .select("seq", normalise(text).alias("tipo"), is_blank(F.col("id")).alias("id_vacio"))
+        .select("seq", normalise(text).alias("tipo"), is_blank(clean(F.col("id"))).alias("id_vacio"))
         .select("*", F.col("tipo").isin(*v.TRANSACTION_TYPES).alias("permitido"))
     )
 
@@ -235,8 +235,9 @@ def outcome_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_counters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = interest.InterestConfig()
     classified = interest.classify_accounts(feeds.accounts(spark, sf_dir), config)
-    rejected = F.col(REJECT_REASON).isNotNull()
-    return run_counters(config.job_name, config.step_name, classified, rejected, "copias")
+    return run_counters(
+        config.job_name, config.step_name, classified, F.col(REJECTED), "copias"
+    )
 
 
 def reject_gate_by_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,7 +249,7 @@ def reject_gate_by_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects_by_slice(
         interest.classify_accounts(feed, config),
         slice_of(F.col("seq"), slices),
-        F.col(REJECT_REASON).isNotNull(),
+        F.col(REJECTED),
         config.reject_limit,
     )
 

@@ -7,11 +7,10 @@ from pyspark.sql import Column, functions as F
 from tamiz import vocabulary as v
 from tamiz.functions.text import is_blank, message
 
-# The layouts dd-MM-yyyy and dd/MM/yyyy, rewritten year first ...
-_DAY_FIRST = r"^(\d{2})([-/])(\d{2})\2(\d{4})$"
-_TO_YEAR_FIRST = "$4$2$3$2$1"
-# ... and yyyy-MM-dd and yyyy/MM/dd with year 1-9999, month 1-12, day 1-31.
+# The layouts yyyy-MM-dd, dd-MM-yyyy, dd/MM/yyyy and yyyy/MM/dd,
+# with year 1-9999, month 1-12 and day 1-31.  No text fits more than one.
 _YEAR_FIRST = r"^(?!0000)\d{4}([-/])(0[1-9]|1[0-2])\1(0[1-9]|[12]\d|3[01])$"
+_DAY_FIRST = r"^(0[1-9]|[12]\d|3[01])([-/])(0[1-9]|1[0-2])\2(?!0000)\d{4}$"
 
 
 def flexible_date(text: Column, month_end: str = "clamp") -> Column:
@@ -20,26 +19,33 @@ def flexible_date(text: Column, month_end: str = "clamp") -> Column:
     ``month_end='clamp'`` moves days 29-31 of a shorter month to its last day
     (``31-04-2024`` is 30 April); ``'strict'`` makes them NULL.
 
-    The pattern settles layout and ranges, so the only text it lets through that
-    is no date is a day past the end of its month.  All casts are ``try_cast``:
-    nothing raises under ANSI mode, and no UDF is needed.
+    The patterns settle layout and ranges, so the first of the month always
+    exists and the day is counted from it: no cast here can fail.
     """
     if month_end not in ("clamp", "strict"):
         raise ValueError(f"month_end must be 'clamp' or 'strict', not {month_end!r}")
-    year_first = F.regexp_replace(text, _DAY_FIRST, _TO_YEAR_FIRST)
-    dashed = F.replace(year_first, F.lit("/"), F.lit("-"))
-    date = dashed.try_cast("date")
+    year_first, day_first = text.rlike(_YEAR_FIRST), text.rlike(_DAY_FIRST)
+
+    def month_start(year_at: int, month_at: int) -> Column:
+        year, month = F.substring(text, year_at, 4), F.substring(text, month_at, 2)
+        return F.concat(year, F.lit("-"), month, F.lit("-01"))
+
+    first = (
+        F.when(year_first, month_start(1, 6)).when(day_first, month_start(7, 4)).cast("date")
+    )
+    day = (
+        F.when(year_first, F.substring(text, 9, 2))
+        .when(day_first, F.substring(text, 1, 2))
+        .cast("int")
+    )
+    days = F.dayofmonth(F.last_day(first))
     if month_end == "clamp":
-        month_start = F.concat(F.substring(dashed, 1, 8), F.lit("01")).try_cast("date")
-        date = F.coalesce(date, F.last_day(month_start))
-    return F.when(year_first.rlike(_YEAR_FIRST), date)
-
-
-def date_problem(text: Column, parsed: Column) -> Column:
-    """Why ``text`` gave no date; NULL when it did."""
-    return F.when(
-        parsed.isNull(),
-        F.when(is_blank(text), F.lit(v.MSG_DATE_EMPTY)).otherwise(
-            message(v.MSG_DATE_UNKNOWN, text)
-        ),
+        return F.date_add(first, F.least(day, days) - 1)
+    return F.when(day <= days, F.date_add(first, day - 1))
+
+
+def date_problem(text: Column) -> Column:
+    """Why a ``clean`` text gave no date."""
+    return F.when(is_blank(text), F.lit(v.MSG_DATE_EMPTY)).otherwise(
+        message(v.MSG_DATE_UNKNOWN, text)
     )

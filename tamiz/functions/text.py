@@ -6,13 +6,12 @@ from pyspark.sql import Column, functions as F
 
 # Everything up to U+0020 is trimmed from a field.
 _TRIMMED = "".join(chr(code) for code in range(0x21))
+_FIRST_NOT_TRIMMED = "!"  # U+0021
 
-# What counts as white space when asking whether a field is blank: the trimmed
-# set plus the Unicode separators other than the three non-breaking ones.
-_WHITE_SPACE = (
-    _TRIMMED
-    + "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a"
-    + "\u2028\u2029\u205f\u3000"
+# White space beyond that, which is not trimmed but leaves a field blank.
+_WIDE_SPACE = (
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a"
+    "\u2028\u2029\u205f\u3000"
 )
 
 
@@ -21,12 +20,23 @@ def clean(text: Column) -> Column:
 
     Rules that compare a NULL evaluate to NULL, and a NULL predicate drops the
     row from *both* halves of a split, so missing text becomes ``''`` here once.
-    """
-    return F.coalesce(F.btrim(text, F.lit(_TRIMMED)), F.lit(""))
-
 
-def is_blank(text: Column) -> Column:
-    return F.coalesce(F.btrim(text, F.lit(_WHITE_SPACE)), F.lit("")) == ""
+    Most fields need no trimming; comparing their first and last character
+    tells so at a fraction of the cost of trimming by a set of characters.
+    """
+    last = F.substring(text, -1, 1)
+    padded = (text < _FIRST_NOT_TRIMMED) | (last < _FIRST_NOT_TRIMMED)
+    return F.coalesce(
+        F.when(padded, F.btrim(text, F.lit(_TRIMMED))).otherwise(text), F.lit("")
+    )
+
+
+def is_blank(cleaned: Column) -> Column:
+    """Whether a ``clean`` field is empty or nothing but white space."""
+    wide = (cleaned >= _WIDE_SPACE[0]) & (
+        F.btrim(cleaned, F.lit(_TRIMMED + _WIDE_SPACE)) == ""
+    )
+    return (cleaned == "") | wide
 
 
 def normalise(cleaned: Column) -> Column:

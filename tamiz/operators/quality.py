@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tamiz import vocabulary as v
 from tamiz.functions.text import truncate
-from tamiz.operators.rules import REJECT_REASON
+from tamiz.operators.rules import REJECT_REASON, REJECTED
 
 LOG_COLUMNS = ("job_name", "step_name", "etapa", "detalle_item", "mensaje_error")
 
@@ -26,7 +26,7 @@ def reject_log(
     """One log row per rejected row, after its other columns.  ``item`` is the
     row as text; a line that could not be read has none."""
     return rejected.select(
-        *[name for name in rejected.columns if name not in {*LOG_COLUMNS, reason}],
+        *[name for name in rejected.columns if name not in {*LOG_COLUMNS, REJECTED, reason}],
         F.lit(job_name).alias("job_name"),
         F.lit(step_name).alias("step_name"),
         F.lit(stage).alias("etapa"),

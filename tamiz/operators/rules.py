@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tamiz import vocabulary as v
 
-REJECT_REASON = "reject_reason"
+REJECTED, REJECT_REASON = "rejected", "reject_reason"
 
 
 @dataclass(frozen=True)
@@ -50,8 +50,10 @@ def any_holds(rules: Sequence[Rule]) -> Column:
 
 
 def all_messages(rules: Sequence[Rule]) -> Column:
-    """Messages of every rule that holds, in rule order (``concat_ws`` skips NULLs)."""
-    return F.concat_ws(v.NOTE_SEPARATOR, *[F.when(rule.holds, rule.message) for rule in rules])
+    """Messages of every rule that holds, in rule order; NULL if none does
+    (``concat_ws`` skips the NULL of a rule that does not hold)."""
+    found = [F.when(rule.holds, rule.message) for rule in rules]
+    return F.nullif(F.concat_ws(v.NOTE_SEPARATOR, *found), F.lit(""))
 
 
 def first_reason(rejects: Sequence[Reject]) -> Column:
@@ -59,6 +61,17 @@ def first_reason(rejects: Sequence[Reject]) -> Column:
     return F.coalesce(*[F.when(rule.holds, rule.reason) for rule in rejects])
 
 
-def split(classified: DataFrame, reason: str = REJECT_REASON) -> tuple[DataFrame, DataFrame]:
-    """``(kept, rejected)``.  The two tests are exact complements: no row is lost."""
-    return classified.where(F.col(reason).isNull()), classified.where(F.col(reason).isNotNull())
+def with_outcome(rows: DataFrame, rejects: Sequence[Reject]) -> DataFrame:
+    """``rows`` with ``rejected`` (never NULL) and the reason, NULL when kept."""
+    return rows.select(
+        "*",
+        any_holds(rejects).alias(REJECTED),
+        first_reason(rejects).alias(REJECT_REASON),
+    )
+
+
+def split(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(kept, rejected)``.  The two tests are exact complements: no row is lost.
+    They look at the conditions only; the kept half never builds a reason."""
+    rejected = F.col(REJECTED)
+    return classified.where(~rejected), classified.where(rejected)

@@ -20,7 +20,7 @@ from tamiz.functions.numbers import (
 )
 from tamiz.functions.text import clean, message, normalise
 from tamiz.operators.repeats import drop_copies
-from tamiz.operators.rules import REJECT_REASON, Reject, first_reason, not_in
+from tamiz.operators.rules import Reject, not_in, with_outcome
 
 DETAIL_COLUMNS = (
     "cuenta_id",
@@ -111,10 +111,9 @@ def classify_accounts(
     feed: DataFrame, config: InterestConfig = InterestConfig(), seq: str = "seq"
 ) -> DataFrame:
     """One row per distinct account line: cleaned fields, number of copies,
-    parsed fields and the reason it is rejected (NULL = kept)."""
+    parsed fields, whether it is rejected and why."""
     parsed = parse_accounts(distinct_accounts(feed, seq))
-    rejects = account_rejects(tuple(config.rates))
-    return parsed.select("*", first_reason(rejects).alias(REJECT_REASON))
+    return with_outcome(parsed, account_rejects(tuple(config.rates)))
 
 
 def interest_detail(kept: DataFrame, config: InterestConfig = InterestConfig()) -> DataFrame:

@@ -15,14 +15,12 @@ from tamiz import vocabulary as v
 from tamiz.functions.text import render_row
 from tamiz.operators.histogram import worker_name
 from tamiz.operators.quality import enforce_gate, reject_log, rejects_by_slice, run_counters
-from tamiz.operators.rules import REJECT_REASON, split
+from tamiz.operators.rules import REJECTED, split
 from tamiz.operators.slices import slice_of_index
 from tamiz.plans import interest, statements, transactions
 from tamiz.sources import delimited, tables
 from tamiz.session import staged
 
-_NEVER = F.lit(False)
-
 
 @dataclass(frozen=True)
 class JobResult:
@@ -100,7 +98,7 @@ def daily_report(
     detail = tables.read_table(spark, warehouse, tables.TRANSACTIONS)
     summary = _stamped(_year_of_day(transactions.daily_summary(detail)))
     tables.upsert(summary, warehouse, tables.DAILY_SUMMARY)
-    counters = run_counters(config.job_name, config.step_name, rows, _NEVER, unreadable=bad)
+    counters = run_counters(config.job_name, config.step_name, rows, F.lit(False), unreadable=bad)
     return counters, detail, tables.read_table(spark, warehouse, tables.DAILY_SUMMARY)
 
 
@@ -116,13 +114,11 @@ def monthly_interest(
     # Dropping copies shuffles, so the outcome is written once and its two
     # halves are read back by partition.
     classified = staged(
-        interest.classify_accounts(delimited.readable(lines), config, delimited.SEQ).withColumn(
-            "rechazada", F.col(REJECT_REASON).isNotNull()
-        ),
+        interest.classify_accounts(delimited.readable(lines), config, delimited.SEQ),
         "accounts",
-        ("rechazada",),
+        (REJECTED,),
     )
-    kept, rejected = classified.where("not rechazada"), classified.where("rechazada")
+    kept, rejected = split(classified)
     item = render_row(v.ACCOUNT_LABEL, v.ACCOUNT_PRINT_FIELDS)
     _write_rejects(
         warehouse,
@@ -137,7 +133,7 @@ def monthly_interest(
     detail = _with_provenance(interest.interest_detail(kept, config))
     tables.write_run(detail, warehouse, tables.ACCOUNTS, run_id=run_id)
     counters = run_counters(
-        config.job_name, config.step_name, classified, F.col("rechazada"), "copias", bad
+        config.job_name, config.step_name, classified, F.col(REJECTED), "copias", bad
     )
     return counters, tables.read_table(spark, warehouse, tables.ACCOUNTS), None
 
@@ -176,7 +172,7 @@ def annual_statements(
         config.job_name,
         config.step_name,
         classified,
-        F.col(REJECT_REASON).isNotNull(),
+        F.col(REJECTED),
         unreadable=bad,
     )
     return counters, detail, tables.read_table(spark, warehouse, tables.ANNUAL_STATEMENT)

@@ -18,12 +18,13 @@ from tamiz.functions.numbers import (
 from tamiz.functions.text import clean, is_blank, message, normalise
 from tamiz.operators.rules import (
     REJECT_REASON,
+    REJECTED,
     Reject,
     Rule,
     all_messages,
     any_holds,
-    first_reason,
     not_in,
+    with_outcome,
 )
 
 DETAIL_COLUMNS = (
@@ -74,7 +75,7 @@ def movement_rejects() -> list[Reject]:
 def movement_issues(known_types=v.MOVEMENT_TYPES) -> list[Rule]:
     kind, date = F.col("tipo_transaccion"), F.col("fecha_leida")
     return [
-        Rule(date.isNull(), date_problem(F.col("fecha"), date)),
+        Rule(date.isNull(), date_problem(F.col("fecha"))),
         Rule(not_in(kind, known_types), message(v.MSG_MOVEMENT_TYPE, F.col("transaccion"))),
         Rule(
             kind.isin(*v.DEPOSIT_TYPES) & (F.col("importe") <= 0),
@@ -105,22 +106,16 @@ def default_text(text: Column, default: str) -> Column:
 
 
 def classify_movements(feed: DataFrame) -> DataFrame:
-    """Parsed rows with the reason they are rejected (NULL = kept); no shuffle."""
-    return parse_movements(feed).select(
-        "*", first_reason(movement_rejects()).alias(REJECT_REASON)
-    )
+    """Parsed rows, whether they are rejected and why; no shuffle."""
+    return with_outcome(parse_movements(feed), movement_rejects())
 
 
 def movement_detail(kept: DataFrame, config: StatementsConfig = StatementsConfig()) -> DataFrame:
     """Kept movements with status; an anomaly's note hides its corrections."""
     issues, corrections = movement_issues(config.known_types), movement_corrections()
     kind = F.col("tipo_transaccion")
-    carried = [
-        name
-        for name in kept.columns
-        if name not in {*v.MOVEMENT_FIELDS, "fecha_leida", "importe", "tipo_transaccion"}
-        and name != REJECT_REASON
-    ]
+    parsed = {*v.MOVEMENT_FIELDS, "fecha_leida", "importe", "tipo_transaccion"}
+    carried = [name for name in kept.columns if name not in parsed | {REJECTED, REJECT_REASON}]
     return kept.select(
         *carried,
         long_or_null(F.col("cuenta_id")).alias("cuenta_id"),
@@ -132,9 +127,7 @@ def movement_detail(kept: DataFrame, config: StatementsConfig = StatementsConfig
         .when(any_holds(corrections), v.CORRECTED)
         .otherwise(v.VALID)
         .alias("estado"),
-        F.when(any_holds(issues), all_messages(issues))
-        .when(any_holds(corrections), all_messages(corrections))
-        .alias("motivo"),
+        F.coalesce(all_messages(issues), all_messages(corrections)).alias("motivo"),
     )
 
 

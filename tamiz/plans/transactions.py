@@ -39,7 +39,7 @@ def parse_transactions(feed: DataFrame, seq: str = "seq") -> DataFrame:
         F.when(~is_blank(F.col("id_texto")), F.col("id_texto")).alias("id_key"),
         flexible_date(F.col("fecha_texto")).alias("fecha"),
         decimal_or_null(F.col("monto_texto")).alias("importe"),
-        normalise(F.col("tipo_texto")).alias("tipo"),
+        F.lower("tipo_texto").alias("tipo"),
     )
 
 
@@ -47,7 +47,7 @@ def transaction_issues(allowed_types=v.TRANSACTION_TYPES) -> list[Rule]:
     date_text, date = F.col("fecha_texto"), F.col("fecha")
     amount = F.col("importe")
     return [
-        Rule(date.isNull(), date_problem(date_text, date)),
+        Rule(date.isNull(), date_problem(date_text)),
         Rule(amount.isNull(), F.lit(v.MSG_AMOUNT_MISSING)),
         # On the unrounded amount: 0.004 is positive although it is stored as 0.00.
         Rule(amount <= 0, message(v.MSG_AMOUNT_NOT_POSITIVE, number_text(F.col("monto_texto")))),
@@ -78,7 +78,7 @@ def classify_transactions(
         .otherwise(v.VALID)
         .alias("estado"),
         F.when(duplicate, message(v.MSG_DUPLICATE_ID, F.col("id_texto")))
-        .when(any_holds(issues), all_messages(issues))
+        .otherwise(all_messages(issues))
         .alias("motivo"),
     )
 
