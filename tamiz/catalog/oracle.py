@@ -176,6 +176,11 @@ _T_SQL, _I_SQL, _M_SQL = _with(_T), _with(_I), _with(_M)
 _INTEREST_NAMES = f"'{v.MONTHLY_INTEREST_JOB}' as job_name, '{v.MONTHLY_INTEREST_STEP}' as step_name"
 _STATEMENT_NAMES = f"'{v.ANNUAL_STATEMENT_JOB}' as job_name, '{v.ANNUAL_STATEMENT_STEP}' as step_name"
 
+_INTEREST_LOG = f"""{_INTEREST_NAMES}, 'PROCESS' as etapa,
+    'InteresRaw(cuentaId=' || cuenta_id || ', nombre=' || nombre || ', saldo=' || saldo
+    || ', edad=' || edad || ', tipo=' || tipo || ')' as detalle_item,
+    rechazo as mensaje_error from I_judged where rechazo is not null"""
+
 _COUNTERS = f"""select {_INTEREST_NAMES}, cast(sum(copias) as bigint) as leidos,
     count(*) filter (where rechazo is null) as escritos,
     cast(sum(copias) as bigint) - count(*) as filtrados,
@@ -210,11 +215,7 @@ ORACLE: dict[str, str] = {
     + "select estado, count(*) as cantidad from T_detail where fecha is null group by estado",
     "exact_duplicate_drop": _I_SQL + "select * from I_distinct",
     "interest_accepted": _I_SQL + "select * from I_detail",
-    "interest_rejects": _I_SQL
-    + f"""select seq, {_INTEREST_NAMES}, 'PROCESS' as etapa,
-        'InteresRaw(cuentaId=' || cuenta_id || ', nombre=' || nombre || ', saldo=' || saldo
-        || ', edad=' || edad || ', tipo=' || tipo || ')' as detalle_item,
-        rechazo as mensaje_error from I_judged where rechazo is not null""",
+    "interest_rejects": _I_SQL + f"select seq, {_INTEREST_LOG}",
     "outcome_split": _I_SQL
     + """select coalesce(split_part(rechazo, ':', 1), 'aceptada') as resultado,
         count(*) as lineas, cast(sum(copias) as bigint) as leidas from I_judged group by 1""",
@@ -297,9 +298,8 @@ ORACLE: dict[str, str] = {
     "daily_report_job": _T_SQL
     + f"select {_as_int('*', _DAILY_COUNTS)} from ({_daily('T_detail where true')})",
     "monthly_interest_job": _I_SQL + "select * exclude (seq) from I_detail",
-    "monthly_interest_job_counters": _I_SQL
-    + _COUNTERS
-    + ", count(rechazo) as en_bitacora from I_judged",
+    "monthly_interest_job_counters": _I_SQL + _COUNTERS + " from I_judged",
+    "monthly_interest_job_log": _I_SQL + f"select 'run-1' as run_id, {_INTEREST_LOG}",
     "annual_statement_job": _M_SQL
     + f"select {_as_int('*', _ANNUAL_COUNTS)} from ({_annual('M_detail where true')})",
 }

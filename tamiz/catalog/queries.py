@@ -21,12 +21,18 @@ from tamiz.functions.numbers import (
 )
 from tamiz.functions.text import clean, is_blank, normalise, render_row
 from tamiz.operators.histogram import rows_per_worker, status_histogram, worker_name
-from tamiz.operators.quality import reject_log, rejects_by_slice, run_counters
+from tamiz.operators.quality import (
+    LOG_COLUMNS,
+    newest_first,
+    reject_log,
+    rejects_by_slice,
+    run_counters,
+)
 from tamiz.operators.repeats import flag_repeats
 from tamiz.operators.rules import REJECT_REASON, REJECTED, split
 from tamiz.operators.slices import slice_feed, slice_of, slice_table
 from tamiz.plans import interest, statements, transactions
-from tamiz.plans.jobs import run_job
+from tamiz.plans.jobs import JobResult, run_job
 from tamiz.session import scratch_path
 from tamiz.sources import delimited, tables
 
@@ -363,27 +369,29 @@ def daily_report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.summary.drop("generado_en", "anio").orderBy("fecha")
 
 
-def monthly_interest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files to detail table, end to end; what was rejected is in the log."""
+def _run_monthly_interest(spark: SparkSession, sf_dir: str) -> tuple[JobResult, str]:
     path = _written_feed(spark, feeds.accounts(spark, sf_dir), v.ACCOUNT_FIELDS, "seq")
     warehouse = scratch_path(spark, "warehouse")
     config = interest.InterestConfig(reject_limit=OPEN_GATE)
-    result = run_job(spark, v.MONTHLY_INTEREST_JOB, path, warehouse, "run-1", config)
+    return run_job(spark, v.MONTHLY_INTEREST_JOB, path, warehouse, "run-1", config), warehouse
+
+
+def monthly_interest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to detail table, end to end."""
+    result, _ = _run_monthly_interest(spark, sf_dir)
     return result.detail.select(*interest.DETAIL_COLUMNS)
 
 
 def monthly_interest_job_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters of the job, with the rows its error log received."""
-    path = _written_feed(spark, feeds.accounts(spark, sf_dir), v.ACCOUNT_FIELDS, "seq")
-    warehouse = scratch_path(spark, "warehouse")
-    config = interest.InterestConfig(reject_limit=OPEN_GATE)
-    result = run_job(spark, v.MONTHLY_INTEREST_JOB, path, warehouse, "run-1", config)
-    logged = (
-        tables.read_table(spark, warehouse, tables.ERROR_LOG)
-        .groupBy("job_name")
-        .agg(F.count(F.lit(1)).alias("en_bitacora"))
-    )
-    return result.counters.join(logged, "job_name")
+    result, _ = _run_monthly_interest(spark, sf_dir)
+    return result.counters
+
+
+def monthly_interest_job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job rejected, from the stored error log, newest first."""
+    _, warehouse = _run_monthly_interest(spark, sf_dir)
+    log = newest_first(tables.read_table(spark, warehouse, tables.ERROR_LOG))
+    return log.select(*LOG_COLUMNS, "run_id")
 
 
 def annual_statement_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -430,5 +438,6 @@ QUERIES: dict[str, Query] = {
     "daily_report_job": daily_report_job,
     "monthly_interest_job": monthly_interest_job,
     "monthly_interest_job_counters": monthly_interest_job_counters,
+    "monthly_interest_job_log": monthly_interest_job_log,
     "annual_statement_job": annual_statement_job,
 }

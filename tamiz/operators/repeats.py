@@ -15,7 +15,6 @@ from tamiz.session import checkpointed
 
 _FIRST, _COPIES, _SPREAD = "__first_seq", "__copies", "__spread"
 _HOT_FIRST, _COLD_FIRST, _COLD_KEY = "__hot_first", "__cold_first", "__cold_key"
-_SPREAD_RANGE = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -62,10 +61,10 @@ def flag_repeats(
 
     * small enough: broadcast, and the rows themselves are never shuffled;
     * too large: keys with ``hot_rows`` rows or more are broadcast (there are at
-      most ``rows / hot_rows`` of them, and that size is checked as well), the
+      most ``rows / hot_rows`` of them, and their size is checked as well); the
       rest are joined by shuffle, where no key can be hot any more.  Rows that
-      need no match (NULL or hot key) carry a spread value, so they do not pile
-      up in the partition of the NULL key.
+      need no match (NULL or hot key) are spread by their own hash, so they do
+      not pile up in one partition.
     """
     keys = checkpointed(repeated_keys(rows, key, seq))
     if _size_in_bytes(keys) <= limits.broadcast_bytes:
@@ -91,18 +90,18 @@ def _join_hot_and_cold(
         hot = keys.where(F.col(_COPIES) >= hot_rows)
     hot = hot.select(F.col(_COLD_KEY).alias("__hot_key"), F.col(_FIRST).alias(_HOT_FIRST))
     cold = keys.where(F.col(_COPIES) < hot_rows).select(
-        _COLD_KEY, F.col(_FIRST).alias(_COLD_FIRST), F.lit(0).alias("__cold_spread")
+        _COLD_KEY, F.col(_FIRST).alias(_COLD_FIRST), F.xxhash64(_COLD_KEY).alias("__cold_spread")
     )
 
     with_hot = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left")
     settled = F.col(key).isNull() | F.col(_HOT_FIRST).isNotNull()
+    # A second join column: the hash of the key where a match is looked for, of
+    # the row where it is not.
     spread = with_hot.select(
         *rows.columns,
         _HOT_FIRST,
         F.when(~settled, F.col(key)).alias("__open_key"),
-        F.when(settled, F.pmod(F.xxhash64(seq), F.lit(_SPREAD_RANGE)).cast("int"))
-        .otherwise(F.lit(0))
-        .alias(_SPREAD),
+        F.when(settled, F.xxhash64(seq)).otherwise(F.xxhash64(key)).alias(_SPREAD),
     )
     return spread.join(
         cold,
