@@ -27,7 +27,8 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[
     The header is skipped by position, whatever it says; ``#`` lines are
     comments.  Column pruning is off in the parser: with it on, a query that
     reads a part of the columns would not notice a ragged line.  A field cannot
-    span lines, so large files split.
+    span lines, so large files split.  Spark refuses a query over these lines
+    that uses ``_corrupt`` and no other field; over ``stage_lines`` it is fine.
     """
     schema = StructType([StructField(name, StringType()) for name in (*fields, MALFORMED)])
     lines = (
