@@ -33,7 +33,7 @@ from tamiz.operators.rules import REJECT_REASON, REJECTED, split
 from tamiz.operators.slices import slice_feed, slice_of, slice_table
 from tamiz.plans import interest, statements, transactions
 from tamiz.plans.jobs import JobResult, run_job
-from tamiz.session import scratch_path
+from tamiz.session import Scratch
 from tamiz.sources import delimited, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,13 +178,15 @@ def summary_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads that share many days: the summary of the credits is upserted
     over that of all other rows, and the stored table is the result."""
     detail = transactions.classify_transactions(feeds.transactions(spark, sf_dir))
-    warehouse = scratch_path(spark, "warehouse")
+    scratch = Scratch(spark)
+    warehouse = scratch.path("warehouse")
     for part in (detail.where("tipo <> 'credito'"), detail.where("tipo = 'credito'")):
         summary = transactions.daily_summary(part).withColumn("anio", F.year("fecha"))
         tables.upsert(
             summary.withColumn("generado_en", F.current_timestamp()),
             warehouse,
             tables.DAILY_SUMMARY,
+            scratch,
         )
     return tables.read_table(spark, warehouse, tables.DAILY_SUMMARY).drop("generado_en", "anio")
 
@@ -196,7 +198,7 @@ def detail_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = detail.withColumn("procesado_por_hilo", worker_name()).withColumn(
         "procesado_en", F.current_timestamp()
     )
-    warehouse = scratch_path(spark, "warehouse")
+    warehouse = Scratch(spark).path("warehouse")
     for run_id in ("a", "b", "b"):
         tables.write_run(stamped, warehouse, tables.TRANSACTIONS, run_id=run_id)
     stored = tables.read_table(spark, warehouse, tables.TRANSACTIONS)
@@ -301,13 +303,15 @@ def statement_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     those of all other movements."""
     detail = movements_classified(spark, sf_dir)
     outflows = statements.is_outflow(F.col("tipo_transaccion"))
-    warehouse = scratch_path(spark, "warehouse")
+    scratch = Scratch(spark)
+    warehouse = scratch.path("warehouse")
     for part in (detail.where(~outflows), detail.where(outflows)):
         statement = statements.annual_statement(part)
         tables.upsert(
             statement.withColumn("generado_en", F.current_timestamp()),
             warehouse,
             tables.ANNUAL_STATEMENT,
+            scratch,
         )
     return tables.read_table(spark, warehouse, tables.ANNUAL_STATEMENT).drop("generado_en")
 
@@ -331,7 +335,7 @@ def status_histogram_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written_feed(spark: SparkSession, feed: DataFrame, fields: tuple[str, ...], *order) -> str:
     """The feed as delimited files with a header, in feed order."""
-    path = scratch_path(spark, "feed")
+    path = Scratch(spark).path("feed")
     feed.orderBy(*order).select(*fields).write.option("header", True).csv(path)
     return path
 
@@ -346,7 +350,7 @@ RAGGED_LINE = """case
 def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with too few or too many fields, written to files and read back."""
     feed = feeds.transactions(spark, sf_dir).withColumnRenamed("seq", "k")
-    path = scratch_path(spark, "ragged")
+    path = Scratch(spark).path("ragged")
     # One column, no quoting: its name becomes the header line, its text the lines.
     feed.select(F.expr(RAGGED_LINE).alias(",".join(v.TRANSACTION_FIELDS))).write.options(
         header=True, sep="\u0001", quote="\u0000", emptyValue="", ignoreLeadingWhiteSpace=False,
@@ -365,13 +369,13 @@ def daily_report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _written_feed(
         spark, feeds.transactions(spark, sf_dir), v.TRANSACTION_FIELDS, "seq"
     )
-    result = run_job(spark, v.DAILY_REPORT_JOB, path, scratch_path(spark, "warehouse"), "run-1")
+    result = run_job(spark, v.DAILY_REPORT_JOB, path, Scratch(spark).path("warehouse"), "run-1")
     return result.summary.drop("generado_en", "anio").orderBy("fecha")
 
 
 def _run_monthly_interest(spark: SparkSession, sf_dir: str) -> tuple[JobResult, str]:
     path = _written_feed(spark, feeds.accounts(spark, sf_dir), v.ACCOUNT_FIELDS, "seq")
-    warehouse = scratch_path(spark, "warehouse")
+    warehouse = Scratch(spark).path("warehouse")
     config = interest.InterestConfig(reject_limit=OPEN_GATE)
     return run_job(spark, v.MONTHLY_INTEREST_JOB, path, warehouse, "run-1", config), warehouse
 
@@ -399,7 +403,7 @@ def annual_statement_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _written_feed(
         spark, feeds.movements(spark, sf_dir), v.MOVEMENT_FIELDS, "pedido", "linea"
     )
-    warehouse = scratch_path(spark, "warehouse")
+    warehouse = Scratch(spark).path("warehouse")
     config = statements.StatementsConfig(reject_limit=OPEN_GATE)
     result = run_job(spark, v.ANNUAL_STATEMENT_JOB, path, warehouse, "run-1", config)
     return result.summary.drop("generado_en").orderBy("cuenta_id", "anio")

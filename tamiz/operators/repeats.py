@@ -116,13 +116,15 @@ def drop_copies(
     """One row per key, the one with the lowest ``seq`` as it was spelled, and
     how many rows it stands for.
 
-    A single aggregate, no join.  Copies combine on the map side, so a group of
-    identical rows shrinks to one candidate per input task before the shuffle.
+    The lowest ``seq`` per key comes from a hash aggregate, whose copies combine
+    on the map side: a group of identical rows is one row per input task before
+    the shuffle.  Its rows are then picked by ``seq``, a unique key that cannot
+    be skewed.  (Carrying the row itself through the aggregate would make it a
+    sort-based one, twice as slow.)
     """
-    names = [f"__key_{position}" for position in range(len(keys))]
-    others = [column for column in rows.columns if column != seq]
-    return (
-        rows.groupBy(*[key.alias(name) for key, name in zip(keys, names)])
-        .agg(F.min(F.struct(seq, *others)).alias("__row"), F.count(F.lit(1)).alias(copies))
-        .select(*[F.col(f"__row.{column}").alias(column) for column in rows.columns], copies)
+    first = (
+        rows.groupBy(*[key.alias(f"__key_{position}") for position, key in enumerate(keys)])
+        .agg(F.min(seq).alias(seq), F.count(F.lit(1)).alias(copies))
+        .select(seq, copies)
     )
+    return rows.join(first, seq).select(*rows.columns, copies)

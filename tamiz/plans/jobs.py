@@ -18,8 +18,8 @@ from tamiz.operators.quality import enforce_gate, reject_log, rejects_by_slice,
 from tamiz.operators.rules import REJECTED, split
 from tamiz.operators.slices import slice_of_index
 from tamiz.plans import interest, statements, transactions
+from tamiz.session import Scratch, checkpointed
 from tamiz.sources import delimited, tables
-from tamiz.session import staged
 
 
 @dataclass(frozen=True)
@@ -50,11 +50,10 @@ def _write_rejects(warehouse: str, run_id: str, config: Any, *logs: DataFrame) -
     )
 
 
-def _check_gate(lines: DataFrame, rejected: DataFrame, config: Any) -> None:
+def _check_gate(rejected: DataFrame, total: int, config: Any) -> None:
     """Fails the run when any row range of the input holds too many rejects.
-    Slices are over all data lines; ``rejected`` needs only their ``seq``."""
-    rows = lines.count()
-    number = slice_of_index(F.col(delimited.SEQ), rows, config.slices)
+    Slices are over all ``total`` lines; of the rejects only ``seq`` is read."""
+    number = slice_of_index(F.col(delimited.SEQ), total, config.slices)
     by_slice = rejects_by_slice(rejected, number, F.lit(True), config.reject_limit)
     enforce_gate(by_slice, config.reject_limit)
 
@@ -78,16 +77,17 @@ def _stamped(summary: DataFrame) -> DataFrame:
 
 
 def daily_report(
-    spark: SparkSession,
+    scratch: Scratch,
     source: str,
     warehouse: str,
     run_id: str,
     config: transactions.TransactionsConfig = transactions.TransactionsConfig(),
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    lines = delimited.stage_lines(spark, source, config.fields)
+    spark = scratch.spark
+    lines, total = delimited.stage_lines(scratch, source, config.fields)
     bad = delimited.malformed(lines)
     _write_rejects(warehouse, run_id, config, _malformed_log(lines, config))
-    _check_gate(lines, bad, config)
+    _check_gate(bad, total, config)
 
     rows = delimited.readable(lines)
     classified = transactions.classify_transactions(rows, config, delimited.SEQ)
@@ -97,23 +97,24 @@ def daily_report(
 
     detail = tables.read_table(spark, warehouse, tables.TRANSACTIONS)
     summary = _stamped(_year_of_day(transactions.daily_summary(detail)))
-    tables.upsert(summary, warehouse, tables.DAILY_SUMMARY)
+    tables.upsert(summary, warehouse, tables.DAILY_SUMMARY, scratch)
     counters = run_counters(config.job_name, config.step_name, rows, F.lit(False), unreadable=bad)
     return counters, detail, tables.read_table(spark, warehouse, tables.DAILY_SUMMARY)
 
 
 def monthly_interest(
-    spark: SparkSession,
+    scratch: Scratch,
     source: str,
     warehouse: str,
     run_id: str,
     config: interest.InterestConfig = interest.InterestConfig(),
 ) -> tuple[DataFrame, DataFrame, None]:
-    lines = delimited.stage_lines(spark, source, config.fields)
+    spark = scratch.spark
+    lines, total = delimited.stage_lines(scratch, source, config.fields)
     bad = delimited.malformed(lines)
     # Dropping copies shuffles, so the outcome is written once and its two
     # halves are read back by partition.
-    classified = staged(
+    classified = scratch.stage(
         interest.classify_accounts(delimited.readable(lines), config, delimited.SEQ),
         "accounts",
         (REJECTED,),
@@ -128,7 +129,7 @@ def monthly_interest(
         _malformed_log(lines, config),
     )
     _check_gate(
-        lines, rejected.select(delimited.SEQ).unionByName(bad.select(delimited.SEQ)), config
+        rejected.select(delimited.SEQ).unionByName(bad.select(delimited.SEQ)), total, config
     )
     detail = _with_provenance(interest.interest_detail(kept, config))
     tables.write_run(detail, warehouse, tables.ACCOUNTS, run_id=run_id)
@@ -139,13 +140,14 @@ def monthly_interest(
 
 
 def annual_statements(
-    spark: SparkSession,
+    scratch: Scratch,
     source: str,
     warehouse: str,
     run_id: str,
     config: statements.StatementsConfig = statements.StatementsConfig(),
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    lines = delimited.stage_lines(spark, source, config.fields)
+    spark = scratch.spark
+    lines, total = delimited.stage_lines(scratch, source, config.fields)
     bad = delimited.malformed(lines)
     # Classification is row by row: cheaper to repeat over the staged columns
     # than to write once more.
@@ -160,14 +162,14 @@ def annual_statements(
         _malformed_log(lines, config),
     )
     _check_gate(
-        lines, rejected.select(delimited.SEQ).unionByName(bad.select(delimited.SEQ)), config
+        rejected.select(delimited.SEQ).unionByName(bad.select(delimited.SEQ)), total, config
     )
     detail = _with_provenance(statements.movement_detail(kept, config))
     tables.write_run(detail, warehouse, tables.MOVEMENTS, run_id=run_id)
 
     detail = tables.read_table(spark, warehouse, tables.MOVEMENTS)
     summary = _stamped(statements.annual_statement(detail))
-    tables.upsert(summary, warehouse, tables.ANNUAL_STATEMENT)
+    tables.upsert(summary, warehouse, tables.ANNUAL_STATEMENT, scratch)
     counters = run_counters(
         config.job_name,
         config.step_name,
@@ -206,5 +208,7 @@ def run_job(
     run_id = run_id or uuid.uuid4().hex
     options = {} if config is None else {"config": config}
     started = time.monotonic()
-    counters, detail, summary = JOBS[name](spark, source, warehouse, run_id, **options)
+    with Scratch(spark) as scratch:
+        counters, detail, summary = JOBS[name](scratch, source, warehouse, run_id, **options)
+        counters = checkpointed(counters)  # one row, read from the scratch tables
     return JobResult(name, run_id, time.monotonic() - started, counters, detail, summary)

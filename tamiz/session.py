@@ -28,21 +28,38 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder for one intermediate table."""
-    return f"{shared_dir(spark).rstrip('/')}/tamiz/{uuid.uuid4().hex}/{name}"
-
-
 def checkpointed(frame: DataFrame) -> DataFrame:
-    """``frame`` computed once into the shared folder; survives lost executors."""
+    """``frame`` computed once into the shared folder; survives lost executors.
+    For small results; Spark removes the files when they are no longer used if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
     shared_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
 
 
-def staged(frame: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """``frame`` written as a table in the shared folder and read back, so later
-    readers prune columns and partitions instead of recomputing it."""
-    spark = frame.sparkSession
-    path = scratch_path(spark, name)
-    frame.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+class Scratch:
+    """A folder of its own under the shared one, for the large intermediate
+    tables of one run.  As a context manager it removes the folder at the end,
+    so a run leaves nothing behind but its output tables."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_dir(spark).rstrip('/')}/tamiz/{uuid.uuid4().hex}"
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def stage(
+        self, frame: DataFrame, name: str, partition_by: tuple[str, ...] = ()
+    ) -> DataFrame:
+        """``frame`` written as a table and read back, so later readers prune
+        columns and partitions instead of recomputing it."""
+        path = self.path(f"{name}-{uuid.uuid4().hex[:8]}")
+        frame.write.partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

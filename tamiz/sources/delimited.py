@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tamiz import vocabulary as v
 from tamiz.functions.text import message
 from tamiz.operators.rules import REJECT_REASON
-from tamiz.session import checkpointed, staged
+from tamiz.session import Scratch, checkpointed
 
 MALFORMED = "_corrupt"
 FILE, BLOCK, POSITION, LINE = "_file", "_block", "_position", "_line"
@@ -54,19 +54,24 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[
     )
 
 
-def stage_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """The lines of ``path``, parsed once into the shared folder and numbered.
+def stage_lines(
+    scratch: Scratch, path: str | Sequence[str], fields: Sequence[str]
+) -> tuple[DataFrame, int]:
+    """The lines of ``path``, parsed once into the shared folder and numbered,
+    and how many there are.
 
     Everything a job does afterwards reads this columnar copy: the text is
     parsed once, positions no longer depend on how it was split, and a lost
     executor costs a re-read rather than a re-parse.
     """
-    return number_lines(staged(read_lines(spark, path, fields), "lines"))
+    return number_lines(scratch.stage(read_lines(scratch.spark, path, fields), "lines"))
 
 
-def number_lines(lines: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def number_lines(
+    lines: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> tuple[DataFrame, int]:
     """``lines`` with ``seq``, their index in the whole input (0, 1, 2 ..., files
-    in path order), and ``_line``, the line number in the file.
+    in path order), and ``_line``, the line number in the file; and their number.
 
     A line's position inside its file split is known when it is read; what is
     missing is the number of lines before the split.  That table has one row
@@ -91,16 +96,20 @@ def number_lines(lines: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Da
         .select(FILE, F.coalesce(F.sum("rows").over(all_earlier), F.lit(0)).alias(_BEFORE_FILE))
     )
     offsets = checkpointed(within.join(files, FILE))
-    size = offsets.agg(F.sum(F.octet_length(FILE) + F.lit(40))).first()[0] or 0
+    size, total = splits.agg(
+        F.coalesce(F.sum(F.octet_length(FILE) + F.lit(40)), F.lit(0)),
+        F.coalesce(F.sum("rows"), F.lit(0)),
+    ).first()
     if size <= broadcast_bytes:
         offsets = F.broadcast(offsets)
     in_file = F.col(_BEFORE) + F.col(POSITION) - F.col(_FIRST)
-    return (
+    numbered = (
         lines.join(offsets, [FILE, BLOCK])
         .withColumn(SEQ, F.col(_BEFORE_FILE) + in_file)
         .withColumn(LINE, in_file + F.lit(_HEADER_LINES + 1))
         .drop(_FIRST, _BEFORE, _BEFORE_FILE, POSITION, BLOCK)
     )
+    return numbered, total
 
 
 def readable(lines: DataFrame) -> DataFrame:

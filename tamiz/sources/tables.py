@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tamiz.session import staged
+from tamiz.session import Scratch
 
 RUN = "run_id"
 
@@ -111,7 +111,7 @@ def write_run(frame: DataFrame, warehouse: str, table: Table, **partition: str)
     conform(frame, table).drop(*partition).write.mode("overwrite").parquet(path)
 
 
-def upsert(frame: DataFrame, warehouse: str, table: Table) -> None:
+def upsert(frame: DataFrame, warehouse: str, table: Table, scratch: Scratch) -> None:
     """Inserts new keys, replaces known ones, leaves all others as they are.
 
     Only the partitions that hold a new key are read and rewritten.  The merged
@@ -120,14 +120,14 @@ def upsert(frame: DataFrame, warehouse: str, table: Table) -> None:
     """
     spark = frame.sparkSession
     (layout,) = table.partition
-    new = staged(conform(frame, table), f"{table.name}-new")
+    new = scratch.stage(conform(frame, table), f"{table.name}-new")
     # One value per partition of the table (years), however many rows there are.
     touched = [row[0] for row in new.select(layout).distinct().collect()]
     if not touched:
         return
     current = read_table(spark, warehouse, table).where(F.col(layout).isin(touched))
     untouched = current.join(new.select(*table.key), list(table.key), "left_anti")
-    merged = staged(
+    merged = scratch.stage(
         untouched.select(*new.columns).unionByName(new), f"{table.name}-merged", (layout,)
     )
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(

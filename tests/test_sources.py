@@ -1,4 +1,5 @@
 import datetime
+import os
 from decimal import Decimal
 
 import pytest
@@ -40,7 +41,7 @@ def test_fields_are_positional_and_malformed_lines_are_kept(spark, tmp_path):
     )
     # Seen from any set of columns, also once all other fields are pruned.
     assert len(rows.where("_corrupt is not null").select("id").collect()) == 2
-    assert session.staged(rows, "lines").where("_corrupt is not null").count() == 2
+    assert session.Scratch(spark).stage(rows, "lines").where("_corrupt is not null").count() == 2
     bad = [r[0] for r in rows.where("_corrupt is not null").select("_corrupt", "id").collect()]
     assert sorted(bad) == ["2,2024-01-10", "4,2024-01-10,1,debito,extra"]
 
@@ -60,18 +61,19 @@ def test_lines_are_numbered_across_splits_and_files(spark, tmp_path, broadcast_b
     try:
         lines = read(spark, str(tmp_path))
         assert lines.rdd.getNumPartitions() > 5
-        stored = session.staged(lines, "lines")
-        numbered = delimited.number_lines(stored, broadcast_bytes)
+        stored = session.Scratch(spark).stage(lines, "lines")
+        numbered, count = delimited.number_lines(stored, broadcast_bytes)
         found = {r["id"]: (r["seq"], r["_line"]) for r in numbered.collect()}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert found == expected
+    assert found == expected and count == total
 
 
 def test_malformed_reason_names_line_and_file(spark, tmp_path):
     path = write_text(tmp_path / "t.csv", ["h1,h2,h3,h4", "1,2,3,4", "1,2"])
-    lines = delimited.stage_lines(spark, path, FIELDS)
+    lines, count = delimited.stage_lines(session.Scratch(spark), path, FIELDS)
+    assert count == 2
     row = delimited.malformed(lines).first()
     assert row["seq"] == 1
     assert row["reject_reason"].startswith(
@@ -105,10 +107,10 @@ def stored(spark, warehouse):
 def test_upsert_replaces_adds_and_leaves_the_rest(spark, tmp_path):
     warehouse = str(tmp_path)
     old_year = datetime.date(2020, 5, 5)
-    tables.upsert(summary(spark, {DAY_1: 5, DAY_2: 6, old_year: 7}), warehouse, tables.DAILY_SUMMARY)
-    tables.upsert(summary(spark, {DAY_2: 9, DAY_3: 1}), warehouse, tables.DAILY_SUMMARY)
+    tables.upsert(summary(spark, {DAY_1: 5, DAY_2: 6, old_year: 7}), warehouse, tables.DAILY_SUMMARY, session.Scratch(spark))
+    tables.upsert(summary(spark, {DAY_2: 9, DAY_3: 1}), warehouse, tables.DAILY_SUMMARY, session.Scratch(spark))
     assert stored(spark, warehouse) == {DAY_1: 5, DAY_2: 9, DAY_3: 1, old_year: 7}
-    tables.upsert(summary(spark, {}), warehouse, tables.DAILY_SUMMARY)
+    tables.upsert(summary(spark, {}), warehouse, tables.DAILY_SUMMARY, session.Scratch(spark))
     assert stored(spark, warehouse) == {DAY_1: 5, DAY_2: 9, DAY_3: 1, old_year: 7}
 
 
@@ -120,8 +122,8 @@ def test_upsert_on_two_keys(spark, tmp_path):
         return frame.withColumn("generado_en", F.current_timestamp())
 
     warehouse = str(tmp_path)
-    tables.upsert(statement([(1, 2023, 5), (1, 2024, 6), (2, 2024, 7)]), warehouse, tables.ANNUAL_STATEMENT)
-    tables.upsert(statement([(1, 2024, 8), (2, 2023, 9)]), warehouse, tables.ANNUAL_STATEMENT)
+    tables.upsert(statement([(1, 2023, 5), (1, 2024, 6), (2, 2024, 7)]), warehouse, tables.ANNUAL_STATEMENT, session.Scratch(spark))
+    tables.upsert(statement([(1, 2024, 8), (2, 2023, 9)]), warehouse, tables.ANNUAL_STATEMENT, session.Scratch(spark))
     rows = tables.read_table(spark, warehouse, tables.ANNUAL_STATEMENT).collect()
     assert {(r["cuenta_id"], r["anio"]): r["saldo_neto_anual"] for r in rows} == {
         (1, 2023): Decimal("5.00"),
@@ -174,11 +176,22 @@ def test_run_ids_are_folder_names(spark, tmp_path):
 
 def test_a_summary_read_touches_only_the_partitions_asked_for(spark, tmp_path):
     warehouse = str(tmp_path)
-    tables.upsert(summary(spark, {DAY_1: 5}), warehouse, tables.DAILY_SUMMARY)
+    tables.upsert(summary(spark, {DAY_1: 5}), warehouse, tables.DAILY_SUMMARY, session.Scratch(spark))
     read = tables.read_table(spark, warehouse, tables.DAILY_SUMMARY).where("anio = 2023")
     assert "PartitionFilters: [isnotnull(anio" in physical_plan(read)
 
 
+def test_scratch_is_gone_after_the_run(spark):
+    with session.Scratch(spark) as scratch:
+        stored = scratch.stage(spark.range(5), "numbers")
+        assert stored.count() == 5 and os.path.isdir(local_path(scratch.folder))
+    assert not os.path.exists(local_path(scratch.folder))
+
+
+def local_path(uri):
+    return uri.removeprefix("file:")
+
+
 # --- shared folder ----------------------------------------------------------------
 
 
