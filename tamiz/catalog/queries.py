@@ -350,13 +350,14 @@ RAGGED_LINE = """case
 def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with too few or too many fields, written to files and read back."""
     feed = feeds.transactions(spark, sf_dir).withColumnRenamed("seq", "k")
-    path = Scratch(spark).path("ragged")
+    scratch = Scratch(spark)
+    path = scratch.path("ragged")
     # One column, no quoting: its name becomes the header line, its text the lines.
     feed.select(F.expr(RAGGED_LINE).alias(",".join(v.TRANSACTION_FIELDS))).write.options(
         header=True, sep="\u0001", quote="\u0000", emptyValue="", ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     ).csv(path)
-    lines = delimited.read_lines(spark, path, v.TRANSACTION_FIELDS)
+    lines, _ = delimited.stage_lines(scratch, path, v.TRANSACTION_FIELDS)
     bad = F.col(delimited.MALFORMED).isNotNull()
     return lines.select(
         *[F.when(~bad, clean(F.col(name))).alias(name) for name in v.TRANSACTION_FIELDS],

@@ -9,6 +9,7 @@ AMOUNT = "decimal(38,18)"
 MONEY = "decimal(15,2)"
 RATE = "decimal(6,4)"
 
+_WHOLE = r"^[+-]?\d+$"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -22,11 +23,17 @@ def decimal_or_null(text: Column) -> Column:
 
 
 def int_or_null(text: Column) -> Column:
-    return text.try_cast("int")
+    """Whole number, or NULL when the text is none or does not fit."""
+    return _whole_or_null(text, "int")
 
 
 def long_or_null(text: Column) -> Column:
-    return text.try_cast("bigint")
+    return _whole_or_null(text, "bigint")
+
+
+def _whole_or_null(text: Column, kind: str) -> Column:
+    # Tested first: a cast that fails costs an exception per row.
+    return F.when(text.rlike(_WHOLE), text.try_cast(kind))
 
 
 def to_money(amount: Column) -> Column:

@@ -5,60 +5,64 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tamiz import vocabulary as v
 from tamiz.functions.text import message
 from tamiz.operators.rules import REJECT_REASON
 from tamiz.session import Scratch, checkpointed
 
-MALFORMED = "_corrupt"
+MALFORMED, COMMENT = "_corrupt", "_comment"
 FILE, BLOCK, POSITION, LINE = "_file", "_block", "_position", "_line"
 SEQ = "seq"
 _FIRST, _BEFORE, _BEFORE_FILE = "__first_position", "__rows_before", "__rows_before_file"
 _HEADER_LINES = 1
+_COMMENT_MARK = "#"
 BROADCAST_BYTES = 64 << 20
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """One row per data line: ``fields`` as text, the raw line in ``_corrupt`` if
-    it has too few or too many fields, and where in the input it stood.
-
-    The header is skipped by position, whatever it says; ``#`` lines are
-    comments.  Column pruning is off in the parser: with it on, a query that
-    reads a part of the columns would not notice a ragged line.  A field cannot
-    span lines, so large files split.  Spark refuses a query over these lines
-    that uses ``_corrupt`` and no other field; over ``stage_lines`` it is fine.
+    """One row per line of the files, header and comments included: ``fields``
+    as text, the raw line in ``_corrupt`` if it has too few or too many fields
+    (a blank line has too few), and where in the input it stood.
+
+    Lines are read as text and split afterwards, so that every line is counted
+    and one that is ragged is noticed whichever columns a query reads.  A field
+    cannot span lines, so large files split.
     """
-    schema = StructType([StructField(name, StringType()) for name in (*fields, MALFORMED)])
-    lines = (
-        spark.read.schema(schema)
-        .options(
-            header=True,
-            enforceSchema=True,
-            sep=",",
-            quote='"',
-            escape='"',
-            comment="#",
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=MALFORMED,
-            columnPruning=False,
+    schema = ", ".join(f"`{name}` string" for name in (*fields, MALFORMED))
+    options = {
+        "sep": ",",
+        "quote": '"',
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": MALFORMED,
+    }
+    blank = F.trim("value") == ""
+    return (
+        spark.read.text([path] if isinstance(path, str) else list(path))
+        .select(
+            F.from_csv("value", schema, options).alias("parsed"),
+            "value",
+            F.col("_metadata.file_path").alias(FILE),
+            F.col("_metadata.file_block_start").alias(BLOCK),
+            F.monotonically_increasing_id().alias(POSITION),
+        )
+        .select(
+            *[F.col(f"parsed.{name}").alias(name) for name in fields],
+            F.when(blank, F.col("value")).otherwise(F.col(f"parsed.{MALFORMED}")).alias(MALFORMED),
+            F.col("value").startswith(_COMMENT_MARK).alias(COMMENT),
+            FILE,
+            BLOCK,
+            POSITION,
         )
-        .csv([path] if isinstance(path, str) else list(path))
-    )
-    return lines.select(
-        *schema.fieldNames(),
-        F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias(BLOCK),
-        F.monotonically_increasing_id().alias(POSITION),
     )
 
 
 def stage_lines(
     scratch: Scratch, path: str | Sequence[str], fields: Sequence[str]
 ) -> tuple[DataFrame, int]:
-    """The lines of ``path``, parsed once into the shared folder and numbered,
-    and how many there are.
+    """The data lines of ``path``, parsed once into the shared folder and
+    numbered, and how many lines there are below the headers.
 
     Everything a job does afterwards reads this columnar copy: the text is
     parsed once, positions no longer depend on how it was split, and a lost
@@ -70,8 +74,9 @@ def stage_lines(
 def number_lines(
     lines: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
 ) -> tuple[DataFrame, int]:
-    """``lines`` with ``seq``, their index in the whole input (0, 1, 2 ..., files
-    in path order), and ``_line``, the line number in the file; and their number.
+    """``lines`` without headers and comments, with ``_line``, the line number
+    in the file, and ``seq``, the index below the headers in the whole input
+    (files in path order); and the number of lines below the headers.
 
     A line's position inside its file split is known when it is read; what is
     missing is the number of lines before the split.  That table has one row
@@ -90,24 +95,23 @@ def number_lines(
     )
     # One row per input file, a list the driver holds anyway to plan the scan.
     all_earlier = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
-    files = (
-        splits.groupBy(FILE)
-        .agg(F.sum("rows").alias("rows"))
-        .select(FILE, F.coalesce(F.sum("rows").over(all_earlier), F.lit(0)).alias(_BEFORE_FILE))
+    files = checkpointed(
+        splits.groupBy(FILE).agg((F.sum("rows") - F.lit(_HEADER_LINES)).alias("rows"))
+    )
+    before = files.select(
+        FILE, F.coalesce(F.sum("rows").over(all_earlier), F.lit(0)).alias(_BEFORE_FILE)
     )
-    offsets = checkpointed(within.join(files, FILE))
-    size, total = splits.agg(
-        F.coalesce(F.sum(F.octet_length(FILE) + F.lit(40)), F.lit(0)),
-        F.coalesce(F.sum("rows"), F.lit(0)),
-    ).first()
+    offsets = checkpointed(within.join(before, FILE))
+    size = offsets.agg(F.sum(F.octet_length(FILE) + F.lit(40))).first()[0] or 0
+    total = files.agg(F.sum("rows")).first()[0] or 0
     if size <= broadcast_bytes:
         offsets = F.broadcast(offsets)
-    in_file = F.col(_BEFORE) + F.col(POSITION) - F.col(_FIRST)
     numbered = (
         lines.join(offsets, [FILE, BLOCK])
-        .withColumn(SEQ, F.col(_BEFORE_FILE) + in_file)
-        .withColumn(LINE, in_file + F.lit(_HEADER_LINES + 1))
-        .drop(_FIRST, _BEFORE, _BEFORE_FILE, POSITION, BLOCK)
+        .withColumn(LINE, F.col(_BEFORE) + F.col(POSITION) - F.col(_FIRST) + F.lit(1))
+        .withColumn(SEQ, F.col(_BEFORE_FILE) + F.col(LINE) - F.lit(_HEADER_LINES + 1))
+        .where((F.col(LINE) > _HEADER_LINES) & ~F.col(COMMENT))
+        .drop(_FIRST, _BEFORE, _BEFORE_FILE, POSITION, BLOCK, COMMENT)
     )
     return numbered, total
 

@@ -12,8 +12,8 @@ from tamiz.sources import delimited, tables
 FIELDS = ("id", "fecha", "monto", "tipo")
 
 
-def read(spark, path):
-    return delimited.read_lines(spark, path, FIELDS)
+def stage(spark, path):
+    return delimited.stage_lines(session.Scratch(spark), path, FIELDS)
 
 
 def test_fields_are_positional_and_malformed_lines_are_kept(spark, tmp_path):
@@ -25,25 +25,40 @@ def test_fields_are_positional_and_malformed_lines_are_kept(spark, tmp_path):
             "2,2024-01-10",
             "# a comment, with, four, fields",
             '"3","10/01/2024"," 5 ","a ""quoted"", b"',
+            "",
             "4,2024-01-10,1,debito,extra",
             "5,,,",
+            "   ",
+            ",,,",
+            'a"b,c,d,e',
         ],
     )
-    rows = read(spark, path)
-    good = rows.where(F.col("_corrupt").isNull()).select(*FIELDS).collect()
-    assert sorted(map(tuple, good), key=str) == sorted(
-        [
-            ("1", "2024-01-10", "100", "credito"),
-            ("3", "10/01/2024", " 5 ", 'a "quoted", b'),
-            ("5", None, None, None),
-        ],
-        key=str,
-    )
-    # Seen from any set of columns, also once all other fields are pruned.
-    assert len(rows.where("_corrupt is not null").select("id").collect()) == 2
-    assert session.Scratch(spark).stage(rows, "lines").where("_corrupt is not null").count() == 2
-    bad = [r[0] for r in rows.where("_corrupt is not null").select("_corrupt", "id").collect()]
-    assert sorted(bad) == ["2,2024-01-10", "4,2024-01-10,1,debito,extra"]
+    rows, total = stage(spark, path)
+    good = rows.where(F.col("_corrupt").isNull()).orderBy("seq")
+    assert [tuple(r) for r in good.select("_line", *FIELDS).collect()] == [
+        (2, "1", "2024-01-10", "100", "credito"),
+        (5, "3", "10/01/2024", " 5 ", 'a "quoted", b'),
+        (8, "5", None, None, None),
+        (10, None, None, None, None),
+        (11, 'a"b', "c", "d", "e"),
+    ]
+    bad = rows.where("_corrupt is not null").orderBy("seq")
+    assert [tuple(r) for r in bad.select("_line", "_corrupt").collect()] == [
+        (3, "2,2024-01-10"),
+        (6, ""),
+        (7, "4,2024-01-10,1,debito,extra"),
+        (9, "   "),
+    ]
+    # Noticed from any set of columns.
+    assert rows.where("_corrupt is not null").count() == 4
+    assert rows.count() == 9 and total == 10  # the comment is a line, not a row
+
+
+def test_line_ends(spark, tmp_path):
+    (tmp_path / "t.csv").write_bytes(b"h,h,h,h\r\n1,a,b,c\r\n2,a,b,c")
+    rows, total = stage(spark, str(tmp_path / "t.csv"))
+    assert sorted((r["id"], r["tipo"]) for r in rows.collect()) == [("1", "c"), ("2", "c")]
+    assert total == 2
 
 
 @pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
@@ -59,7 +74,7 @@ def test_lines_are_numbered_across_splits_and_files(spark, tmp_path, broadcast_b
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     spark.conf.set("spark.sql.files.openCostInBytes", "64")
     try:
-        lines = read(spark, str(tmp_path))
+        lines = delimited.read_lines(spark, str(tmp_path), FIELDS)
         assert lines.rdd.getNumPartitions() > 5
         stored = session.Scratch(spark).stage(lines, "lines")
         numbered, count = delimited.number_lines(stored, broadcast_bytes)
@@ -72,7 +87,7 @@ def test_lines_are_numbered_across_splits_and_files(spark, tmp_path, broadcast_b
 
 def test_malformed_reason_names_line_and_file(spark, tmp_path):
     path = write_text(tmp_path / "t.csv", ["h1,h2,h3,h4", "1,2,3,4", "1,2"])
-    lines, count = delimited.stage_lines(session.Scratch(spark), path, FIELDS)
+    lines, count = stage(spark, path)
     assert count == 2
     row = delimited.malformed(lines).first()
     assert row["seq"] == 1
