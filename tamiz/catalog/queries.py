@@ -169,9 +169,8 @@ def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def undated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detail rows that no day's summary contains, by status."""
     detail = transactions.classify_transactions(feeds.transactions(spark, sf_dir))
-    return status_histogram(detail.where(F.col("fecha").isNull()))
+    return transactions.undated_by_status(detail)
 
 
 def summary_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,3 +109,12 @@ def daily_summary(detail: DataFrame) -> DataFrame:
         )
         .where(F.col("total_transacciones") > 0)
     )
+
+
+def undated_by_status(detail: DataFrame) -> DataFrame:
+    """Rows that no day's summary contains, by status."""
+    return (
+        detail.groupBy("estado")
+        .agg(F.count_if(F.col("fecha").isNull()).alias("cantidad"))
+        .where(F.col("cantidad") > 0)
+    )

@@ -84,26 +84,26 @@ def number_lines(
     and broadcast while small, joined by shuffle (a split is a bounded group)
     beyond that.
     """
-    splits = checkpointed(
-        lines.groupBy(FILE, BLOCK).agg(
-            F.count(F.lit(1)).alias("rows"), F.min(POSITION).alias(_FIRST)
-        )
+    splits = lines.groupBy(FILE, BLOCK).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(POSITION).alias(_FIRST)
     )
     earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    within = splits.select(
-        FILE, BLOCK, _FIRST, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(_BEFORE)
-    )
+    within = splits.withColumn(_BEFORE, F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
     # One row per input file, a list the driver holds anyway to plan the scan.
     all_earlier = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
-    files = checkpointed(
-        splits.groupBy(FILE).agg((F.sum("rows") - F.lit(_HEADER_LINES)).alias("rows"))
-    )
-    before = files.select(
-        FILE, F.coalesce(F.sum("rows").over(all_earlier), F.lit(0)).alias(_BEFORE_FILE)
+    below_header = F.sum("rows") - F.lit(_HEADER_LINES)
+    before = (
+        splits.groupBy(FILE)
+        .agg(below_header.alias("rows"))
+        .select(FILE, F.coalesce(F.sum("rows").over(all_earlier), F.lit(0)).alias(_BEFORE_FILE))
     )
     offsets = checkpointed(within.join(before, FILE))
-    size = offsets.agg(F.sum(F.octet_length(FILE) + F.lit(40))).first()[0] or 0
-    total = files.agg(F.sum("rows")).first()[0] or 0
+    size, rows, files = offsets.agg(
+        F.coalesce(F.sum(F.octet_length(FILE) + F.lit(48)), F.lit(0)),
+        F.coalesce(F.sum("rows"), F.lit(0)),
+        F.count_distinct(FILE),
+    ).first()
+    offsets = offsets.drop("rows")
     if size <= broadcast_bytes:
         offsets = F.broadcast(offsets)
     numbered = (
@@ -113,7 +113,7 @@ def number_lines(
         .where((F.col(LINE) > _HEADER_LINES) & ~F.col(COMMENT))
         .drop(_FIRST, _BEFORE, _BEFORE_FILE, POSITION, BLOCK, COMMENT)
     )
-    return numbered, total
+    return numbered, rows - _HEADER_LINES * files
 
 
 def readable(lines: DataFrame) -> DataFrame:
