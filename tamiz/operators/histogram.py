@@ -1,4 +1,4 @@
-"""Row counts by status, by outcome or by the task that holds the rows."""
+"""Row counts by status or by worker, and sums of summaries made in parts."""
 
 from __future__ import annotations
 
@@ -14,5 +14,12 @@ def rows_per_worker(detail: DataFrame, worker: str = "procesado_por_hilo") -> Da
     return detail.groupBy(worker).agg(F.count(F.lit(1)).alias("cantidad"))
 
 
+def add_up(parts: DataFrame, *keys: str, leaving_out: tuple[str, ...] = ()) -> DataFrame:
+    """Summaries of disjoint parts of a table, added up per key to the summary
+    of the whole.  For measures that are counts and sums."""
+    measures = [name for name in parts.columns if name not in {*keys, *leaving_out}]
+    return parts.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
+
+
 def worker_name() -> Column:
     return F.concat(F.lit("particion-"), F.spark_partition_id().cast("string"))

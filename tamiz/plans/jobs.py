@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tamiz import vocabulary as v
 from tamiz.functions.text import render_row
-from tamiz.operators.histogram import worker_name
+from tamiz.operators.histogram import add_up, worker_name
 from tamiz.operators.quality import enforce_gate, reject_log, rejects_by_slice, run_counters
 from tamiz.operators.rules import REJECTED, split
 from tamiz.operators.slices import slice_of_index
@@ -68,8 +68,19 @@ def _process_log(rejected: DataFrame, config: Any, item: Column) -> DataFrame:
     return reject_log(rejected, config.job_name, config.step_name, item)
 
 
-def _year_of_day(summary: DataFrame) -> DataFrame:
-    return summary.withColumn("anio", F.year("fecha"))
+def _rows_of(detail: DataFrame, run_id: str) -> DataFrame:
+    return detail.where(F.col(tables.RUN) == run_id)
+
+
+def _over_all_runs(
+    added: DataFrame, warehouse: str, table: tables.Table, run_id: str, *keys: str
+) -> DataFrame:
+    """The summary of the whole detail table, of which only the rows of this run
+    are read: what every run adds is kept, and all measures are counts and sums.
+    The work of a run so does not grow with the runs before it."""
+    tables.write_run(added, warehouse, table, run_id=run_id)
+    parts = tables.read_table(added.sparkSession, warehouse, table)
+    return add_up(parts, *keys, leaving_out=(tables.RUN,))
 
 
 def _stamped(summary: DataFrame) -> DataFrame:
@@ -96,7 +107,12 @@ def daily_report(
     )
 
     detail = tables.read_table(spark, warehouse, tables.TRANSACTIONS)
-    summary = _stamped(_year_of_day(transactions.daily_summary(detail)))
+    added = transactions.daily_summary(_rows_of(detail, run_id))
+    summary = _stamped(
+        _over_all_runs(added, warehouse, tables.DAILY_PARTS, run_id, "fecha").withColumn(
+            "anio", F.year("fecha")
+        )
+    )
     tables.upsert(summary, warehouse, tables.DAILY_SUMMARY, scratch)
     counters = run_counters(config.job_name, config.step_name, rows, F.lit(False), unreadable=bad)
     return counters, detail, tables.read_table(spark, warehouse, tables.DAILY_SUMMARY)
@@ -168,7 +184,10 @@ def annual_statements(
     tables.write_run(detail, warehouse, tables.MOVEMENTS, run_id=run_id)
 
     detail = tables.read_table(spark, warehouse, tables.MOVEMENTS)
-    summary = _stamped(statements.annual_statement(detail))
+    added = statements.annual_statement(_rows_of(detail, run_id))
+    summary = _stamped(
+        _over_all_runs(added, warehouse, tables.STATEMENT_PARTS, run_id, "cuenta_id", "anio")
+    )
     tables.upsert(summary, warehouse, tables.ANNUAL_STATEMENT, scratch)
     counters = run_counters(
         config.job_name,

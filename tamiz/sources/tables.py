@@ -56,19 +56,32 @@ ERROR_LOG = Table(
     "ocurrido_en timestamp, job_name string, run_id string",
     partition=("job_name", RUN),
 )
+_DAILY_MEASURES = (
+    "total_transacciones int, total_validas int, total_anomalias int, total_duplicadas int, "
+    "monto_total_credito decimal(15,2), monto_total_debito decimal(15,2)"
+)
+_STATEMENT_MEASURES = (
+    "total_depositos decimal(15,2), total_salidas decimal(15,2), "
+    "saldo_neto_anual decimal(15,2), cantidad_movimientos int, cantidad_anomalias int"
+)
+# What each run adds to a summary; the summary itself is their sum.
+DAILY_PARTS = Table(
+    "resumen_transacciones_diarias_por_ejecucion",
+    f"fecha date, {_DAILY_MEASURES}, run_id string",
+)
+STATEMENT_PARTS = Table(
+    "estado_cuenta_anual_por_ejecucion",
+    f"cuenta_id bigint, anio int, {_STATEMENT_MEASURES}, run_id string",
+)
 DAILY_SUMMARY = Table(
     "resumen_transacciones_diarias",
-    "fecha date, total_transacciones int, total_validas int, total_anomalias int, "
-    "total_duplicadas int, monto_total_credito decimal(15,2), "
-    "monto_total_debito decimal(15,2), generado_en timestamp, anio int",
+    f"fecha date, {_DAILY_MEASURES}, generado_en timestamp, anio int",
     partition=("anio",),
     key=("fecha",),
 )
 ANNUAL_STATEMENT = Table(
     "estado_cuenta_anual",
-    "cuenta_id bigint, total_depositos decimal(15,2), total_salidas decimal(15,2), "
-    "saldo_neto_anual decimal(15,2), cantidad_movimientos int, cantidad_anomalias int, "
-    "generado_en timestamp, anio int",
+    f"cuenta_id bigint, {_STATEMENT_MEASURES}, generado_en timestamp, anio int",
     partition=("anio",),
     key=("cuenta_id", "anio"),
 )

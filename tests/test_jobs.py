@@ -7,7 +7,10 @@ import pytest
 from conftest import write_text
 
 from tamiz import vocabulary as v
+from tamiz.__main__ import main
 from tamiz.operators.quality import QualityGateError
+from tamiz.operators.rules import split
+from tamiz.plans import statements, transactions
 from tamiz.plans.interest import InterestConfig
 from tamiz.plans.jobs import run_job
 from tamiz.plans.transactions import TransactionsConfig
@@ -127,6 +130,47 @@ def test_repeating_a_run_counts_once_and_a_new_run_adds(spark, tmp_path):
     assert rows_of(result.summary, *SUMMARY_COLUMNS) == sorted(expected, key=str)
 
 
+def test_summaries_added_up_equal_the_summary_of_the_whole_table(spark, tmp_path):
+    warehouse = str(tmp_path / "tablas")
+    header, *lines = TRANSACTIONS
+    loads = [("r1", lines[:5]), ("r2", lines[3:]), ("r3", lines[6:]), ("r2", lines[8:])]
+    for run_id, load in loads:
+        source = write_text(tmp_path / f"{run_id}.csv", [header, *load])
+        result = run_job(spark, v.DAILY_REPORT_JOB, source, warehouse, run_id)
+    whole = transactions.daily_summary(result.detail)
+    assert rows_of(result.summary, *SUMMARY_COLUMNS) == rows_of(whole, *SUMMARY_COLUMNS)
+
+    header, *lines = MOVEMENTS
+    for run_id, load in [("r1", lines[:8]), ("r2", lines[4:]), ("r1", lines[:9])]:
+        source = write_text(tmp_path / f"m-{run_id}.csv", [header, *load])
+        result = run_job(spark, v.ANNUAL_STATEMENT_JOB, source, warehouse, run_id)
+    whole = statements.annual_statement(result.detail)
+    assert rows_of(result.summary, *whole.columns) == rows_of(whole, *whole.columns)
+
+
+def test_rates_and_age_range_are_settings(spark, tmp_path):
+    source = write_text(tmp_path / "i.csv", [ACCOUNTS[0], "1,A,100,20,Oro", "2,B,100,20,ahorro"])
+    config = InterestConfig(rates={"oro": "0.02"}, min_age=21, max_age=65)
+    result = run_job(
+        spark, v.MONTHLY_INTEREST_JOB, source, str(tmp_path / "tablas"), "r1", config
+    )
+    (row,) = result.detail.collect()
+    assert (row["tipo"], row["interes_calculado"], row["edad_utilizada"]) == (
+        "oro",
+        Decimal("2.00"),
+        21,
+    )
+    assert "acoto al minimo (21)" in row["observacion"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    source = write_text(tmp_path / "t.csv", TRANSACTIONS)
+    folder = str(tmp_path / "tablas")
+    main([v.DAILY_REPORT_JOB, "--source", source, "--warehouse", folder, "--run-id", "r1"])
+    printed = capsys.readouterr().out
+    assert "run r1" in printed and "leidos=11" in printed and "saltados_lectura=1" in printed
+
+
 ACCOUNTS = [
     "cuenta_id,nombre,saldo,edad,tipo",
     "101,Ana,1000,30,ahorro",
@@ -302,3 +346,26 @@ def test_jobs_are_chosen_by_name(spark, tmp_path):
 def test_a_missing_input_fails(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         run_job(spark, v.ANNUAL_STATEMENT_JOB, str(tmp_path / "no.csv"), str(tmp_path / "t"))
+
+
+def test_row_rules_apply_to_a_stream_unchanged(spark, tmp_path):
+    header, *lines = MOVEMENTS
+    schema = ", ".join(f"{name} string" for name in header.split(","))
+    write_text(tmp_path / "m.csv", lines)
+    batch = statements.movement_detail(
+        split(statements.classify_movements(spark.read.schema(schema).csv(str(tmp_path))))[0]
+    )
+    stream = statements.movement_detail(
+        split(
+            statements.classify_movements(
+                spark.readStream.schema(schema).option("pathGlobFilter", "*.csv").csv(str(tmp_path))
+            )
+        )[0]
+    )
+    query = stream.writeStream.format("memory").queryName("movimientos").start()
+    try:
+        query.processAllAvailable()
+        found = rows_of(spark.table("movimientos"), *batch.columns)
+    finally:
+        query.stop()
+    assert found == rows_of(batch, *batch.columns) and len(found) == 11
