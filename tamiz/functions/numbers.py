@@ -13,13 +13,17 @@ _WHOLE = r"^[+-]?\d+$"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+def is_number(text: Column) -> Column:
+    return text.rlike(_NUMBER)
+
+
 def decimal_or_null(text: Column) -> Column:
     """Amount, or NULL when the text is not a number.
 
     A number too large for any money column is not "missing": the guarded ANSI
     cast raises on it, so it can never be filed as one more anomalous row.
     """
-    return F.when(text.rlike(_NUMBER), text.cast(AMOUNT))
+    return F.when(is_number(text), text.cast(AMOUNT))
 
 
 def int_or_null(text: Column) -> Column:
