@@ -176,9 +176,11 @@ def undated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summary_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads that share many days: the summary of the credits is upserted
     over that of all other rows, and the stored table is the result."""
-    detail = transactions.classify_transactions(feeds.transactions(spark, sf_dir))
     scratch = Scratch(spark)
     warehouse = scratch.path("warehouse")
+    detail = scratch.stage(
+        transactions.classify_transactions(feeds.transactions(spark, sf_dir)), "detail"
+    )
     for part in (detail.where("tipo <> 'credito'"), detail.where("tipo = 'credito'")):
         summary = transactions.daily_summary(part).withColumn("anio", F.year("fecha"))
         tables.upsert(
@@ -300,10 +302,10 @@ def annual_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
 def statement_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads that share many keys: statements of the outflows upserted over
     those of all other movements."""
-    detail = movements_classified(spark, sf_dir)
-    outflows = statements.is_outflow(F.col("tipo_transaccion"))
     scratch = Scratch(spark)
     warehouse = scratch.path("warehouse")
+    detail = scratch.stage(movements_classified(spark, sf_dir), "detail")
+    outflows = statements.is_outflow(F.col("tipo_transaccion"))
     for part in (detail.where(~outflows), detail.where(outflows)):
         statement = statements.annual_statement(part)
         tables.upsert(
