@@ -4,19 +4,89 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tamiz.llm.bpe import decode_ids, encode_texts
+from tamiz.llm.decontaminate import mark_overlaps
 from tamiz.llm.jaccard_join import jaccard_components
+from tamiz.llm.language_id import LanguageModel, fit_languages, predict_languages
+from tamiz.llm.toxicity import OrdinalModel, fit_toxicity, score_toxicity
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+#: A text is rejected as toxic from this probability of a grade above 0 on.
+TOXIC_FROM = 0.5
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(id_col: str, folds: int) -> Column:
+    return F.crc32(F.col(id_col).cast("string")) % folds
+
+
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digests(decode_ids(encode_texts(documents, WORD_BPE), WORD_BPE))
+
+
+def digests(decoded: DataFrame) -> DataFrame:
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
+    """Grades from the two labels: 0 not toxic, 1 toxic, 2 toxic and of low quality."""
+    grade = F.when(F.col("toxic") == 0, 0).when(F.col("quality") == 0, 2).when(F.col("toxic") == 1, 1)
+    return fit_toxicity(docs, labels.select("doc_id", grade.alias("grade")))
+
+
+def toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(documents, table(spark, sf_dir, "labels"))
+    return score_toxicity(documents, model).select(
+        "doc_id", "severity", "p_toxic", (F.col("p_toxic") >= TOXIC_FROM).alias("is_toxic")
+    )
+
+
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(_table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def language_model(docs: DataFrame) -> LanguageModel:
+    learning = docs.where(fold("doc_id", 4) != 2)
+    return fit_languages(learning, "text", "lang", F.xxhash64("doc_id"))
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language_model(documents)
+    return predict_languages(documents, model, keep=("doc_id",)).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = mark_overlaps(documents, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id",
+        (F.size("overlaps") > 0).alias("contaminated"),
+        F.col("overlaps.item_id").alias("item_ids"),
+        F.col("overlaps.matched").alias("matched_words"),
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe_round_trip": bpe_round_trip,
+    "op2_toxicity_severity": toxicity_severity,
     "op4_ngram_jaccard_join": ngram_jaccard_join,
+    "op7_language_id": language_id,
+    "op10_benchmark_decontamination": benchmark_decontamination,
 }
