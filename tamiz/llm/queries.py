@@ -9,11 +9,30 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tamiz.llm.bpe import decode_ids, encode_texts
 from tamiz.llm.decontaminate import mark_overlaps
+from tamiz.llm.frames import scratch_of
 from tamiz.llm.jaccard_join import jaccard_components
 from tamiz.llm.language_id import LanguageModel, fit_languages, predict_languages
+from tamiz.llm.lattice_lm import lattice_scores, read_pieces
+from tamiz.llm.projection_forest import near_embeddings
+from tamiz.llm.token_counts import count_tokens
 from tamiz.llm.toxicity import OrdinalModel, fit_toxicity, score_toxicity
+from tamiz.llm.url_filter import ALLOW, BLOCK, judge_urls
+from tamiz.llm.warc import ID_PREFIX, PAYLOAD_LENGTH, read_warc, write_warc
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+TOKEN_LIMIT = 1024
+#: (host, path, verdict); the longest that fits decides.
+URL_RULES = (
+    ("org", "", ALLOW),
+    ("example.org", "es/", BLOCK),
+    ("example.org", "en/1", BLOCK),
+    ("com", "fr/", ALLOW),
+    ("com", "de/", BLOCK),
+)
+#: Pages whose id is divisible by this are the listed ones.
+LISTED_EVERY = 10
 #: A text is rejected as toxic from this probability of a grade above 0 on.
 TOXIC_FROM = 0.5
 
@@ -55,10 +74,30 @@ def toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return lattice_scores(documents, read_pieces(PIECES), fold("doc_id", 7) != 2)
+
+
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no list of URLs, so the URLs of every tenth page are the
+    listed ones; the list grows with the table."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(pages, rules, pages.where(F.col("page_id") % LISTED_EVERY == 0).select("url"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts with a cache of its own, so every distinct content is a miss once."""
+    documents = table(spark, sf_dir, "documents")
+    counted = count_tokens(documents, BYTE_BPE, scratch_of(documents).path("token_counts"))
+    return counted.select("*", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 def language_model(docs: DataFrame) -> LanguageModel:
     learning = docs.where(fold("doc_id", 4) != 2)
     return fit_languages(learning, "text", "lang", F.xxhash64("doc_id"))
@@ -72,6 +111,29 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def embedding_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archives = scratch_of(pages).path("archives")
+    write_warc(pages, archives)
+    records = read_warc(spark, archives).where("problem is null")
+    header = lambda name: F.col("headers")[name]
+    page = lambda name: F.regexp_extract(header(name), f"<{ID_PREFIX}(-?[0-9]+)>", 1).try_cast("bigint")
+    kind = header("WARC-Type")
+    return records.select(
+        page("WARC-Record-ID").alias("page_id"),
+        F.when(kind == "response", F.octet_length("payload").cast("bigint"))
+        .otherwise(header(PAYLOAD_LENGTH).cast("bigint"))
+        .alias("payload_bytes"),
+        F.substring_index(header("WARC-Payload-Digest"), ":", -1).alias("payload_digest"),
+        kind.alias("record_type"),
+        page("WARC-Refers-To").alias("refers_to"),
+    )
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = mark_overlaps(documents, table(spark, sf_dir, "benchmark"))
@@ -86,7 +148,12 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": bpe_round_trip,
     "op2_toxicity_severity": toxicity_severity,
+    "op3_lattice_lm": lm_scores,
     "op4_ngram_jaccard_join": ngram_jaccard_join,
+    "op5_url_filter": url_filter,
+    "op6_token_counts": token_counts,
     "op7_language_id": language_id,
+    "op8_embedding_near_copies": embedding_near_copies,
+    "op9_warc_round_trip": warc_round_trip,
     "op10_benchmark_decontamination": benchmark_decontamination,
 }
