@@ -28,6 +28,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         # A generated method above 8000 bytes is never compiled to machine code.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

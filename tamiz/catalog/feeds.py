@@ -48,11 +48,11 @@ _ACCOUNT_FIELDS = [
         when segment = 'MACHINERY' then ' Prestamo'
         when segment = 'HOUSEHOLD' then 'hipoteca' else '-1' end as tipo""",
 ]
-ACCOUNTS = ["k as seq", "cast(k as string) as cuenta_id", "name as nombre", *_ACCOUNT_FIELDS]
-# Every twentieth line comes a second time, later and spelled differently.
+ACCOUNTS = ["2 * k as seq", "cast(k as string) as cuenta_id", "name as nombre", *_ACCOUNT_FIELDS]
+# Every twentieth line comes a second time, next and spelled differently.
 ACCOUNT_COPIED = "k % 20 = 0"
 ACCOUNT_COPIES = [
-    "k + 10000000 as seq",
+    "2 * k + 1 as seq",
     "cast(k as string) as cuenta_id",
     "upper(name) as nombre",
     *_ACCOUNT_FIELDS,

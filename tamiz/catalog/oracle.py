@@ -153,7 +153,7 @@ def _annual(source: str) -> str:
 
 
 def _as_int(columns: str, counts: tuple[str, ...]) -> str:
-    casts = ", ".join(f"cast({name} as int) as {name}" for name in counts)
+    casts = ", ".join(f"cast({name} as bigint) as {name}" for name in counts)
     return f"* replace ({casts})" if columns == "*" else columns
 
 
@@ -171,6 +171,11 @@ def _histogram(source: str, label: str) -> str:
     )
 
 
+def _part(sql: str, feed: str, name: str, condition: str) -> str:
+    """The same tables over some lines of a feed, under another name."""
+    return sql.replace(f"from {feed})", f"from {feed} where {condition})").replace(f"{feed}_", f"{name}_")
+
+
 _OUTFLOW = "tipo_transaccion in ('retiro', 'compra')"
 _T_SQL, _I_SQL, _M_SQL = _with(_T), _with(_I), _with(_M)
 _INTEREST_NAMES = f"'{v.MONTHLY_INTEREST_JOB}' as job_name, '{v.MONTHLY_INTEREST_STEP}' as step_name"
@@ -300,6 +305,19 @@ ORACLE: dict[str, str] = {
     "monthly_interest_job": _I_SQL + "select * exclude (seq) from I_detail",
     "monthly_interest_job_counters": _I_SQL + _COUNTERS + " from I_judged",
     "monthly_interest_job_log": _I_SQL + f"select 'run-1' as run_id, {_INTEREST_LOG}",
+    "rows_by_worker": _T_SQL
+    + """select count(*) as filas, cast(0 as bigint) as sin_trabajador,
+        cast(0 as bigint) as sin_hora, true as cuadra from T_detail""",
+    "daily_report_two_runs": _with(
+        _part(_T, "T", "Ta", "seq % 3 = 0"), _part(_T, "T", "Tb", "seq % 16 = 0")
+    )
+    + f""", T_both as (select * from Ta_detail union all select * from Tb_detail)
+    select {_as_int('*', _DAILY_COUNTS)} from ({_daily('T_both where true')})""",
+    "annual_statement_two_runs": _with(
+        _part(_M, "M", "Ma", "pedido % 3 = 0"), _part(_M, "M", "Mb", "pedido % 16 = 0")
+    )
+    + f""", M_both as (select * from Ma_detail union all select * from Mb_detail)
+    select {_as_int('*', _ANNUAL_COUNTS)} from ({_annual('M_both where true')})""",
     "annual_statement_job": _M_SQL
     + f"select {_as_int('*', _ANNUAL_COUNTS)} from ({_annual('M_detail where true')})",
 }

@@ -205,8 +205,24 @@ def detail_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rows_by_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows stored with worker and time, counted from the stored table.  Which
+    worker had which row depends on the run, so the counts are checked, not listed."""
     detail = transactions.classify_transactions(feeds.transactions(spark, sf_dir))
-    return rows_per_worker(detail.withColumn("procesado_por_hilo", worker_name()))
+    stamped = detail.withColumn("procesado_por_hilo", worker_name()).withColumn(
+        "procesado_en", F.current_timestamp()
+    )
+    warehouse = Scratch(spark).path("warehouse")
+    tables.write_run(stamped, warehouse, tables.TRANSACTIONS, run_id="run-1")
+    stored = tables.read_table(spark, warehouse, tables.TRANSACTIONS)
+    by_worker = rows_per_worker(stored).agg(F.sum("cantidad").alias("por_trabajador"))
+    rows = stored.agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.count_if(F.col("procesado_por_hilo").isNull()).alias("sin_trabajador"),
+        F.count_if(F.col("procesado_en").isNull()).alias("sin_hora"),
+    )
+    return rows.join(by_worker, F.col("filas") == F.col("por_trabajador"), "left").select(
+        "filas", "sin_trabajador", "sin_hora", F.col("por_trabajador").isNotNull().alias("cuadra")
+    )
 
 
 # --- interest -----------------------------------------------------------------
@@ -409,6 +425,28 @@ def annual_statement_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.summary.drop("generado_en").orderBy("cuenta_id", "anio")
 
 
+def daily_report_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs into one warehouse, then the first again with a third of its
+    lines: days that only the others had are gone from the summary."""
+    feed = feeds.transactions(spark, sf_dir)
+    warehouse = Scratch(spark).path("warehouse")
+    for run_id, lines in (("a", "true"), ("b", "seq % 16 = 0"), ("a", "seq % 3 = 0")):
+        path = _written_feed(spark, feed.where(lines), v.TRANSACTION_FIELDS, "seq")
+        result = run_job(spark, v.DAILY_REPORT_JOB, path, warehouse, run_id)
+    return result.summary.drop("generado_en", "anio").orderBy("fecha")
+
+
+def annual_statement_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``daily_report_two_runs``; accounts and years vanish."""
+    feed = feeds.movements(spark, sf_dir)
+    warehouse = Scratch(spark).path("warehouse")
+    config = statements.StatementsConfig(reject_limit=OPEN_GATE)
+    for run_id, lines in (("a", "true"), ("b", "pedido % 16 = 0"), ("a", "pedido % 3 = 0")):
+        path = _written_feed(spark, feed.where(lines), v.MOVEMENT_FIELDS, "pedido", "linea")
+        result = run_job(spark, v.ANNUAL_STATEMENT_JOB, path, warehouse, run_id, config)
+    return result.summary.drop("generado_en").orderBy("cuenta_id", "anio")
+
+
 QUERIES: dict[str, Query] = {
     "flexible_date_parse": flexible_date_parse,
     "flexible_date_parse_strict": flexible_date_parse_strict,
@@ -444,4 +482,6 @@ QUERIES: dict[str, Query] = {
     "monthly_interest_job_counters": monthly_interest_job_counters,
     "monthly_interest_job_log": monthly_interest_job_log,
     "annual_statement_job": annual_statement_job,
+    "daily_report_two_runs": daily_report_two_runs,
+    "annual_statement_two_runs": annual_statement_two_runs,
 }

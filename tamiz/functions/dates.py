@@ -9,8 +9,9 @@ from tamiz.functions.text import is_blank, message
 
 # The layouts yyyy-MM-dd, dd-MM-yyyy, dd/MM/yyyy and yyyy/MM/dd,
 # with year 1-9999, month 1-12 and day 1-31.  No text fits more than one.
-_YEAR_FIRST = r"^(?!0000)\d{4}([-/])(0[1-9]|1[0-2])\1(0[1-9]|[12]\d|3[01])$"
-_DAY_FIRST = r"^(0[1-9]|[12]\d|3[01])([-/])(0[1-9]|1[0-2])\2(?!0000)\d{4}$"
+# "\z", because "$" also matches before a final line terminator.
+_YEAR_FIRST = r"\A(?!0000)\d{4}([-/])(0[1-9]|1[0-2])\1(0[1-9]|[12]\d|3[01])\z"
+_DAY_FIRST = r"\A(0[1-9]|[12]\d|3[01])([-/])(0[1-9]|1[0-2])\2(?!0000)\d{4}\z"
 
 
 def flexible_date(text: Column, month_end: str = "clamp") -> Column:

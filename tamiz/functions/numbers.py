@@ -4,26 +4,60 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Wide enough that rules see an amount unrounded; rounding happens at the sink.
 AMOUNT = "decimal(38,18)"
 MONEY = "decimal(15,2)"
 RATE = "decimal(6,4)"
+# What fits a money column, with the scale of an amount; times a rate it is
+# exactly 38 digits, so a product is rounded once.
+BALANCE = "decimal(31,18)"
 
-_WHOLE = r"^[+-]?\d+$"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# "\z", because "$" also matches before a final line terminator.
+_WHOLE = r"\A[+-]?[0-9]+\z"
+_NUMBER = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+_NOT_ZERO = r"\A[^eE]*[1-9]"
+_LONG_FRACTION = r"\A([^eE.]*\.[0-9]{18})[0-9]+\z"
 
 
 def is_number(text: Column) -> Column:
     return text.rlike(_NUMBER)
 
 
+def is_negative(text: Column) -> Column:
+    """Whether a number is below zero, judged on all its digits; false for other text."""
+    return is_number(text) & text.startswith("-") & text.rlike(_NOT_ZERO)
+
+
+def is_positive(text: Column) -> Column:
+    """Whether a number is above zero, judged on all its digits; false for other text."""
+    return is_number(text) & ~text.startswith("-") & text.rlike(_NOT_ZERO)
+
+
+def _storable(text: Column) -> Column:
+    """Digits after the 18th decimal are cut off: rounding them here would round
+    the amount twice."""
+    return F.when(
+        F.length(text) > 19, F.regexp_replace(text, _LONG_FRACTION, "$1")
+    ).otherwise(text)
+
+
 def decimal_or_null(text: Column) -> Column:
-    """Amount, or NULL when the text is not a number.
+    """Amount of a row that is stored, or NULL when the text is not a number.
 
     A number too large for any money column is not "missing": the guarded ANSI
     cast raises on it, so it can never be filed as one more anomalous row.
     """
-    return F.when(is_number(text), text.cast(AMOUNT))
+    return F.when(is_number(text), _storable(text).cast(AMOUNT))
+
+
+def decimal_if_it_fits(text: Column) -> Column:
+    """Amount, or NULL when the text is not a number or too large: for rows that
+    may yet be rejected.  ``required`` restores the error for those that are not."""
+    return F.when(is_number(text), _storable(text).try_cast(AMOUNT))
+
+
+def required(amount: Column, text: Column) -> Column:
+    """``amount``, or where that is NULL the amount of ``text``, too large or not."""
+    return F.coalesce(amount, decimal_or_null(text))
 
 
 def int_or_null(text: Column) -> Column:
@@ -69,11 +103,11 @@ def rate_for(category: Column, rates: dict[str, str]) -> Column:
 
 
 def interest_on(balance: Column, rate: Column) -> Column:
-    return F.round(balance * rate, 2).cast(MONEY)
+    return F.round(balance.cast(BALANCE) * rate, 2).cast(MONEY)
 
 
 def balance_after(balance: Column, interest: Column) -> Column:
-    return F.round(balance + interest, 2).cast(MONEY)
+    return F.round(balance.cast(BALANCE) + interest, 2).cast(MONEY)
 
 
 def clamp(value: Column, low: int, high: int) -> Column:

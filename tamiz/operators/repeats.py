@@ -111,20 +111,35 @@ def _join_hot_and_cold(
 
 
 def drop_copies(
-    rows: DataFrame, keys: Sequence[Column], seq: str, copies: str = "copies"
+    rows: DataFrame,
+    keys: Sequence[Column],
+    seq: str,
+    copies: str = "copies",
+    limits: RepeatLimits = RepeatLimits(),
 ) -> DataFrame:
     """One row per key, the one with the lowest ``seq`` as it was spelled, and
     how many rows it stands for.
 
-    The lowest ``seq`` per key comes from a hash aggregate, whose copies combine
-    on the map side: a group of identical rows is one row per input task before
-    the shuffle.  Its rows are then picked by ``seq``, a unique key that cannot
-    be skewed.  (Carrying the row itself through the aggregate would make it a
-    sort-based one, twice as slow.)
+    A hash aggregate, whose copies combine on the map side, finds the keys of
+    more than one row; a group of identical rows is one row per input task
+    before the shuffle.  Only these keys are kept.  While their measured table
+    is small it is broadcast and the rows stay where they are; a row whose key
+    is not in it has no copies.  Beyond that the lowest ``seq`` of every key is
+    joined to the rows by ``seq``, which is unique and so cannot be skewed.
     """
-    first = (
-        rows.groupBy(*[key.alias(f"__key_{position}") for position, key in enumerate(keys)])
-        .agg(F.min(seq).alias(seq), F.count(F.lit(1)).alias(copies))
-        .select(seq, copies)
+    names = [f"__key_{position}" for position in range(len(keys))]
+    named = [key.alias(name) for key, name in zip(keys, names)]
+    grouped = rows.groupBy(*named).agg(
+        F.min(seq).alias(_FIRST), F.count(F.lit(1)).alias(_COPIES)
+    )
+    repeated = checkpointed(grouped.where(F.col(_COPIES) > 1))
+    width = sum((F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names), F.lit(48))
+    if (repeated.agg(F.sum(width)).first()[0] or 0) > limits.broadcast_bytes:
+        first = grouped.select(F.col(_FIRST).alias(seq), F.col(_COPIES).alias(copies))
+        return rows.join(first, seq).select(*rows.columns, copies)
+    same = [key.eqNullSafe(F.col(name)) for key, name in zip(keys, names)]
+    joined = rows.join(F.broadcast(repeated), same, "left")
+    first_or_only = F.col(_FIRST).isNull() | (F.col(seq) == F.col(_FIRST))
+    return joined.where(first_or_only).select(
+        *rows.columns, F.coalesce(_COPIES, F.lit(1).cast("bigint")).alias(copies)
     )
-    return rows.join(first, seq).select(*rows.columns, copies)

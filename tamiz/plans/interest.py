@@ -10,12 +10,15 @@ from tamiz import vocabulary as v
 from tamiz.functions.numbers import (
     balance_after,
     clamp,
-    decimal_or_null,
+    decimal_if_it_fits,
     int_or_null,
     interest_on,
+    is_negative,
+    is_number,
     long_or_null,
     number_text,
     rate_for,
+    required,
     to_money,
 )
 from tamiz.functions.text import clean, message, normalise
@@ -64,8 +67,10 @@ def distinct_accounts(feed: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def account_rejects(allowed_types) -> list[Reject]:
-    """In order; the first that holds is the one logged.  Zero is a fine balance."""
-    balance = F.col("saldo_leido")
+    """In order; the first that holds is the one logged.  Zero is a fine balance.
+    All look at the text: an amount that no column holds is an error only in a
+    row that is kept."""
+    balance = F.col("saldo")
     return [
         Reject(
             not_in(F.col("tipo_normal"), allowed_types),
@@ -73,13 +78,13 @@ def account_rejects(allowed_types) -> list[Reject]:
             v.BAD_CATEGORY,
         ),
         Reject(
-            balance.isNull(),
+            ~is_number(balance),
             message(v.MSG_BALANCE_MISSING, F.col("cuenta_id")),
             v.BAD_AMOUNT,
         ),
         Reject(
-            balance < 0,
-            message(v.MSG_BALANCE_NEGATIVE, number_text(F.col("saldo"))),
+            is_negative(balance),
+            message(v.MSG_BALANCE_NEGATIVE, number_text(balance)),
             v.BAD_AMOUNT,
         ),
     ]
@@ -102,7 +107,7 @@ def parse_accounts(accounts: DataFrame) -> DataFrame:
     return accounts.select(
         "*",
         normalise(F.col("tipo")).alias("tipo_normal"),
-        decimal_or_null(F.col("saldo")).alias("saldo_leido"),
+        decimal_if_it_fits(F.col("saldo")).alias("saldo_leido"),
         int_or_null(F.col("edad")).alias("edad_original"),
     )
 
@@ -118,7 +123,7 @@ def classify_accounts(
 
 def interest_detail(kept: DataFrame, config: InterestConfig = InterestConfig()) -> DataFrame:
     """Kept account lines with age repaired and interest applied."""
-    age, balance = F.col("edad_original"), F.col("saldo_leido")
+    age, balance = F.col("edad_original"), required(F.col("saldo_leido"), F.col("saldo"))
     rated = kept.select(
         "*",
         rate_for(F.col("tipo_normal"), config.rates).alias("tasa_aplicada"),

@@ -72,19 +72,35 @@ def _rows_of(detail: DataFrame, run_id: str) -> DataFrame:
     return detail.where(F.col(tables.RUN) == run_id)
 
 
-def _over_all_runs(
-    added: DataFrame, warehouse: str, table: tables.Table, run_id: str, *keys: str
-) -> DataFrame:
-    """The summary of the whole detail table, of which only the rows of this run
-    are read: what every run adds is kept, and all measures are counts and sums.
-    The work of a run so does not grow with the runs before it."""
-    tables.write_run(added, warehouse, table, run_id=run_id)
-    parts = tables.read_table(added.sparkSession, warehouse, table)
-    return add_up(parts, *keys, leaving_out=(tables.RUN,))
-
-
-def _stamped(summary: DataFrame) -> DataFrame:
-    return summary.withColumn("generado_en", F.current_timestamp())
+def _refresh_summary(
+    scratch: Scratch,
+    added: DataFrame,
+    warehouse: str,
+    parts_table: tables.Table,
+    table: tables.Table,
+    run_id: str,
+) -> None:
+    """Brings the summary of the whole detail table up to date with this run.
+
+    What every run adds is kept, and all measures are counts and sums.  Only the
+    keys that this run adds to, or added to when it ran before, can change: just
+    those are added up over the parts of all runs, from the years they are in,
+    and replaced or, where no run has them any more, removed."""
+    spark = added.sparkSession
+    identity = list(dict.fromkeys((*table.key, *table.partition)))
+    added = scratch.stage(added, "added")
+    before = tables.read_table(spark, warehouse, parts_table).where(F.col(tables.RUN) == run_id)
+    keys = scratch.stage(
+        before.select(*identity).unionByName(added.select(*identity)).distinct(), "keys"
+    )
+    tables.write_run(added, warehouse, parts_table, run_id=run_id)
+    # One value per year, however many keys.
+    years = [row[0] for row in keys.select("anio").distinct().collect()]
+    parts = tables.read_table(spark, warehouse, parts_table).where(F.col("anio").isin(years))
+    parts = parts.join(keys, identity, "left_semi")
+    totals = add_up(parts, *identity, leaving_out=(tables.RUN,))
+    totals = totals.withColumn("generado_en", F.current_timestamp())
+    tables.refresh(totals, keys, warehouse, table, scratch)
 
 
 def daily_report(
@@ -107,13 +123,12 @@ def daily_report(
     )
 
     detail = tables.read_table(spark, warehouse, tables.TRANSACTIONS)
-    added = transactions.daily_summary(_rows_of(detail, run_id))
-    summary = _stamped(
-        _over_all_runs(added, warehouse, tables.DAILY_PARTS, run_id, "fecha").withColumn(
-            "anio", F.year("fecha")
-        )
+    added = transactions.daily_summary(_rows_of(detail, run_id)).withColumn(
+        "anio", F.year("fecha")
+    )
+    _refresh_summary(
+        scratch, added, warehouse, tables.DAILY_PARTS, tables.DAILY_SUMMARY, run_id
     )
-    tables.upsert(summary, warehouse, tables.DAILY_SUMMARY, scratch)
     counters = run_counters(config.job_name, config.step_name, rows, F.lit(False), unreadable=bad)
     return counters, detail, tables.read_table(spark, warehouse, tables.DAILY_SUMMARY)
 
@@ -165,9 +180,10 @@ def annual_statements(
     spark = scratch.spark
     lines, total = delimited.stage_lines(scratch, source, config.fields)
     bad = delimited.malformed(lines)
-    # Classification is row by row: cheaper to repeat over the staged columns
-    # than to write once more.
-    classified = statements.classify_movements(delimited.readable(lines))
+    # Classified once; the halves are read back by partition.
+    classified = scratch.stage(
+        statements.classify_movements(delimited.readable(lines)), "movements", (REJECTED,)
+    )
     kept, rejected = split(classified)
     item = render_row(v.MOVEMENT_LABEL, v.MOVEMENT_PRINT_FIELDS)
     _write_rejects(
@@ -185,10 +201,9 @@ def annual_statements(
 
     detail = tables.read_table(spark, warehouse, tables.MOVEMENTS)
     added = statements.annual_statement(_rows_of(detail, run_id))
-    summary = _stamped(
-        _over_all_runs(added, warehouse, tables.STATEMENT_PARTS, run_id, "cuenta_id", "anio")
+    _refresh_summary(
+        scratch, added, warehouse, tables.STATEMENT_PARTS, tables.ANNUAL_STATEMENT, run_id
     )
-    tables.upsert(summary, warehouse, tables.ANNUAL_STATEMENT, scratch)
     counters = run_counters(
         config.job_name,
         config.step_name,

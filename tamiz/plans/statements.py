@@ -11,6 +11,7 @@ from tamiz.functions.dates import date_problem, flexible_date
 from tamiz.functions.numbers import (
     decimal_or_null,
     is_number,
+    is_positive,
     long_or_null,
     number_text,
     outflow,
@@ -80,7 +81,7 @@ def movement_issues(known_types=v.MOVEMENT_TYPES) -> list[Rule]:
         Rule(date.isNull(), date_problem(F.col("fecha"))),
         Rule(not_in(kind, known_types), message(v.MSG_MOVEMENT_TYPE, F.col("transaccion"))),
         Rule(
-            kind.isin(*v.DEPOSIT_TYPES) & (F.col("importe") <= 0),
+            kind.isin(*v.DEPOSIT_TYPES) & is_number(F.col("monto")) & ~is_positive(F.col("monto")),
             message(v.MSG_DEPOSIT_NOT_POSITIVE, number_text(F.col("monto"))),
         ),
     ]
@@ -98,7 +99,7 @@ def signed_amount(kind: Column, amount: Column) -> Column:
 def movement_corrections() -> list[Rule]:
     kind = F.col("tipo_transaccion")
     return [
-        Rule(is_outflow(kind) & (F.col("importe") > 0), message(v.MSG_SIGN_FIXED, kind)),
+        Rule(is_outflow(kind) & is_positive(F.col("monto")), message(v.MSG_SIGN_FIXED, kind)),
         Rule(is_blank(F.col("descripcion")), F.lit(v.MSG_DESCRIPTION_DEFAULTED)),
     ]
 

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tamiz import vocabulary as v
 from tamiz.functions.dates import date_problem, flexible_date
-from tamiz.functions.numbers import decimal_or_null, long_or_null, number_text, to_money
+from tamiz.functions.numbers import (
+    decimal_or_null,
+    is_number,
+    is_positive,
+    long_or_null,
+    number_text,
+    to_money,
+)
 from tamiz.functions.text import clean, is_blank, message, normalise
 from tamiz.operators.repeats import RepeatLimits, flag_repeats
 from tamiz.operators.rules import Rule, all_messages, any_holds, not_in
@@ -39,18 +46,21 @@ def parse_transactions(feed: DataFrame, seq: str = "seq") -> DataFrame:
         F.when(~is_blank(F.col("id_texto")), F.col("id_texto")).alias("id_key"),
         flexible_date(F.col("fecha_texto")).alias("fecha"),
         decimal_or_null(F.col("monto_texto")).alias("importe"),
-        F.lower("tipo_texto").alias("tipo"),
+        normalise(F.col("tipo_texto")).alias("tipo"),
     )
 
 
 def transaction_issues(allowed_types=v.TRANSACTION_TYPES) -> list[Rule]:
     date_text, date = F.col("fecha_texto"), F.col("fecha")
-    amount = F.col("importe")
+    amount, amount_text = F.col("importe"), F.col("monto_texto")
     return [
         Rule(date.isNull(), date_problem(date_text)),
         Rule(amount.isNull(), F.lit(v.MSG_AMOUNT_MISSING)),
-        # On the unrounded amount: 0.004 is positive although it is stored as 0.00.
-        Rule(amount <= 0, message(v.MSG_AMOUNT_NOT_POSITIVE, number_text(F.col("monto_texto")))),
+        # On the text: 0.004 is positive although it is stored as 0.00.
+        Rule(
+            is_number(amount_text) & ~is_positive(amount_text),
+            message(v.MSG_AMOUNT_NOT_POSITIVE, number_text(amount_text)),
+        ),
         Rule(
             not_in(F.col("tipo"), allowed_types),
             message(v.MSG_TRANSACTION_TYPE, F.col("tipo_texto")),

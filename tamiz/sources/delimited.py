@@ -15,7 +15,7 @@ MALFORMED, COMMENT = "_corrupt", "_comment"
 FILE, BLOCK, POSITION, LINE = "_file", "_block", "_position", "_line"
 SEQ = "seq"
 _FIRST, _BEFORE, _BEFORE_FILE = "__first_position", "__rows_before", "__rows_before_file"
-_HEADER_LINES = 1
+_HEADER_LINES, _OPEN, _HEADER = 1, "__first_open", "__header_line"
 _COMMENT_MARK = "#"
 BROADCAST_BYTES = 64 << 20
 
@@ -85,7 +85,9 @@ def number_lines(
     beyond that.
     """
     splits = lines.groupBy(FILE, BLOCK).agg(
-        F.count(F.lit(1)).alias("rows"), F.min(POSITION).alias(_FIRST)
+        F.count(F.lit(1)).alias("rows"),
+        F.min(POSITION).alias(_FIRST),
+        F.min(F.when(~F.col(COMMENT), F.col(POSITION))).alias(_OPEN),
     )
     earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     within = splits.withColumn(_BEFORE, F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
@@ -97,7 +99,11 @@ def number_lines(
         .agg(below_header.alias("rows"))
         .select(FILE, F.coalesce(F.sum("rows").over(all_earlier), F.lit(0)).alias(_BEFORE_FILE))
     )
-    offsets = checkpointed(within.join(before, FILE))
+    # The header is the first line of a file that is no comment.
+    opened = within.groupBy(FILE).agg(
+        F.min(F.col(_BEFORE) + F.col(_OPEN) - F.col(_FIRST) + F.lit(1)).alias(_HEADER)
+    )
+    offsets = checkpointed(within.drop(_OPEN).join(before, FILE).join(opened, FILE))
     size, rows, files = offsets.agg(
         F.coalesce(F.sum(F.octet_length(FILE) + F.lit(48)), F.lit(0)),
         F.coalesce(F.sum("rows"), F.lit(0)),
@@ -110,8 +116,8 @@ def number_lines(
         lines.join(offsets, [FILE, BLOCK])
         .withColumn(LINE, F.col(_BEFORE) + F.col(POSITION) - F.col(_FIRST) + F.lit(1))
         .withColumn(SEQ, F.col(_BEFORE_FILE) + F.col(LINE) - F.lit(_HEADER_LINES + 1))
-        .where((F.col(LINE) > _HEADER_LINES) & ~F.col(COMMENT))
-        .drop(_FIRST, _BEFORE, _BEFORE_FILE, POSITION, BLOCK, COMMENT)
+        .where((F.col(LINE) > F.col(_HEADER)) & ~F.col(COMMENT))
+        .drop(_FIRST, _BEFORE, _BEFORE_FILE, _HEADER, POSITION, BLOCK, COMMENT)
     )
     return numbered, rows - _HEADER_LINES * files
 

@@ -57,21 +57,25 @@ ERROR_LOG = Table(
     partition=("job_name", RUN),
 )
 _DAILY_MEASURES = (
-    "total_transacciones int, total_validas int, total_anomalias int, total_duplicadas int, "
+    "total_transacciones bigint, total_validas bigint, total_anomalias bigint, "
+    "total_duplicadas bigint, "
     "monto_total_credito decimal(15,2), monto_total_debito decimal(15,2)"
 )
 _STATEMENT_MEASURES = (
     "total_depositos decimal(15,2), total_salidas decimal(15,2), "
-    "saldo_neto_anual decimal(15,2), cantidad_movimientos int, cantidad_anomalias int"
+    "saldo_neto_anual decimal(15,2), cantidad_movimientos bigint, cantidad_anomalias bigint"
 )
-# What each run adds to a summary; the summary itself is their sum.
+# What each run adds to a summary; the summary itself is their sum.  Laid out by
+# run and year: a run replaces its own part, and reads those of its years only.
 DAILY_PARTS = Table(
     "resumen_transacciones_diarias_por_ejecucion",
-    f"fecha date, {_DAILY_MEASURES}, run_id string",
+    f"fecha date, {_DAILY_MEASURES}, run_id string, anio int",
+    partition=(RUN, "anio"),
 )
 STATEMENT_PARTS = Table(
     "estado_cuenta_anual_por_ejecucion",
-    f"cuenta_id bigint, anio int, {_STATEMENT_MEASURES}, run_id string",
+    f"cuenta_id bigint, {_STATEMENT_MEASURES}, run_id string, anio int",
+    partition=(RUN, "anio"),
 )
 DAILY_SUMMARY = Table(
     "resumen_transacciones_diarias",
@@ -95,14 +99,15 @@ def conform(frame: DataFrame, table: Table) -> DataFrame:
     )
 
 
-def create_if_absent(spark: SparkSession, warehouse: str, table: Table) -> None:
-    empty = spark.createDataFrame([], table.schema)
-    empty.write.mode("ignore").partitionBy(*table.partition).parquet(table.path(warehouse))
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def read_table(spark: SparkSession, warehouse: str, table: Table) -> DataFrame:
-    """The table, empty if nothing has been written to it yet."""
-    create_if_absent(spark, warehouse, table)
+    """The table, empty if nothing has been written to it yet; reading writes nothing."""
+    if not _exists(spark, table.path(warehouse)):
+        return spark.createDataFrame([], table.schema)
     return spark.read.schema(table.schema).parquet(table.path(warehouse))
 
 
@@ -113,7 +118,8 @@ def write_run(frame: DataFrame, warehouse: str, table: Table, **partition: str)
     replaces its rows (by none, if there are none), so a job that is started
     again does not count twice.
     """
-    if tuple(partition) != table.partition:
+    given, rest = tuple(partition), table.partition[len(partition) :]
+    if given != table.partition[: len(given)] or RUN not in given:
         raise ValueError(f"{table.name} is laid out by {table.partition}")
     path = table.path(warehouse)
     for name, value in partition.items():
@@ -121,28 +127,61 @@ def write_run(frame: DataFrame, warehouse: str, table: Table, **partition: str)
             raise ValueError(f"{name} {value!r}: letters, digits, '_', '.' and '-' only")
         frame = frame.withColumn(name, F.lit(value))
         path = f"{path}/{name}={value}"
-    conform(frame, table).drop(*partition).write.mode("overwrite").parquet(path)
+    rows = conform(frame, table).drop(*given)
+    rows.write.mode("overwrite").partitionBy(*rest).parquet(path)
 
 
 def upsert(frame: DataFrame, warehouse: str, table: Table, scratch: Scratch) -> None:
     """Inserts new keys, replaces known ones, leaves all others as they are.
 
-    Only the partitions that hold a new key are read and rewritten.  The merged
-    rows are complete in the shared folder before the table is touched: the
-    path being read is never the path being written.
+    Only the partitions that hold a new key are read and rewritten.
     """
-    spark = frame.sparkSession
-    (layout,) = table.partition
     new = scratch.stage(conform(frame, table), f"{table.name}-new")
+    _replace(new, new.select(*_identity(table)), warehouse, table, scratch)
+
+
+def refresh(
+    frame: DataFrame, keys: DataFrame, warehouse: str, table: Table, scratch: Scratch
+) -> None:
+    """Makes ``frame`` all that the table holds of ``keys``: keys that it has are
+    inserted or replaced, the others of ``keys`` are removed.  ``keys`` has the
+    table's key and layout columns and every key of ``frame``."""
+    new = scratch.stage(conform(frame, table), f"{table.name}-new")
+    _replace(new, keys, warehouse, table, scratch)
+
+
+def _identity(table: Table) -> list[str]:
+    return list(dict.fromkeys((*table.key, *table.partition)))
+
+
+def _replace(
+    new: DataFrame, keys: DataFrame, warehouse: str, table: Table, scratch: Scratch
+) -> None:
+    """Rows that stay are complete in the shared folder before the table is
+    touched: the path being read is never the path being written.  A row is
+    written there and to the table, no more."""
+    spark = new.sparkSession
+    (layout,) = table.partition
     # One value per partition of the table (years), however many rows there are.
-    touched = [row[0] for row in new.select(layout).distinct().collect()]
+    touched = [row[0] for row in keys.select(layout).distinct().collect()]
     if not touched:
         return
     current = read_table(spark, warehouse, table).where(F.col(layout).isin(touched))
-    untouched = current.join(new.select(*table.key), list(table.key), "left_anti")
-    merged = scratch.stage(
-        untouched.select(*new.columns).unionByName(new), f"{table.name}-merged", (layout,)
+    staying = scratch.stage(
+        current.join(keys.select(*table.key).distinct(), list(table.key), "left_anti").select(
+            *new.columns
+        ),
+        f"{table.name}-staying",
     )
+    merged = staying.unionByName(new)
+    left = {row[0] for row in merged.select(layout).distinct().collect()}
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         layout
     ).parquet(table.path(warehouse))
+    for value in set(touched) - left:  # a partition that is written no row is left as it was
+        _remove(spark, f"{table.path(warehouse)}/{layout}={value}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

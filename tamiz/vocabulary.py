@@ -13,7 +13,6 @@ DUPLICATE = "DUPLICADA"
 # --- stage of a rejected row ----------------------------------------------
 STAGE_READ = "READ"
 STAGE_PROCESS = "PROCESS"
-STAGE_WRITE = "WRITE"
 
 # --- kinds of error named in the reject log --------------------------------
 MALFORMED_LINE = "FlatFileParseException"
@@ -22,7 +21,6 @@ BAD_AMOUNT = "InvalidAmountException"
 
 # --- allowed categories, after trimming and lower-casing -------------------
 TRANSACTION_TYPES = ("debito", "credito")
-ACCOUNT_TYPES = ("ahorro", "prestamo", "hipoteca")
 MOVEMENT_TYPES = ("deposito", "retiro", "compra")
 DEPOSIT_TYPES = ("deposito",)
 OUTFLOW_TYPES = ("retiro", "compra")
