@@ -15,7 +15,7 @@ import tamiz
 from tamiz.session import Scratch
 
 #: Largest table sent to every executor; larger ones are joined by shuffle.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 8 << 20
 
 
 def broadcast_if_small(frame: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -62,7 +62,19 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(path)
 
 
-def scratch_of(frame: DataFrame) -> Scratch:
+class Workspace(Scratch):
+    """A scratch folder whose tables can be dropped one by one, by name."""
+
+    def drop(self, *names: str) -> None:
+        """Deletes the tables staged under ``names``; nothing unfinished may read them."""
+        for name in names:
+            pattern = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(f"{name}-*"))
+            files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for found in files.globStatus(pattern) or []:
+                files.delete(found.getPath(), True)
+
+
+def scratch_of(frame: DataFrame) -> Workspace:
     """A folder of intermediate tables for one call, in the shared folder."""
     ship_package(frame.sparkSession)
-    return Scratch(frame.sparkSession)
+    return Workspace(frame.sparkSession)

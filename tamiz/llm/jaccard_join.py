@@ -17,11 +17,12 @@ none and links with nothing; nor does a row without id).  Two texts link when
    points in two boxes, is at most the sum of the coordinate minima (of the
    upper corners), and linked sets overlap by 3/7 of their sizes' sum, so pairs
    of boxes below that are left out with all their points.
-4. Surviving pairs are verified on the shingle sets, and links united.
+4. Surviving pairs are verified on the shingle sets, a quarter of them first, and
+   links united.
 
-Large blocks do this twice: first every node against the block's oldest one,
-then, only if the block still falls into several components, all nodes whose
-components differ.  A block above ``BLOCK_NODES`` nodes is cut into parts and
+Blocks of more than two do this twice: first every node against the block's
+oldest one, then, only if the block still falls into several components, all
+nodes whose components differ.  A block above ``BLOCK_NODES`` nodes is cut into parts and
 every pair of parts is its own task; no link is lost, no group is in one task.
 
 A shingle is a 64-bit hash: two of n different ones collide with a probability
@@ -35,20 +36,23 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tamiz.llm.components import components
-from tamiz.llm.frames import BROADCAST_BYTES, broadcast_if_small, scratch_of, whole_groups
+from tamiz.llm.frames import Workspace, broadcast_if_small, scratch_of, whole_groups
 from tamiz.llm.words import joined, mixed, text_slices, word_hashes
-from tamiz.session import Scratch
 
 SHINGLE_WORDS = 5
 #: Shingle groups whose document counts order the shingles, and coordinates of a point.
-ORDER_GROUPS, POINT_GROUPS = 1 << 18, 64
+ORDER_GROUPS, POINT_GROUPS = 1 << 18, 256
+#: Largest count a coordinate is kept with.
+FULL = 0xFF
 #: Points in a leaf of the tree, and children of an inner node.
 FAN_OUT = 16
-#: Blocks up to this many nodes are joined at once; larger ones start from one node.
-SMALL_BLOCK = 12
+#: Largest array of the shingles of several texts that is sent to all tasks; a
+#: larger one is joined by shuffle.
+SHARED_BYTES = 48 << 20
 #: Most nodes of a block, or of two parts of one, that one task holds.
 BLOCK_NODES = 4096
 
@@ -94,7 +98,14 @@ def group_counts(texts: DataFrame) -> np.ndarray:
 
 def _point(shingles: np.ndarray) -> bytes:
     group = (mixed(shingles) % _U(POINT_GROUPS)).astype(np.int64)
-    return np.bincount(group, minlength=POINT_GROUPS).astype("<i4").tobytes()
+    counts = np.bincount(group, minlength=POINT_GROUPS)
+    return np.minimum(counts, FULL).astype(np.uint8).tobytes()
+
+
+def _points(column: pa.ChunkedArray) -> np.ndarray:
+    """Count vectors; a full count stands for any larger one, so bounds stay bounds."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), POINT_GROUPS)
+    return np.where(raw == FULL, 1 << 30, raw).astype(np.int32)
 
 
 def _node_of(shingles: np.ndarray) -> int:
@@ -221,8 +232,7 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = table["task"].to_numpy()
         side, node = table["side"].to_numpy(), table["node"].to_numpy()
         size, component = table["size"].to_numpy(), table["component"].to_numpy()
-        joined_points = b"".join(table["point"].to_pylist())
-        point = np.frombuffer(joined_points, "<i4").reshape(len(task), -1)
+        point = _points(table["point"])
         cuts = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
         found_a, found_b = [], []
         for begin, end in zip(cuts[:-1], cuts[1:]):
@@ -241,11 +251,10 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found_a.append(node[x[open_pair]])
             found_b.append(node[y[open_pair]])
         if found_a:
-            a, b = np.concatenate(found_a), np.concatenate(found_b)
-            yield _pair_batch(np.minimum(a, b), np.maximum(a, b))
+            yield _pair_batch(np.concatenate(found_a), np.concatenate(found_b))
 
 
-def _pairs(tasks: DataFrame, scratch: Scratch) -> DataFrame:
+def _pairs(tasks: DataFrame, scratch: Workspace) -> DataFrame:
     rows = tasks.repartition("task").sortWithinPartitions("task")
     return scratch.stage(rows.mapInArrow(_tree_pairs, _PAIRS).distinct(), "pairs")
 
@@ -253,39 +262,94 @@ def _pairs(tasks: DataFrame, scratch: Scratch) -> DataFrame:
 # -- verification -------------------------------------------------------------
 
 
+def _packed(shingles: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash: two sets of n shingles meet in a false one
+    with a probability of n^2 / 2^48."""
+    return np.ascontiguousarray(shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def _unpacked(held: pa.Scalar) -> np.ndarray:
+    whole = np.zeros((len(held.as_buffer()) // 6, 8), np.uint8)
+    whole[:, 2:] = np.frombuffer(held.as_buffer(), np.uint8).reshape(-1, 6)
+    return whole.view("<u8").ravel()
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The set of each text that is the node asked for (ids may repeat), once per task."""
     done: set[int] = set()
     for batch in batches:
-        nodes, found = [], []
+        nodes, quarter, rest = [], [], []
         for node, shingles in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1))):
             if node not in done and len(shingles) and _node_of(shingles) == node:
                 done.add(node)
                 nodes.append(node)
-                found.append(shingles.astype("<u8").tobytes())
+                first = (shingles & _U(3)) == 0
+                quarter.append(_packed(shingles[first]))
+                rest.append(_packed(shingles[~first]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array(quarter, pa.binary()), pa.array(rest, pa.binary())],
+            ["node", "quarter", "rest"],
+        )
+
+
+def _met(x: pa.Scalar, y: pa.Scalar) -> tuple[int, int, int]:
+    x, y = _unpacked(x), _unpacked(y)
+    return len(np.intersect1d(x, y)), len(x), len(y)
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that can still link once a quarter of their shingles is compared:
+    of the rest at most all of the smaller one are shared."""
+    for batch in batches:
+        kept, shared = [], []
+        columns = [batch.column(name) for name in ("x", "y", "x_rest", "y_rest")]
+        for x, y, x_rest, y_rest in zip(*columns):
+            both, a, b = _met(x, y)
+            x_rest, y_rest = x_rest.as_py(), y_rest.as_py()
+            most = both + min(x_rest, y_rest)
+            kept.append(100 * most >= 75 * (a + b + x_rest + y_rest - most))
+            shared.append([both, a + b - both])
+        keep = pa.array(kept, pa.bool_())
+        shared = np.array(shared, np.int64).reshape(-1, 2)[np.array(kept, bool)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], ["node", "shingles"]
+            [batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(shared[:, 0]), pa.array(shared[:, 1])],
+            ["a", "b", "both", "either"],
         )
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose whole sets pass the threshold."""
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x = np.frombuffer(x.as_buffer(), "<u8")
-            y = np.frombuffer(y.as_buffer(), "<u8")
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= 75 * (len(x) + len(y) - both))
+        columns = [batch.column(name) for name in ("x", "y", "both", "either")]
+        for x, y, both, either in zip(*columns):
+            more, a, b = _met(x, y)
+            keep.append(100 * (both.as_py() + more) >= 75 * (either.as_py() + a + b - more))
         keep = pa.array(keep, pa.bool_())
-        yield _pair_batch(batch.column(0).filter(keep), batch.column(1).filter(keep))
+        yield _pair_batch(batch.column("a").filter(keep), batch.column("b").filter(keep))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs whose sets pass the threshold; a set travels once per pair on
-    one side and once on the other."""
-    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    return scratch.stage(both.select("a", "b", "x", "y").mapInArrow(_linked, _PAIRS), "links")
+def _beside(pairs: DataFrame, sets: DataFrame, part: str, scratch: Workspace) -> DataFrame:
+    """The pairs with ``part`` of both sets, as x and y.  The pairs go to the sets
+    of their second nodes, and from there to those of their first ones."""
+    size = (F.octet_length("rest") / 6).cast("bigint")
+    with_b = sets.select(F.col("node").alias("b"), F.col(part).alias("y"), size.alias("y_rest")).join(
+        broadcast_if_small(pairs, 32), "b"
+    )
+    centres = scratch.stage(pairs.select(F.col("a").alias("node")).distinct(), "centres")
+    first = sets.join(broadcast_if_small(centres, 8), "node", "left_semi")
+    return with_b.join(first.select(F.col("node").alias("a"), F.col(part).alias("x"), size.alias("x_rest")), "a")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, scratch: Workspace) -> DataFrame:
+    """The pairs that link: compared on a quarter of the shingles, which leaves out
+    most others without moving their whole sets, then on the rest."""
+    quarter = _beside(pairs, sets, "quarter", scratch).select("a", "b", "x", "y", "x_rest", "y_rest")
+    possible = scratch.stage(
+        quarter.mapInArrow(_possible, "a bigint, b bigint, both bigint, either bigint"), "possible"
+    )
+    whole = _beside(possible, sets, "rest", scratch).select("a", "b", "x", "y", "both", "either")
+    return scratch.stage(whole.mapInArrow(_linked, _PAIRS), "links")
 
 
 # -- the operator -------------------------------------------------------------
@@ -305,20 +369,49 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counts = group_counts(texts.select("text"))
     order = docs.sparkSession.sparkContext.broadcast(counts)
     kind = dict(texts.dtypes)["id"]
-    rows = scratch.stage(
+    signatures = scratch.stage(
         texts.mapInArrow(
             _signatures(order),
             f"id {kind}, n_shingles bigint, node bigint, rare array<bigint>, point binary",
         ),
         "signatures",
     )
-    links = _links(texts, rows, scratch)
+    rows = scratch.stage(signatures.drop("rare"), "rows")
+    links = _links(texts, rows, signatures.where("node is not null").select("node", "rare"), scratch)
     united = components(links, "a", "b", scratch)
     return _labelled(rows, united, id_col, scratch)
 
 
-def _links(texts: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
-    postings = rows.where("node is not null").select(F.explode("rare").alias("shingle"), "node")
+def _only_known(shared) -> Callable:
+    """(shingle, node) for the shingles that are in a sorted array."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            lists = batch.column("rare")
+            values = lists.flatten().to_numpy()
+            owner = np.repeat(batch.column("node").to_numpy(), pc.list_value_length(lists).to_numpy())
+            if len(known):
+                hit = known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+                yield pa.RecordBatch.from_arrays([pa.array(values[hit]), pa.array(owner[hit])], ["shingle", "node"])
+
+    return run
+
+
+def _links(texts: DataFrame, rows: DataFrame, signed: DataFrame, scratch: Workspace) -> DataFrame:
+    """(a, b) links that connect whatever links there are; ``signed`` has (node, rare)."""
+    postings = signed.select(F.explode("rare").alias("shingle"), "node")
+    # Most shingles occur once.  Counting alone keeps the one large shuffle narrow.
+    shared = scratch.stage(
+        postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle"), "shared"
+    )
+    if shared.count() * 8 <= SHARED_BYTES:
+        known = np.sort(shared.toArrow()["shingle"].to_numpy())
+        sent = texts.sparkSession.sparkContext.broadcast(known)
+        postings = signed.mapInArrow(_only_known(sent), "shingle bigint, node bigint")
+    else:
+        postings = postings.join(shared, "shingle")
+    postings = scratch.stage(postings, "postings")
     blocks = postings.groupBy("shingle").agg(
         F.min("node").alias("low"), F.max("node").alias("high"),
         F.count(F.lit(1)).alias("rows"),
@@ -328,6 +421,7 @@ def _links(texts: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
     blocks = scratch.stage(
         blocks.groupBy("low", "high", "rows", "mark_0", "mark_31").agg(F.min("shingle").alias("block")), "blocks"
     )
+    scratch.drop("shared", "signatures")
     of_two = blocks.where("rows = 2").select("block", F.explode(F.array("low", "high")).alias("node"))
     larger = blocks.where("rows > 2").select("block")
     members = postings.join(
@@ -340,6 +434,7 @@ def _links(texts: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
         F.min("id").alias("oldest"), F.first("n_shingles").alias("size"), F.first("point").alias("point")
     )
     nodes = scratch.stage(nodes, "nodes")
+    scratch.drop("postings")
     sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("nodes"))
     members = scratch.stage(
         members.join(sizes, "block").join(nodes.select("node", "oldest"), "node"), "members"
@@ -349,9 +444,10 @@ def _links(texts: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
     met = first.select(F.explode(F.array("a", "b")).alias("node"))
     sets = _sets_of(texts, rows, met, scratch)
     links = _verified(first, sets, scratch)
+    scratch.drop("sets")
 
     # Large blocks that the first links leave in pieces.
-    large = members.where(F.col("nodes") > SMALL_BLOCK)
+    large = members.where(F.col("nodes") > 2)
     labels = components(links, "a", "b", scratch)
     large = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     torn = large.groupBy("block").agg(
@@ -359,8 +455,6 @@ def _links(texts: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
     ).where("low < high").select("block")
     open_members = scratch.stage(large.join(torn, "block", "left_semi"), "open")
     second = _pairs(_second_tasks(open_members, nodes), scratch)
-    second = second.join(first, ["a", "b"], "left_anti")
-    second = scratch.stage(second, "second")
     if second.isEmpty():
         return links
     sets = _sets_of(texts, rows, second.select(F.explode(F.array("a", "b")).alias("node")), scratch)
@@ -374,11 +468,12 @@ def _with_points(tasks: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _first_tasks(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Small blocks whole; of a large block the oldest node against slices of the others."""
-    small = members.where(F.col("nodes") <= SMALL_BLOCK).select(
+    """Blocks of two; of a larger block the oldest node against slices of the others.
+    The oldest one is mostly that of other blocks too, so pairs stay about as many as nodes."""
+    small = members.where(F.col("nodes") <= 2).select(
         F.xxhash64("block").alias("task"), F.lit(0).alias("side"), "node", F.col("node").alias("component")
     )
-    large = members.where(F.col("nodes") > SMALL_BLOCK)
+    large = members.where(F.col("nodes") > 2)
     oldest = large.groupBy("block", "nodes").agg(
         F.min_by("node", F.struct(F.col("oldest").isNull(), "oldest", "node")).alias("node")
     )
@@ -410,17 +505,20 @@ def _second_tasks(members: DataFrame, nodes: DataFrame) -> DataFrame:
     return _with_points(tasks, nodes)
 
 
-def _sets_of(texts: DataFrame, rows: DataFrame, met: DataFrame, scratch: Scratch) -> DataFrame:
+def _sets_of(texts: DataFrame, rows: DataFrame, met: DataFrame, scratch: Workspace) -> DataFrame:
     """Shingle sets of the nodes in ``met``, each from one of its texts, read again."""
     met = scratch.stage(met.distinct(), "met")
     chosen = rows.join(broadcast_if_small(met, 16), "node", "left_semi")
     chosen = scratch.stage(chosen.groupBy("node").agg(F.min("id").alias("id")), "chosen")
     wanted = texts.join(broadcast_if_small(chosen, 24), "id")
-    sets = wanted.select("node", "text").mapInArrow(_sets, "node bigint, shingles binary")
-    return scratch.stage(sets.dropDuplicates(["node"]), "sets")
+    sets = wanted.select("node", "text").mapInArrow(_sets, "node bigint, quarter binary, rest binary")
+    sets = scratch.stage(sets, "sets")
+    # Only rows that repeat whole give a node twice; sets are wide, so they are not shuffled without need.
+    unique = sets.groupBy("node").count().where("count > 1").isEmpty()
+    return sets if unique else scratch.stage(sets.dropDuplicates(["node"]), "sets")
 
 
-def _labelled(rows: DataFrame, united: DataFrame, id_col: str, scratch: Scratch) -> DataFrame:
+def _labelled(rows: DataFrame, united: DataFrame, id_col: str, scratch: Workspace) -> DataFrame:
     found = rows.select("id", "n_shingles", "node")
     smallest = found.where("node is not null").groupBy("node").agg(
         F.min("id").alias("low"), F.count(F.lit(1)).alias("rows")
