@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tamiz.llm.bpe import decode_ids, encode_texts
 from tamiz.llm.decontaminate import mark_overlaps
-from tamiz.llm.frames import scratch_of
+from tamiz.llm.frames import broadcast_if_small, scratch_of
 from tamiz.llm.jaccard_join import jaccard_components
 from tamiz.llm.language_id import UNKNOWN, predict_languages
 from tamiz.llm.queries import TOXIC_FROM, WORD_BPE, digests, language_model, table, toxicity_model
@@ -41,12 +41,19 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that are not the first of their group are found by id; a row whose
-    id repeats (with the same text) is kept once."""
-    groups = jaccard_components(docs)
-    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti")
-    return kept
+    """Texts that are not the first of their group go by their id; rows that
+    repeat whole, id included, are kept once.  Rows without id all stay."""
+    scratch = scratch_of(docs)
+    groups = scratch.stage(jaccard_components(docs), "groups")
+    dropped = scratch.stage(groups.where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
+    kept = docs.select(*COLUMNS).join(broadcast_if_small(dropped, 16), "doc_id", "left_anti")
+    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = scratch.stage(repeated, "repeated")
+    if repeated.isEmpty():
+        return kept
+    twice = broadcast_if_small(repeated, 16)
+    once = kept.join(twice, "doc_id", "left_semi").dropDuplicates()
+    return kept.join(twice, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +62,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return digests(decode_ids(encode_texts(docs.select("doc_id", "text"), WORD_BPE), WORD_BPE))
+    encoded = encode_texts(docs.select("doc_id", "text"), WORD_BPE).drop("text")
+    return digests(decode_ids(encoded, WORD_BPE))
 
 
 STAGES = [

@@ -1,3 +1,32 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+URL_FILTER = r"""
+with parsed as (
+  select page_id,
+    coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path
+  from pages
+),
+rules(host, path, verdict) as (
+  values ('org', '', 'allow'), ('example.org', 'es/', 'block'), ('example.org', 'en/1', 'block'),
+         ('com', 'fr/', 'allow'), ('com', 'de/', 'block')
+),
+fitting as (
+  select p.page_id, r.host || '/' || r.path as rule, r.verdict,
+    row_number() over (partition by p.page_id order by length(r.host || r.path) desc, length(r.host) desc) as place
+  from parsed p join rules r
+    on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, '/' || r.path)
+),
+listed as (
+  select distinct host, case when path = '' then '/' else path end as path
+  from parsed where page_id % 10 = 0 and host <> ''
+)
+select p.page_id, p.host, p.path, f.rule,
+  coalesce(f.verdict, case when l.host is not null then 'block' else 'allow' end) as verdict
+from parsed p
+left join fitting f on f.page_id = p.page_id and f.place = 1
+left join listed l on l.host = p.host and l.path = case when p.path = '' then '/' else p.path end
+"""
+
+ORACLE: dict[str, str] = {"op5_url_filter": URL_FILTER}

@@ -6,7 +6,7 @@ grade, the sum of ``P(grade > k)`` over the thresholds.
 
 Features are sparse: the words of a text (runs of letters and digits, A-Z
 lower-cased) and the first ``PREFIX_BYTES`` bytes of longer ones, each with the
-logarithm of its rate in the text.  Of the features of the training texts, the
+logarithm of its rate in the text, whole words with ``PRESENCE`` more.  Of the features of the training texts, the
 ``FEATURES`` that tell grade 0 from the others best are kept.
 
 The model is fitted on about ``TRAIN_DOCS`` labelled texts at most for each
@@ -28,6 +28,8 @@ from tamiz.llm.words import NOT_ALPHANUMERIC, HashTable, hashes_of, mixed, text_
 TRAIN_DOCS = 3000
 FEATURES, LEAST_DOCS = 4096, 4
 PREFIX_BYTES = (5, 7)
+#: What a whole word adds to its feature however long the text is.
+PRESENCE = 0.5
 #: Fitting: penalty on the squared weights, steps, step size.
 PENALTY, STEPS, RATE = 1e-4, 300, 0.1
 
@@ -47,9 +49,13 @@ def text_features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             prefix[longer] = mixed(hashes_of(data, starts[longer], starts[longer] + size) + _U(size))
             kinds.append(prefix)
         for begin, end in zip(begins[:-1], begins[1:]):
-            keys = np.concatenate([kind[begin:end] for kind in kinds])
-            keys, counts = np.unique(keys[keys != 0], return_counts=True)
-            yield keys, np.log1p(100.0 * counts / max(1, end - begin))
+            words, times = np.unique(kinds[0][begin:end], return_counts=True)
+            cut = np.concatenate([kind[begin:end] for kind in kinds[1:]])
+            cut, cut_times = np.unique(cut[cut != 0], return_counts=True)
+            rate = np.concatenate([times, cut_times]) / max(1, end - begin)
+            value = np.log1p(100 * rate)
+            value[: len(words)] += PRESENCE
+            yield np.concatenate([words, cut]), value
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,0 +1,265 @@
+"""BPE, token counts, language ID, toxicity, decontamination and LM scores
+against libraries, brute force and edge cases."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+pytest.importorskip("tamiz.llm")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+tokenizers = pytest.importorskip("tokenizers")
+
+from tamiz.llm import lattice_lm  # noqa: E402
+from tamiz.llm.bpe import BpeTokenizer, decode_ids, encode_texts  # noqa: E402
+from tamiz.llm.decontaminate import mark_overlaps  # noqa: E402
+from tamiz.llm.language_id import UNKNOWN, fit_languages, predict_languages  # noqa: E402
+from tamiz.llm.lattice_lm import Lattice, PieceVocabulary, lattice_scores, read_pieces  # noqa: E402
+from tamiz.llm.queries import PIECES, QUERIES, WORD_BPE, BYTE_BPE, digests  # noqa: E402
+from tamiz.llm.token_counts import count_tokens  # noqa: E402
+from tamiz.llm.toxicity import fit_ordinal, fit_toxicity, score_toxicity  # noqa: E402
+
+SMALL = "/root/testdata/sf0.001"
+LETTERS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def random_texts(seed, count):
+    rng = random.Random(seed)
+    pool = "abcdeABC'stre  \n\t<|endoftext|>éèÑΣİßﬁ漢字😀\x1c\x85 ़क्षे123४!?.,-_́"
+    return ["".join(rng.choice(pool) for _ in range(rng.randint(0, 50))) for _ in range(count)]
+
+
+# -- BPE --
+
+
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_tokens_and_text_are_those_of_the_library(path):
+    with open(path, encoding="utf-8") as file:
+        own = BpeTokenizer(file.read())
+    library = tokenizers.Tokenizer.from_file(path)
+    texts = [*random_texts(1, 400), "a" * 5000, "ab" * 999 + "  " * 50, "<|endoftext|>", "", "the THE The", "ababab" * 50]
+    for text in texts:
+        ids = np.frombuffer(own.encode(text), "<i4")
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert own.decode(ids).decode() == library.decode(ids.tolist(), skip_special_tokens=False)
+
+
+def test_bpe_keeps_other_columns_and_takes_nulls(spark):
+    docs = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (2, "Hi there", None)], "doc_id int, text string, ids string")
+    found = decode_ids(encode_texts(docs, WORD_BPE, ids_col="tokens"), WORD_BPE, ids_col="tokens")
+    assert found.columns == ["doc_id", "ids", "text", "tokens", "decoded"]
+    rows = sorted((r.doc_id, r.text or "", len(r.tokens), r.decoded) for r in found.collect())
+    assert rows == [(1, "", 0, ""), (2, "", 0, ""), (2, "Hi there", 2, "hi</w> there</w>")]
+    assert encode_texts(docs.limit(0), WORD_BPE).count() == 0
+
+
+def test_registered_round_trip_against_the_library(spark):
+    library = tokenizers.Tokenizer.from_file(WORD_BPE)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for row in QUERIES["op1_bpe_round_trip"](spark, SMALL).collect():
+        ids = library.encode(texts[row.doc_id] or "", add_special_tokens=False).ids
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+# -- token counts --
+
+
+def test_cache_encodes_only_what_it_lacks(spark, tmp_path):
+    library = tokenizers.Tokenizer.from_file(BYTE_BPE)
+    cache = f"{tmp_path}/cache"
+    rows = [(1, "one two"), (2, "one two"), (3, None), (4, ""), (None, "three"), (5, "wörd " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    first = {r.doc_id: (r.n_bytes, r.n_tokens) for r in count_tokens(docs, BYTE_BPE, cache).collect()}
+    want = {i: (len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in rows}
+    assert first == want
+    assert spark.read.parquet(cache).count() == 4
+    again = docs.unionByName(spark.createDataFrame([(6, "three"), (7, "new")], docs.schema))
+    assert count_tokens(again, BYTE_BPE, cache).count() == 8
+    kept = spark.read.parquet(cache)
+    assert kept.count() == 5  # only "new" was added
+    # Counts come from the cache: a changed one is seen.
+    other = f"{tmp_path}/other"
+    kept.withColumn("n_tokens", F.col("n_tokens") + 100).write.parquet(other)
+    assert {r.n_tokens for r in count_tokens(docs, BYTE_BPE, other).collect()} == {n + 100 for _, n in want.values()}
+    # Another tokenizer finds nothing in it.
+    assert {r.n_tokens for r in count_tokens(docs.where("doc_id = 1"), WORD_BPE, other).collect()} == {2}
+    assert count_tokens(docs.limit(0), BYTE_BPE, cache).count() == 0
+
+
+# -- language ID --
+
+
+def test_words_first_then_shorter_grams(spark):
+    rows = [(n, "the cat the dog", "en", "z") for n in range(5)] + [(n, "der hund und katze", "de", "z") for n in range(5, 10)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string, lang_pred string")
+    model = fit_languages(docs, "text", "lang", F.xxhash64("doc_id"))
+    asked = spark.createDataFrame(
+        [(1, "THE"), (2, "hundd"), (3, None), (4, "123 !"), (5, ""), (6, "the " * 20_000), (6, "the")],
+        "doc_id int, text string",
+    )
+    found = [(r.doc_id, r.lang_pred) for r in predict_languages(asked, model, keep=("doc_id",)).collect()]
+    assert sorted(found) == [(1, "en"), (2, "de"), (3, UNKNOWN), (4, UNKNOWN), (5, UNKNOWN), (6, "en"), (6, "en")]
+    empty = fit_languages(docs.limit(0), "text", "lang", F.xxhash64("doc_id"))
+    assert {r.lang_pred for r in predict_languages(asked, empty).collect()} == {UNKNOWN}
+    assert predict_languages(asked.limit(0), model).count() == 0
+
+
+def test_unseen_words_are_scored_by_the_longest_known_grams(spark):
+    docs = spark.createDataFrame([(1, "abc abd", "x"), (2, "abe bcd", "y")], "doc_id int, text string, lang string")
+    model = fit_languages(docs, "text", "lang", F.xxhash64("doc_id"))
+    grams = {lang: Counter() for lang in "xy"}
+    for lang, text in (("x", "abc abd"), ("y", "abe bcd")):
+        for word in text.split():
+            grams[lang].update((n, word[i : i + n]) for n in range(1, 6) for i in range(len(word) - n + 1))
+    known = {n: {g for lang in grams for k, g in grams[lang] if k == n} for n in range(1, 6)}
+    def log(lang, n, gram):
+        size = sum(c + 0.5 for (k, _), c in grams[lang].items() if k == n)
+        size += 0.5 * len(known[n] - {g for k, g in grams[lang] if k == n})
+        return math.log((grams[lang][n, gram] + 0.5) / size)
+    # "abz" has no known 3-gram, one known 2-gram
+    sums, words = model.scorer()(["abz", "zcdq"])
+    assert np.allclose(sums[0], [log("x", 2, "ab"), log("y", 2, "ab")])
+    assert np.allclose(sums[1], [log("x", 2, "cd"), log("y", 2, "cd")])
+    assert words.tolist() == [1, 1]
+
+
+def test_held_out_accuracy(spark):
+    found = QUERIES["op7_language_id"](spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    right = found.join(docs, "doc_id").where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")))
+    assert right.first()[0] > 0.98
+    assert found.where("score < 0 or score > 1").isEmpty()
+
+
+# -- toxicity --
+
+
+def test_thresholds_are_ordered_and_weights_shared():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=2000)
+    grades = np.digitize(2 * x + rng.logistic(size=2000), [0.0, 2.0])
+    rows = [(np.array([0]), np.array([v])) for v in x]
+    weights, thresholds = fit_ordinal(rows, grades, np.ones(2000), 1)
+    assert abs(weights[0] - 2) < 0.4 and abs(thresholds[0]) < 0.3 and abs(thresholds[1] - 2) < 0.4
+
+
+def test_toxicity_edges(spark):
+    rows = [(n, f"you {'idiot' if n % 4 == 0 else 'friend'} over there {n}", "p") for n in range(400)]
+    docs = spark.createDataFrame([*rows, (1000, None, "p"), (1001, "", "p"), (None, "x", "p")], "doc_id int, text string, p_toxic string")
+    labels = spark.createDataFrame(
+        [(n, 0 if n % 4 else (2 if n % 8 == 0 else 1)) for n in range(300)] + [(None, 1), (5, None)], "doc_id int, grade int"
+    )
+    model = fit_toxicity(docs, labels)
+    found = {r.doc_id: r for r in score_toxicity(docs, model).collect()}
+    assert len(found) == 403 and set(found[1].asDict()) == {"doc_id", "text", "severity", "p_toxic"}
+    held = [found[n] for n in range(300, 400)]
+    assert all((r.p_toxic >= 0.5) == (r.doc_id % 4 == 0) for r in held)
+    assert all(0 <= r.p_toxic <= r.severity <= 2 for r in found.values())
+    nothing = fit_toxicity(docs, labels.limit(0))
+    assert {r.severity for r in score_toxicity(docs, nothing).collect()} == {0.0}
+    assert score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_toxicity_on_labelled_texts(spark):
+    found = QUERIES["op2_toxicity_severity"](spark, "/root/testdata/sf0.01")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    wrong = found.join(labels, "doc_id").where(F.col("is_toxic") != (F.col("toxic") == 1)).count()
+    assert wrong <= 0.02 * labels.count()
+
+
+# -- decontamination --
+
+
+def test_substituted_passages_are_found_and_others_left(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    items = [[word() for _ in range(30)] for _ in range(5)]
+    changed = [w if n % 7 else word() for n, w in enumerate(items[1])]
+    texts = [
+        (0, " ".join(word() for _ in range(200))),
+        (1, " ".join([word() for _ in range(50)] + items[0] + [word() for _ in range(50)])),
+        (2, ", ".join(changed).upper()),
+        (3, " ".join(items[2][:9])),  # a short piece of an item
+        (4, " ".join(items[3][:16])),
+        (5, None), (6, ""), (7, "short one"), (8, " ".join([word() for _ in range(20_000)] + items[4])),
+        (8, " ".join(items[0])),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id int, text string").withColumn("item_id", F.lit("x"))
+    bench = spark.createDataFrame(
+        [(n, " ".join(i)) for n, i in enumerate(items)] + [(10, None), (11, ""), (12, "short one"), (0, " ".join(items[0]))],
+        "item_id int, text string",
+    )
+    for block_words in (1_000_000, 40):
+        marked = mark_overlaps(docs, bench, block_words=block_words)
+        assert marked.columns == ["doc_id", "item_id", "text", "overlaps"]
+        found = sorted((r.doc_id, sorted({o.item_id for o in r.overlaps})) for r in marked.collect())
+        assert found == [(0, []), (1, [0]), (2, [1]), (3, []), (4, [3]), (5, []), (6, []), (7, [12]), (8, [0]), (8, [4])]
+    first = [r for r in marked.collect() if r.doc_id == 1][0].overlaps[0]
+    assert (first.matched, first.item_words, first.first_word) == (30, 30, 50)
+    assert {len(r.overlaps) for r in mark_overlaps(docs, bench.limit(0)).collect()} == {0}
+    assert mark_overlaps(docs.limit(0), bench).count() == 0
+
+
+# -- LM scores --
+
+
+def brute_log(word, logs):
+    """Log of the sum over all segmentations."""
+    ways = [0.0] + [-math.inf] * len(word)
+    for end in range(1, len(word) + 1):
+        terms = [ways[b] + logs[word[b:end]] for b in range(end) if word[b:end] in logs]
+        ways[end] = max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)) if terms else -math.inf
+    return ways[-1]
+
+
+def test_lattice_sums_over_all_segmentations():
+    pieces = ["▁", "a", "b", "▁a", "ab", "▁ab", "ba", "abab"]
+    logs = np.log(np.arange(1, 9) / 60)
+    spelled = np.full(256, math.log(1 / 1000))
+    lattice = Lattice(PieceVocabulary(pieces, logs, spelled, math.log(0.1)))
+    table = dict(zip(pieces, logs))
+    words = ["a", "ab", "abab", "bababa", "aabbab" * 9, "b"]
+    found = lattice.log_probabilities(words)
+    assert np.allclose(found, [brute_log("▁" + w, table) for w in words])
+    # An unknown character is spelled in bytes.
+    assert np.isclose(lattice.log_probabilities(["é"])[0], logs[0] + 2 * math.log(1 / 1000))
+    # Expected counts: "ab" is ▁+a+b, ▁a+b, ▁+ab or ▁ab.
+    counts = lattice.expected_counts(["ab"], np.array([3]))
+    w = np.exp(logs)
+    total = w[0] * w[1] * w[2] + w[3] * w[2] + w[0] * w[4] + w[5]
+    assert np.isclose(counts[5], 3 * w[5] / total) and np.isclose(counts[4], 3 * w[0] * w[4] / total)
+
+
+@pytest.mark.parametrize("head", [400_000, 3])
+def test_base_scores_and_edges(spark, monkeypatch, head):
+    monkeypatch.setattr(lattice_lm, "HEAD_WORDS", head)
+    rows = [(n, f"The cat {n % 7} sat\x0bon the MAT été") for n in range(40)]
+    rows += [(100, None), (101, ""), (102, "unseen " * 50 + "漢字 " + "x" * 3000), (None, "the"), (3, "the")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").withColumn("score", F.lit("clash"))
+    training = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    found = lattice_scores(docs, read_pieces(PIECES), training).collect()
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = [(i, LETTERS.findall((t or "").translate(lower))) for i, t in rows]
+    trained = [(i, w) for i, w in words if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(x for _, w in trained for x in w)
+    total, size = sum(counts.values()) + len(trained), 0
+    size = total + len(counts) + 1 + 1
+    want = []
+    for i, w in words:
+        base = sum(math.log10((counts[x] + 1) / size) for x in w) + math.log10((len(trained) + 1) / size)
+        want.append((str(i), len(w) + 1, sum(counts[x] > 0 for x in w) + 1, total, round(base, 6)))
+    got = [(str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found]
+    assert sorted(got) == sorted(want)
+    assert all(-1e5 < r.score < 0 for r in found)
+    untrained = lattice_scores(docs, read_pieces(PIECES), F.lit(False)).collect()
+    assert all(r.n_known == 0 and r.train_tokens == 0 and r.score < 0 for r in untrained)
+    assert lattice_scores(docs.limit(0), read_pieces(PIECES), training).count() == 0
