@@ -26,6 +26,9 @@ from tamiz.llm.bpe import read_file
 from tamiz.llm.frames import broadcast_if_small, scratch_of
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens bigint"
+#: Largest table of missing digests that is sent to the texts; beyond it they are
+#: joined by shuffle.
+DIGEST_BYTES = 24 << 20
 #: Characters handed to the tokenizer at once.
 BATCH_CHARS = 1 << 20
 
@@ -119,7 +122,7 @@ def _first_texts(rows: DataFrame, missing: DataFrame, scratch) -> DataFrame:
     the shuffle), so a group of copies of any size is a few rows.
     """
     missing = missing.select("content", (F.col("rows") > 1).alias("copied"))
-    marked = rows.join(broadcast_if_small(missing, 48), "content")
+    marked = rows.join(broadcast_if_small(missing, 48, DIGEST_BYTES), "content")
     single = marked.where("not copied").select("content", "text")
     copied = marked.where("copied").groupBy("content").agg(F.first("text").alias("text"))
     return single.unionByName(copied)
