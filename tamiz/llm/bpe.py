@@ -31,7 +31,10 @@ from tamiz.llm.frames import ship_package
 
 #: Words kept with their tokens in a worker, in two generations of this size;
 #: when the newer one is full, the older one is forgotten.
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 17
+#: Rows handed on together.
+ROWS = 256
+NO_IDS = np.empty(0, np.int32)
 #: Most tokens decoded at once.
 DECODE_TOKENS = 1 << 18
 
@@ -58,16 +61,18 @@ def byte_alphabet() -> list[str]:
 class BpeTokenizer:
     """Encodes and decodes with the vocabulary and merges of one file."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, encodes: bool = True):
         spec = json.loads(text)
         model = spec["model"]
         if model["type"] != "BPE" or model.get("byte_fallback") or model.get("dropout"):
             raise ValueError("only byte-level BPE without dropout or fallback is read")
         self.suffix = model.get("end_of_word_suffix") or ""
         self._alphabet = byte_alphabet()
+        self._read_decoding(spec, model)
+        if not encodes:
+            return
         self._read_text_rules(spec)
         self._read_merges(model)
-        self._read_decoding(spec, model)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = regex.compile(
             "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) or "(?!)"
@@ -289,15 +294,15 @@ class BpeTokenizer:
         return whole.decode(errors="replace").encode() if self.lossy else whole
 
 
-_loaded: dict[int, BpeTokenizer] = {}
+_loaded: dict[tuple[int, bool], BpeTokenizer] = {}
 
 
-def tokenizer_of(text: str) -> BpeTokenizer:
+def tokenizer_of(text: str, encodes: bool) -> BpeTokenizer:
     """The tokenizer of a file's text, built once in a worker."""
-    key = hash(text)
+    key = hash(text), encodes
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = BpeTokenizer(text)
+        _loaded[key] = BpeTokenizer(text, encodes)
     return _loaded[key]
 
 
@@ -309,10 +314,10 @@ def read_file(spark: SparkSession, path: str):
 
 def _encoded(file) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizer_of(file.value)
+        tokenizer = tokenizer_of(file.value, True)
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                rows = batch.slice(first, 256)
+            for first in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(first, ROWS)
                 texts = [tokenizer.encode(text) for text in rows.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*rows.columns, _id_lists(texts)], [*rows.schema.names, "ids"])
 
@@ -327,16 +332,13 @@ def _id_lists(texts: list[bytes]) -> pa.Array:
 
 def _decoded(file) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizer_of(file.value)
+        tokenizer = tokenizer_of(file.value, False)
         for batch in batches:
-            ids = batch.column("ids")
-            if ids.null_count:
-                ids = ids.fill_null([])
-            offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy()
-            texts = [tokenizer.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], [*batch.schema.names, "decoded"]
-            )
+            for first in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(first, ROWS)
+                texts = [tokenizer.decode(ids.values.to_numpy() if ids.is_valid else NO_IDS) for ids in rows.column("ids")]
+                decoded = pa.array(texts, pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*rows.columns, decoded], [*rows.schema.names, "decoded"])
 
     return run
 

@@ -47,7 +47,7 @@ def fold(id_col: str, folds: int) -> Column:
 
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(decode_ids(encode_texts(documents, WORD_BPE), WORD_BPE))
+    return digests(decode_ids(encode_texts(documents, WORD_BPE).drop("text"), WORD_BPE))
 
 
 def digests(decoded: DataFrame) -> DataFrame:
