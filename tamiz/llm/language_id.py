@@ -133,8 +133,10 @@ class LanguageModel:
                     total = np.bincount(owner, logs[at, lang], len(unseen))
                     of_word[unseen[hit], lang] = total[hit] / seen[hit]
                 unseen = unseen[~hit]
-            sums = [np.bincount(words.text, of_word[:, lang], len(texts)) for lang in range(kinds)]
-            return np.stack(sums, axis=1), np.bincount(words.text, minlength=len(texts))
+            sums = np.zeros((len(texts), kinds))
+            for lang in range(kinds):
+                sums[:, lang] = np.bincount(words.text, of_word[:, lang], len(texts))
+            return sums, np.bincount(words.text, minlength=len(texts))
 
         return score
 
