@@ -241,3 +241,55 @@ def test_message_render_truncate(spark):
     assert in_order(made, "m", "r", "t") == [("<7|null>", "Fila(x=7, y=null)", "abc")]
     with pytest.raises(ValueError):
         message("no slot", F.col("a"))
+
+
+@pytest.mark.parametrize("tail", ["\u0085", "\u2028", "\u2029"])
+def test_a_line_terminator_inside_a_field_is_no_part_of_a_number_or_date(spark, tail):
+    rows = text_rows(spark, [f"5{tail}", f"2024-01-10{tail}", f"10/01/2024{tail}"]).select(
+        "n",
+        num.decimal_or_null(text()).alias("x"),
+        num.long_or_null(text()).alias("y"),
+        flexible_date(text()).alias("z"),
+    )
+    assert in_order(rows, "x", "y", "z") == [(None, None, None)] * 3
+
+
+def test_signs_are_judged_on_all_digits(spark):
+    cases = {
+        "0.0000000000000000001": 1,
+        "-0.0000000000000000001": -1,
+        "-0.000000000000000000": 0,
+        "0e5": 0,
+        "-1e30": -1,
+        "1e-30": 1,
+        "+.5": 1,
+        "-": 0,
+        "x1": 0,
+    }
+    rows = text_rows(spark, list(cases)).select(
+        "n", num.is_positive(text()).alias("p"), num.is_negative(text()).alias("m")
+    )
+    assert in_order(rows, "p", "m") == [(sign > 0, sign < 0) for sign in cases.values()]
+
+
+def test_interest_and_money_are_rounded_once(spark):
+    rows = text_rows(spark, ["0.99999999999999999", "0.00499999999999999999999999", "333.33"])
+    balance = num.decimal_or_null(text())
+    found = rows.select(
+        "n",
+        num.interest_on(balance, F.lit("0.005").cast(num.RATE)).alias("i"),
+        num.to_money(balance).alias("m"),
+    )
+    assert [(str(i), str(m)) for i, m in in_order(found, "i", "m")] == [
+        ("0.00", "1.00"),
+        ("0.00", "0.00"),
+        ("1.67", "333.33"),
+    ]
+
+
+def test_an_amount_too_large_is_an_error_only_where_it_is_required(spark):
+    rows = text_rows(spark, ["1e30", "7", "x"])
+    fits = num.decimal_if_it_fits(text())
+    assert in_order(rows.select("n", fits.alias("x")), "x") == [(None,), (Decimal(7),), (None,)]
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        rows.select(num.required(fits, text())).collect()

@@ -369,3 +369,68 @@ def test_row_rules_apply_to_a_stream_unchanged(spark, tmp_path):
     finally:
         query.stop()
     assert found == rows_of(batch, *batch.columns) and len(found) == 11
+
+
+def test_keys_that_a_repeated_run_no_longer_has_are_removed(spark, tmp_path):
+    header, warehouse = TRANSACTIONS[0], str(tmp_path / "tablas")
+    both = ["1,2024-01-01,5,credito", "2,2023-01-02,7,credito", "3,2022-03-03,9,debito"]
+    source = write_text(tmp_path / "a.csv", [header, *both])
+    run_job(spark, v.DAILY_REPORT_JOB, source, warehouse, "a")
+    other = write_text(tmp_path / "b.csv", [header, "9,2022-03-03,1,debito"])
+    run_job(spark, v.DAILY_REPORT_JOB, other, warehouse, "b")
+    source = write_text(tmp_path / "a.csv", [header, both[0]])
+    result = run_job(spark, v.DAILY_REPORT_JOB, source, warehouse, "a")
+    assert result.detail.count() == 2
+    assert rows_of(result.summary, "fecha", "total_transacciones") == [
+        (datetime.date(2022, 3, 3), 1),
+        (datetime.date(2024, 1, 1), 1),
+    ]
+    assert rows_of(result.summary, *SUMMARY_COLUMNS) == rows_of(
+        transactions.daily_summary(result.detail), *SUMMARY_COLUMNS
+    )
+
+
+def test_a_run_leaves_the_files_of_other_years_alone(spark, tmp_path):
+    header, folder = TRANSACTIONS[0], tmp_path / "tablas"
+    for run_id, line in (("a", "1,2020-05-05,5,credito"), ("b", "2,2024-01-02,7,credito")):
+        before = {p: p.stat().st_mtime_ns for p in folder.rglob("anio=2020/*")}
+        source = write_text(tmp_path / f"{run_id}.csv", [header, line])
+        result = run_job(spark, v.DAILY_REPORT_JOB, source, str(folder), run_id)
+    assert before == {p: p.stat().st_mtime_ns for p in folder.rglob("anio=2020/*")} and before
+    assert result.summary.count() == 2
+
+
+def test_rejected_rows_may_hold_any_number(spark, tmp_path):
+    source = write_text(
+        tmp_path / "i.csv",
+        [ACCOUNTS[0], "1,A,1e30,20,otro", "2,B,-1e30,20,ahorro", "3,C,-0.0000000000000000000001,20,ahorro",
+         "4,D,0.99999999999999999,20,ahorro"],
+    )
+    result = run_job(spark, v.MONTHLY_INTEREST_JOB, source, str(tmp_path / "t"), "r1")
+    assert rows_of(result.detail, "cuenta_id", "interes_calculado") == [(4, Decimal("0.00"))]
+    assert result.counters.first()["saltados_proceso"] == 3
+    kept = write_text(tmp_path / "j.csv", [ACCOUNTS[0], "1,A,1e30,20,ahorro"])
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        run_job(spark, v.MONTHLY_INTEREST_JOB, kept, str(tmp_path / "u"), "r1")
+
+
+def test_the_header_is_the_first_line_that_is_no_comment(spark, tmp_path):
+    files = tmp_path / "in"
+    files.mkdir()
+    write_text(files / "1.csv", ["# made by x", "# twice", TRANSACTIONS[0], "1,2024-01-10,5,credito", "# c"])
+    write_text(files / "2.csv", ["# only comments"])
+    write_text(files / "3.csv", [TRANSACTIONS[0], "2,2024-01-10,5,credito"])
+    result = run_job(spark, v.DAILY_REPORT_JOB, str(files), str(tmp_path / "t"), "r1")
+    assert rows_of(result.detail, "transaccion_id_origen", "estado") == [(1, "VALIDA"), (2, "VALIDA")]
+
+
+def test_settings_on_the_command_line(spark, tmp_path, capsys):
+    source = write_text(tmp_path / "i.csv", [ACCOUNTS[0], "1,A,100,20,oro", "2,B,100,20,plata"])
+    options = ["--source", source, "--warehouse", str(tmp_path / "t"), "--run-id", "r1"]
+    rate = ["--rate", "oro=0.02", "--min-age", "30", "--slices", "1"]
+    with pytest.raises(QualityGateError):
+        main([v.MONTHLY_INTEREST_JOB, *options, *rate, "--reject-limit", "0"])
+    main([v.MONTHLY_INTEREST_JOB, *options, *rate, "--reject-limit", "1"])
+    detail = tables.read_table(spark, str(tmp_path / "t"), tables.ACCOUNTS)
+    assert rows_of(detail, "edad_utilizada", "interes_calculado") == [(30, Decimal("2.00"))]
+    assert "saltados_proceso=1" in capsys.readouterr().out
