@@ -46,7 +46,7 @@ MARK = "▁"
 #: Spans of words looked at together.
 SPANS = 1 << 20
 #: Texts whose words are counted together before they are passed on.
-COUNT_BYTES = 32 << 20
+COUNT_BYTES = 8 << 20
 
 _U = np.uint64
 
@@ -210,6 +210,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(
                     [found.field(0).cast(pa.string()), counts, counts if training else none], ["word", "n", "c"]
                 )
+                del some, words, found, counts, none
+                pa.default_memory_pool().release_unused()
             first = last
 
 
