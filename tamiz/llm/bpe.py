@@ -31,7 +31,7 @@ from tamiz.llm.frames import ship_package
 
 #: Words kept with their tokens in a worker, in two generations of this size;
 #: when the newer one is full, the older one is forgotten.
-CACHED_WORDS = 1 << 17
+CACHED_WORDS = 1 << 16
 #: Rows handed on together.
 ROWS = 256
 NO_IDS = np.empty(0, np.int32)
@@ -194,7 +194,7 @@ class BpeTokenizer:
     def _fits(self, a: int, b: int) -> bool:
         known = self._pairs.get((a, b))
         if known is None:
-            if len(self._pairs) >= 4 * CACHED_WORDS:
+            if len(self._pairs) >= 2 * CACHED_WORDS:
                 self._pairs.clear()
             known = self._pairs[a, b] = self.compatible(a, b)
         return known
@@ -294,15 +294,15 @@ class BpeTokenizer:
         return whole.decode(errors="replace").encode() if self.lossy else whole
 
 
-_loaded: dict[tuple[int, bool], BpeTokenizer] = {}
+_loaded: dict[int, BpeTokenizer] = {}
 
 
-def tokenizer_of(text: str, encodes: bool) -> BpeTokenizer:
+def tokenizer_of(text: str) -> BpeTokenizer:
     """The tokenizer of a file's text, built once in a worker."""
-    key = hash(text), encodes
+    key = hash(text)
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = BpeTokenizer(text, encodes)
+        _loaded[key] = BpeTokenizer(text)
     return _loaded[key]
 
 
@@ -314,12 +314,13 @@ def read_file(spark: SparkSession, path: str):
 
 def _encoded(file) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizer_of(file.value, True)
+        tokenizer = tokenizer_of(file.value)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(first, ROWS)
                 texts = [tokenizer.encode(text) for text in rows.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*rows.columns, _id_lists(texts)], [*rows.schema.names, "ids"])
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -331,8 +332,10 @@ def _id_lists(texts: list[bytes]) -> pa.Array:
 
 
 def _decoded(file) -> Callable:
+    """``file`` holds the decoding side of a tokenizer: its offset table."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizer_of(file.value, False)
+        tokenizer = file.value
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(first, ROWS)
@@ -357,6 +360,8 @@ def _mapped(docs: DataFrame, path: str, make: Callable, renamed: dict, out: str,
     """Columns pass through under numbered names, so none can clash."""
     ship_package(docs.sparkSession)
     file = read_file(docs.sparkSession, path)
+    if make is _decoded:
+        file = docs.sparkSession.sparkContext.broadcast(BpeTokenizer(file.value, encodes=False))
     (source, name), = renamed.items()
     others = [c for c in docs.columns if c not in (source, out)]
     inner = docs.select(
