@@ -1,16 +1,23 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
-Every tree splits the vectors by random directions, one for each level, at the
+Every tree splits the vectors by random directions, one for each level, near the
 median of the node; vectors closer to the cut than ``SPILL`` (in units of
 1/sqrt(dimensions)) go to both sides.  Vectors that share a leaf of any tree are
 compared, in double precision; pairs from ``threshold`` on are links, and links
 are united.  Pairs below are never linked, so only recall depends on the trees.
 
+The depth follows the number of vectors, and the number of trees the depth, so
+that a pair at the threshold is expected to share a leaf with ``RECALL``.  A node
+is cut only where that saves more comparisons than it parts such pairs: a dense
+group, whose spread is of the size of the margin, stays whole in one leaf.
+
 The cuts are fitted on about ``SAMPLE`` vectors; all vectors are put into the
-trees.  The depth follows the number of vectors; where a node holds too few
-sampled ones, the cut of its nearest ancestor with enough of them along the same
-direction is used.  Equal vectors are one node.  A leaf above ``LEAF_NODES``
-nodes is cut into parts, and every pair of parts is a task of its own.
+trees.  Where a node holds too few sampled ones, those of its nearest ancestor
+with enough of them are used: such a cut does not follow the node, so it is as
+likely to part a pair there as anywhere.  Equal vectors are one node.  A leaf
+above ``LEAF_NODES`` nodes is cut into parts, and every pair of parts is a task of
+its own.  A pair counts in the first leaf that holds both, so links are summed in
+the tasks and never listed.
 """
 
 from __future__ import annotations
@@ -27,7 +34,11 @@ from tamiz.llm.components import components
 from tamiz.llm.frames import broadcast_if_small, scratch_of, whole_groups
 from tamiz.session import Scratch
 
-TREES, SPILL = 4, 0.15
+#: Fewest trees, and the share of pairs at the threshold that the trees are to find.
+TREES, RECALL, SPILL = 4, 0.95, 0.15
+#: Where a node may be cut, and the most comparisons, as a share of those of the
+#: uncut node, that a cut may leave after ``KEPT_POWER`` has weighed its losses.
+QUANTILES, MOST_LEFT, KEPT_POWER = np.array([0.5, 0.4, 0.6, 0.3, 0.7, 0.2, 0.8, 0.1, 0.9]), 0.9, 2
 #: Vectors a leaf is meant to hold, and most that one task holds of a leaf.
 LEAF, LEAF_NODES = 600, 4096
 SAMPLE, LEAST_SAMPLE = 20_000, 32
@@ -70,33 +81,78 @@ def _matrix(column: pa.Array, kind: str) -> np.ndarray:
     return raw / np.sqrt((raw * raw).sum(axis=1, keepdims=True))
 
 
+_Z = np.linspace(-8, 8, 4001)
+_TAIL = np.array([0.5 * math.erfc(z / math.sqrt(2)) for z in _Z])
+
+
 class Forest:
-    """Directions of every level and cuts of every node of each tree."""
+    """Directions of every level and cuts of every node of each tree; an infinite
+    cut leaves the node whole."""
 
-    def __init__(self, sample: np.ndarray, vectors: int, dims: int):
+    def __init__(self, sample: np.ndarray, vectors: int, dims: int, threshold: float):
         self.depth = max(0, math.ceil(math.log(max(1, vectors) / LEAF) / -math.log(SIDE_SHARE)))
+        self.margin = SPILL / math.sqrt(dims)
+        #: Deviation, along a direction, of the difference of a pair at the threshold.
+        self.apart = max(1e-12, math.sqrt(max(0.0, 2 - 2 * threshold) / dims))
+        self.trees, self.least_kept = 1, 1.0
+        if self.depth:
+            normal = np.linspace(-4, 4, 2001)
+            weight = np.exp(-normal * normal / 2)
+            parted = (self._parted(normal / math.sqrt(dims), np.zeros(1))[:, 0] * weight).sum() / weight.sum()
+            missed = 1 - (1 - parted) ** self.depth
+            self.trees = max(TREES, math.ceil(math.log(1 - RECALL) / math.log(missed)) if missed else 1)
+            self.least_kept = 1 - (1 - RECALL) ** (1 / self.trees)
         draw = np.random.default_rng([SEED, dims])
-        self.directions = draw.standard_normal((TREES, self.depth, dims))
+        self.directions = draw.standard_normal((self.trees, self.depth, dims))
         self.directions /= np.linalg.norm(self.directions, axis=2, keepdims=True)
-        self.margin = SPILL / math.sqrt(dims)
-        self.cuts = [self._fit(tree, sample) for tree in range(TREES)]
+        self.cuts = [self._fit(tree, sample) for tree in range(self.trees)]
+
+    def _parted(self, along: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """Chance that a cut puts a vector and its pair at the threshold on two sides."""
+        off = np.abs(along[:, None] - cuts)
+        return np.where(off > self.margin, np.interp((off + self.margin) / self.apart, _Z, _TAIL), 0.0)
 
     def _fit(self, tree: int, sample: np.ndarray) -> list[np.ndarray]:
         along = sample @ self.directions[tree].T
-        nodes, cuts = [np.arange(len(sample))], []
+        whole = (None, 0.0)
+        nodes, cuts = [(np.arange(len(sample)), 1.0)], []
         for level in range(self.depth):
-            cut = np.array([np.median(along[rows, level]) if len(rows) else 0.0 for rows in nodes])
+            cut, below, known = np.full(len(nodes), np.inf), [], {}
+            for node, (rows, kept) in enumerate(nodes):
+                found = None
+                if rows is not None:
+                    if id(rows) not in known:  # nodes below the same ancestor
+                        known[id(rows)] = self._cut(along[rows, level], kept)
+                    found = known[id(rows)]
+                if found is None:
+                    below += [whole, whole]
+                    continue
+                cut[node], kept = found
+                past = along[rows, level] - cut[node]
+                for side in (rows[past <= self.margin], rows[past >= -self.margin]):
+                    below.append((side if len(side) >= LEAST_SAMPLE else rows, kept))
             cuts.append(cut)
-            below = []
-            for rows, at in zip(nodes, cut):
-                for side in (rows[along[rows, level] <= at + self.margin], rows[along[rows, level] >= at - self.margin]):
-                    below.append(side if len(side) >= LEAST_SAMPLE else rows)
             nodes = below
         return cuts
 
-    def leaves(self, vectors: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def _cut(self, along: np.ndarray, kept: float) -> tuple[float, float] | None:
+        """Where to cut a node, and the chance that a pair at the threshold is still
+        together after that, or None if the node is to stay whole."""
+        if not len(along):
+            return None
+        some = np.sort(along[:2000])
+        at = QUANTILES * (len(some) - 1)
+        cuts = (some[np.floor(at).astype(int)] + some[np.ceil(at).astype(int)]) / 2
+        kept = kept * (stays := 1 - self._parted(some, cuts).mean(axis=0))
+        low = np.searchsorted(some, cuts + self.margin, "right") / len(some)
+        high = 1 - np.searchsorted(some, cuts - self.margin, "left") / len(some)
+        left = np.where(kept < self.least_kept, np.inf, (low * low + high * high) / stays**KEPT_POWER)
+        best = int(np.argmin(left))
+        return (float(cuts[best]), float(kept[best])) if left[best] < MOST_LEFT else None
+
+    def leaves(self, vectors: np.ndarray, trees: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(tree, rows, leaf of each): a row comes once for every leaf it is in."""
-        for tree in range(TREES):
+        for tree in range(self.trees if trees is None else trees):
             along = vectors @ self.directions[tree].T
             rows, node = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
             for level in range(self.depth):
@@ -119,7 +175,7 @@ def _placed(shared, kind: str, with_vectors: bool) -> Callable:
                 for first in range(0, part.num_rows, 2000):
                     some = part.slice(first, 2000)
                     for tree, rows, leaf in forest.leaves(_matrix(some.column("vector"), kind)):
-                        key = (leaf * TREES + tree) * 65_536 + size % 65_536
+                        key = (leaf * forest.trees + tree) * 65_536 + size % 65_536
                         columns = [pa.array(key)]
                         if with_vectors:
                             columns += [some.column(name).take(pa.array(rows)) for name in ("node", "rows", "vector")]
@@ -129,13 +185,14 @@ def _placed(shared, kind: str, with_vectors: bool) -> Callable:
     return run
 
 
-def _close_pairs(threshold: float, kind: str) -> Callable:
-    """(a, b, a_rows, b_rows, joins): pairs at or above the threshold within each
-    task; ``joins`` marks pairs that suffice to connect what the task connects."""
+def _linked(shared, threshold: float, kind: str) -> Callable:
+    """(a, b, n) of each task: with ``b``, a link, of which there are enough to
+    connect what the task connects; without, ``a`` is linked with ``n`` rows of
+    other nodes.  A pair counts only in the first leaf that holds both nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "task"):
-            task, side = table["task"].to_numpy(), table["side"].to_numpy()
+            task, leaf, side = (table[name].to_numpy() for name in ("task", "leaf", "side"))
             node, rows = table["node"].to_numpy(), table["rows"].to_numpy()
             vectors = table["vector"].combine_chunks()
             cuts = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
@@ -144,43 +201,80 @@ def _close_pairs(threshold: float, kind: str) -> Callable:
                     continue
                 here = np.arange(begin, end)
                 sizes = np.array([len(v.as_buffer()) for v in vectors.slice(begin, end - begin)])
+                halves = (side[here] == 1).any()
                 for size in np.unique(sizes):
                     own = here[sizes == size]
-                    left, right = own[side[own] == 0], own[side[own] == 1]
-                    x, y = _products(vectors, left, right if (side[here] == 1).any() else None, threshold, kind)
-                    if not len(x):
+                    matrix = _matrix(vectors.take(pa.array(own)), kind)
+                    forest = shared.value[size // np.dtype(kind).itemsize]
+                    left, right = np.flatnonzero(side[own] == 0), np.flatnonzero(side[own] == 1)
+                    earlier, above = None, list(range(len(own)))
+                    others, joins = np.zeros(len(own), np.int64), []
+                    for x, y in _products(matrix, left, right if halves else None, threshold):
+                        if earlier is None:
+                            earlier = list(_earlier_leaves(forest, matrix, int(leaf[begin]) >> 16))
+                        new = _first_met(x, y, earlier)
+                        x, y = x[new], y[new]
+                        for p, q in ((x, y), (y, x)):
+                            others += np.bincount(p, rows[own[q]], len(own)).astype(np.int64)
+                        joins += _spanning(x, y, above)
+                    linked = np.flatnonzero(others)
+                    if not len(linked):
                         continue
-                    a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-                    swap = node[x] > node[y]
-                    a_rows, b_rows = np.where(swap, rows[y], rows[x]), np.where(swap, rows[x], rows[y])
+                    p, q = node[own[[x for x, _ in joins]]], node[own[[y for _, y in joins]]]
+                    none = pa.nulls(len(linked), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(v) for v in (a, b, a_rows, b_rows, _spanning(x - begin, y - begin, end - begin))],
-                        ["a", "b", "a_rows", "b_rows", "joins"],
+                        [
+                            pa.array(np.concatenate([np.minimum(p, q), node[own[linked]]])),
+                            pa.concat_arrays([pa.array(np.maximum(p, q)), none]),
+                            pa.array(np.concatenate([np.zeros(len(p), np.int64), others[linked]])),
+                        ],
+                        ["a", "b", "n"],
                     )
 
     return run
 
 
-def _products(vectors, left: np.ndarray, right: np.ndarray | None, threshold: float, kind: str):
-    """Row numbers of the pairs; left with right, or left with itself if that is None."""
-    none = np.empty(0, np.int64)
-    if not len(left) or (right is not None and not len(right)):
-        return none, none
-    a = _matrix(vectors.take(pa.array(left)), kind)
-    b = a if right is None else _matrix(vectors.take(pa.array(right)), kind)
-    found_x, found_y = [], []
-    for first in range(0, len(a), 1024):
-        x, y = np.nonzero(a[first : first + 1024] @ b.T >= threshold)
+def _products(matrix: np.ndarray, left: np.ndarray, right: np.ndarray | None, threshold: float):
+    """Row numbers of the pairs, in blocks; left with right, or left with itself if
+    that is None."""
+    other = left if right is None else right
+    for first in range(0, len(left), 1024):
+        x, y = np.nonzero(matrix[left[first : first + 1024]] @ matrix[other].T >= threshold)
         x = x + first
         if right is None:
             x, y = x[x < y], y[x < y]
-        found_x.append(left[x])
-        found_y.append((left if right is None else right)[y])
-    return np.concatenate(found_x), np.concatenate(found_y)
-
-
-def _spanning(x: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-    above = list(range(size))
+        if len(x):
+            yield left[x], other[y]
+
+
+def _earlier_leaves(forest: Forest, matrix: np.ndarray, key: int) -> Iterator[np.ndarray]:
+    """For every tree, a bit for each leaf before that of ``key`` a row is in."""
+    last_leaf, last_tree = divmod(key, forest.trees)
+    for tree, rows, leaf in forest.leaves(matrix, last_tree + 1):
+        if tree == last_tree:
+            rows, leaf = rows[leaf < last_leaf], leaf[leaf < last_leaf]
+        leaves, number = np.unique(leaf, return_inverse=True)
+        bits = np.zeros((len(matrix), -(-len(leaves) // 8)), np.uint8)
+        np.bitwise_or.at(bits, (rows, number >> 3), (1 << (number & 7)).astype(np.uint8))
+        if len(leaves):
+            yield bits
+
+
+def _first_met(x: np.ndarray, y: np.ndarray, earlier: list[np.ndarray]) -> np.ndarray:
+    """Positions of the pairs that share none of the earlier leaves."""
+    new = np.arange(len(x))
+    for bits in earlier:
+        step = max(1, (16 << 20) // bits.shape[1])
+        met = [
+            (bits[x[some]] & bits[y[some]]).any(axis=1)
+            for some in (new[first : first + step] for first in range(0, len(new), step))
+        ]
+        new = new[~np.concatenate(met)] if met else new
+    return new
+
+
+def _spanning(x: np.ndarray, y: np.ndarray, above: list[int]) -> list[tuple[int, int]]:
+    """Those of the pairs that connect what ``above`` does not yet; adds them there."""
 
     def root(n: int) -> int:
         while above[n] != n:
@@ -188,12 +282,17 @@ def _spanning(x: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
             n = above[n]
         return n
 
-    joins = np.zeros(len(x), bool)
-    for pair, (p, q) in enumerate(zip(x.tolist(), y.tolist())):
-        p, q = root(p), root(q)
-        if p != q:
-            above[max(p, q)] = min(p, q)
-            joins[pair] = True
+    joins = []
+    first = np.unique(y, return_index=True)[1]  # one pair of each row leaves few others to try
+    for rest in (False, True):
+        if rest:
+            label = np.array([root(n) for n in range(len(above))])
+            first = np.flatnonzero(label[x] != label[y])
+        for p, q in zip(x[first].tolist(), y[first].tolist()):
+            low, high = sorted((root(p), root(q)))
+            if low != high:
+                above[high] = low
+                joins.append((p, q))
     return joins
 
 
@@ -224,11 +323,9 @@ def near_embeddings(
         ),
         "nodes",
     )
-    pairs = _pairs(nodes, threshold, kind, scratch)
-    united = components(pairs.where("joins"), "a", "b", scratch)
-    links = pairs.select(F.col("a").alias("node"), F.col("b_rows").alias("n")).unionByName(
-        pairs.select(F.col("b").alias("node"), F.col("a_rows").alias("n"))
-    ).groupBy("node").agg(F.sum("n").alias("others"))
+    found = _links(nodes, threshold, kind, scratch)
+    united = components(found.where("b is not null"), "a", "b", scratch)
+    links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
     linked = nodes.select("node", "low", "rows").join(united, "node").join(links, "node")
     lowest = linked.groupBy("component").agg(F.min("low").alias("component_id"))
     linked = linked.join(lowest, "component").select("node", "component_id", (F.col("others") + F.col("rows") - 1).alias("n"))
@@ -246,14 +343,14 @@ def near_embeddings(
     )
 
 
-def _pairs(nodes: DataFrame, threshold: float, kind: str, scratch: Scratch) -> DataFrame:
+def _links(nodes: DataFrame, threshold: float, kind: str, scratch: Scratch) -> DataFrame:
     forests = {}
     for dims, count in nodes.groupBy("dims").count().collect():  # one row per vector length
         share = min(1 << 30, (SAMPLE << 30) // count)
         drawn = nodes.where((F.col("dims") == dims) & (F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < share))
         held = drawn.select("node", "vector").toArrow().sort_by("node")["vector"].combine_chunks()
         sample = _matrix(held, kind) if len(held) else np.empty((0, dims))
-        forests[dims] = Forest(sample, count, dims)
+        forests[dims] = Forest(sample, count, dims, threshold)
     shared = nodes.sparkSession.sparkContext.broadcast(forests)
     slim = nodes.select("dims", "node", "rows", "vector")
     sizes = slim.mapInArrow(_placed(shared, kind, False), "leaf bigint").groupBy("leaf").count()
@@ -274,13 +371,10 @@ def _pairs(nodes: DataFrame, threshold: float, kind: str, scratch: Scratch) -> D
     )
     low, high = F.least("part", "other"), F.greatest("part", "other")
     tasks = cut.select(
-        F.xxhash64("leaf", low, high).alias("task"), (F.col("part") > F.col("other")).cast("int").alias("side"),
+        F.xxhash64("leaf", low, high).alias("task"), "leaf", (F.col("part") > F.col("other")).cast("int").alias("side"),
         "node", "rows", "vector",
     )
     near = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(
-        _close_pairs(threshold, kind), "a bigint, b bigint, a_rows bigint, b_rows bigint, joins boolean"
-    )
-    once = near.groupBy("a", "b").agg(
-        F.first("a_rows").alias("a_rows"), F.first("b_rows").alias("b_rows"), F.max("joins").alias("joins")
+        _linked(shared, threshold, kind), "a bigint, b bigint, n bigint"
     )
-    return scratch.stage(once, "pairs")
+    return scratch.stage(near, "links")

@@ -4,11 +4,14 @@ brute force and edge cases."""
 import base64
 import gzip
 import hashlib
+import math
 import random
 import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,6 +162,39 @@ def test_recall_of_the_forest(spark, monkeypatch, leaf_nodes):
     assert np.mean([found[i].component_id == c for i, (_, c) in want.items()]) > 0.95
 
 
+def test_recall_of_each_group_with_a_dense_third(spark, tmp_path):
+    """Constants as they are; the dense group's vectors all differ."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    alone, turn = unit(rng.normal(size=(15_000, 64))), unit(rng.normal(size=(1000, 64)))
+    turn = unit(turn - (turn * alone[:1000]).sum(axis=1, keepdims=True) * alone[:1000])
+    twins = 0.901 * alone[:1000] + math.sqrt(1 - 0.901**2) * turn
+    dense = unit(rng.normal(size=(1, 64))) * math.sqrt(0.92) + unit(rng.normal(size=(8000, 64))) * math.sqrt(0.08)
+    x = np.concatenate([alone, twins, dense]).astype(np.float32)
+    order = rng.permutation(len(x))
+    table = pa.table({"vec_id": order, "embedding": pa.FixedSizeListArray.from_arrays(x[order].ravel(), 64).cast(pa.list_(pa.float32()))})
+    pq.write_table(table, f"{tmp_path}/v.parquet", row_group_size=3000)
+    found = near_embeddings(spark.read.parquet(f"{tmp_path}/v.parquet")).toArrow().sort_by("vec_id")
+    n_links = found["n_links"].to_numpy()
+    x = unit(x.astype(np.float64))
+    want = np.concatenate([(x[n : n + 2000] @ x.T >= 0.9).sum(axis=1) - 1 for n in range(0, len(x), 2000)])
+    assert (n_links <= want).all()
+    for group in (slice(0, 16_000), slice(16_000, None)):
+        assert n_links[group].sum() >= 0.95 * want[group].sum()
+    assert len(np.unique(found["component_id"].to_numpy()[16_000:])) < 80
+
+
+@pytest.mark.parametrize("vectors", [20_000, 10**6, 10**8])
+def test_trees_follow_the_depth(monkeypatch, vectors):
+    monkeypatch.setattr(projection_forest.Forest, "_fit", lambda *_: [])
+    forest = projection_forest.Forest(np.empty((0, 64)), vectors, 64, 0.9)
+    rng, at = np.random.default_rng(6), 1 / math.sqrt(64)
+    a = rng.normal(size=(4000, forest.trees, forest.depth)) * at
+    b = 0.9 * a + math.sqrt(1 - 0.81) * rng.normal(size=a.shape) * at
+    met = (np.minimum(a, b) >= -forest.margin) | (np.maximum(a, b) <= forest.margin)
+    assert met.all(axis=2).any(axis=1).mean() > 0.93
+
+
 def test_embedding_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0]), (5, None), (6, []), (7, [0.0, 0.0]),
