@@ -35,8 +35,6 @@ ID_PREFIX = "urn:x-page:"
 PAYLOAD_LENGTH = "X-Payload-Length"
 #: Records in a file; a file is read by one task.
 RECORDS_PER_FILE = 4000
-#: Longest header that is looked through for its end.
-HEADER_BYTES = 1 << 16
 
 RECORDS = (
     "path string, offset bigint, length bigint, problem string, "
@@ -125,19 +123,22 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """Headers, payload and end of the plain record at ``at``; raises BadRecord."""
     if not data.startswith(b"WARC/1.", at):
         raise BadRecord("no version line")
-    head = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-    if head < 0:
-        raise BadRecord("no end of header")
-    headers = {}
-    for line in data[at:head].decode("utf-8", "replace").split("\r\n")[1:]:
-        name, colon, value = line.partition(":")
+    headers, line = {}, at
+    while True:  # line by line: a header has any length, junk ends at its first bad line
+        line = data.find(b"\r\n", line) + 2
+        stop = data.find(b"\r\n", line)
+        if line < 2 or stop < 0:
+            raise BadRecord("no end of header")
+        if stop == line:
+            break
+        name, colon, value = data[line:stop].decode("utf-8", "replace").partition(":")
         if not colon or not re.fullmatch(r"[!-~]+", name):
             raise BadRecord("malformed header line")
         headers[name] = value.strip()
     length = headers.get("Content-Length", "")
     if not re.fullmatch(r"[0-9]{1,18}", length):
         raise BadRecord("no content length")
-    begin, end = head + 4, head + 4 + int(length)
+    begin, end = line + 2, line + 2 + int(length)
     if data[end : end + 4] != b"\r\n\r\n":
         raise BadRecord("no record end after the content")
     block = data[begin:end]

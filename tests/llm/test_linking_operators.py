@@ -272,6 +272,15 @@ def test_round_trip_with_revisits(spark, tmp_path):
     assert read_warc(spark, f"{tmp_path}/e").count() == 0
 
 
+def test_long_urls_come_back(spark, tmp_path):
+    rows = [(1, "http://a/" + "x" * 400_000, "same"), (2, "u", "same"), (3, "http://a/" + " " * 30_000, "other")]
+    write_warc(spark.createDataFrame(rows, "page_id bigint, url string, html string"), f"{tmp_path}/w")
+    found = read_warc(spark, f"{tmp_path}/w").collect()
+    assert len(found) == 3 and all(r.problem is None for r in found)
+    urls = {r.headers["WARC-Record-ID"]: r.headers["WARC-Target-URI"] for r in found}
+    assert urls == {f"<urn:x-page:{n}>": u.replace(" ", "%20") for n, u, _ in rows}
+
+
 def record(number, body):
     digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
     head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x-page:{number}>\r\nWARC-Block-Digest: sha1:{digest}\r\nContent-Length: {len(body)}\r\n\r\n"
