@@ -9,7 +9,8 @@ The reader takes plain archives and archives of gzip members.  Every record is
 checked: member checksum, version line, header lines, ``Content-Length``, the
 record end, block and payload digests.  After a failed check it looks for the
 next gzip member or version line that starts a record passing all checks, goes
-on from there, and returns the skipped bytes as a gap with the reason.
+on from there, and returns the skipped bytes as a gap with the reason.  What a
+gzip member inflates to, also before an error, is salvaged in the same way.
 """
 
 from __future__ import annotations
@@ -152,48 +153,100 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     return headers, payload, end + 4
 
 
-def _records_at(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The record, or all records of the gzip member, at ``at``, and where it ends."""
+_Row = tuple[str | None, dict[str, str], bytes]  # problem, headers, payload
+
+
+def _inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` holds up to its end or an error, where it
+    ends, and what is wrong with it."""
+    inflate, parts, view = zlib.decompressobj(31), [], memoryview(data)
+    while at < len(data) and not inflate.eof:
+        piece = view[at : at + (1 << 16)]
+        before = inflate.copy()
+        try:
+            parts.append(inflate.decompress(piece))
+        except zlib.error:
+            for n in range(len(piece)):  # up to the byte that fails
+                try:
+                    parts.append(before.decompress(piece[n : n + 1]))
+                except zlib.error:
+                    break
+            return b"".join(parts), at, "damaged gzip member"
+        at += len(piece)
+    return b"".join(parts), at - len(inflate.unused_data), None if inflate.eof else "cut gzip member"
+
+
+def _inner_rows(plain: bytes, problem: str | None) -> Iterator[_Row]:
+    """Records and gaps of an inflated member.  Of a damaged one only records whose
+    digest says that they are whole are taken."""
+    at = gap = 0
+    reason = None
+    starts = _VERSION_LINE.finditer(plain)
+    while at < len(plain):
+        try:
+            headers, payload, end = parse_record(plain, at)
+            if problem == "damaged gzip member" and not headers.get("WARC-Block-Digest", "").startswith("sha1:"):
+                raise BadRecord("no digest in a damaged gzip member")
+        except BadRecord as bad:
+            reason = reason or str(bad)
+            at = next((m.start() for m in starts if m.start() > at), len(plain))
+            continue
+        if reason:
+            yield f"bytes {gap} to {at} of a gzip member: {reason}", {}, b""
+        yield None, headers, payload
+        at = gap = end
+        reason = None
+    if reason or problem == "cut gzip member":
+        yield f"bytes from {gap} of a gzip member: {problem or reason}", {}, b""
+
+
+def _rows_at(data: bytes, at: int) -> tuple[list[_Row], int | None, bytes]:
+    """The record, or the rows of the gzip member, at ``at``, where it ends (None if
+    that is not known), and what an unfinished member inflated to; raises BadRecord
+    if there is no record."""
     if not data.startswith(b"\x1f\x8b", at):
         headers, payload, end = parse_record(data, at)
-        return [(headers, payload)], end
-    inflate = zlib.decompressobj(31)
-    try:
-        plain = inflate.decompress(memoryview(data)[at:])
-    except zlib.error as error:
-        raise BadRecord("damaged gzip member") from error
-    if not inflate.eof:
-        raise BadRecord("cut gzip member")
-    found, inner = [], 0
-    while inner < len(plain):
-        headers, payload, inner = parse_record(plain, inner)
-        found.append((headers, payload))
-    return found, len(data) - len(inflate.unused_data)
+        return [(None, headers, payload)], end, b""
+    plain, end, problem = _inflated(data, at)
+    rows = list(_inner_rows(plain, problem))
+    # A cut member whose only record is whole, as when the last bytes of a file are
+    # missing, is quarantined like one whose record is cut.
+    sole = problem == "cut gzip member" and len(rows) == 2 and rows[1][0].startswith(f"bytes from {len(plain)} ")
+    if sole or not any(row[0] is None for row in rows):
+        raise BadRecord(problem or (rows[0][0] if rows else "empty gzip member"))
+    return (rows, None, plain) if problem else (rows, end, b"")
 
 
-_STARTS = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+_STARTS, _VERSION_LINE = re.compile(rb"\x1f\x8b\x08|WARC/1\."), re.compile(rb"WARC/1\.")
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict[str, str], bytes]]:
     """(offset, length, problem, headers, payload): records, where ``problem`` is
-    None, and quarantined gaps, in the order of the file."""
-    at = 0
+    None, and quarantined gaps, in the order of the file.  What comes from a gzip
+    member of several rows has the member's offset and length in each of them."""
+    at, ready = 0, None
     while at < len(data):
+        rows, end, plain = [], None, b""
         try:
-            found, end = _records_at(data, at)
+            rows, end, plain = ready or _rows_at(data, at)
         except BadRecord as bad:
-            problem, found, end, start = str(bad), [], len(data), len(data)
+            rows = [(str(bad), {}, b"")]
+        ready = None
+        if end is None:
+            end = len(data)
             for candidate in _STARTS.finditer(data, at + 1):
+                start = candidate.start()
                 try:
-                    found, end = _records_at(data, candidate.start())
+                    ready = _rows_at(data, start)
                 except BadRecord:
                     continue
-                start = candidate.start()
+                if plain and data[start] != 0x1F and data[start : ready[1]] in plain:
+                    ready = None  # stored, not compressed, in the member: it has come with it
+                    continue
+                end = start
                 break
-            yield at, start - at, problem, {}, b""
-            at = start
-        for headers, payload in found:
-            yield at, end - at, None, headers, payload
+        for problem, headers, payload in rows:
+            yield at, end - at, problem, headers, payload
         at = end
 
 

@@ -309,6 +309,30 @@ def test_records_after_damage_are_recovered_and_gaps_logged(pack):
     assert list(salvage(b"")) == [] and len(list(salvage(b"x" * 1000))) == 1
 
 
+def test_records_of_a_gzip_member_survive_a_bad_one():
+    bodies = [bytes(np.random.default_rng(n).integers(256, size=3000, dtype=np.uint8)) for n in range(6)]
+    parts = [record(n, b) for n, b in enumerate(bodies)]
+    ids = lambda found: "".join(r[3]["WARC-Record-ID"][-2] for r in found if r[2] is None)
+    bad = bytearray(parts[2])
+    bad[-100] ^= 1
+    member = gzip.compress(b"".join([*parts[:2], bytes(bad), *parts[3:]]))
+    found = list(salvage(member))
+    assert ids(found) == "01345" and [r[4] for r in found if not r[2]] == [b for n, b in enumerate(bodies) if n != 2]
+    assert [r[2] for r in found if r[2]] == [f"bytes {2 * len(parts[0])} to {3 * len(parts[0])} of a gzip member: block digest differs"]
+    whole = gzip.compress(b"".join(parts))
+    after = gzip.compress(record(7, b"after")) + record(8, b"plain")
+    cut = list(salvage(whole[: len(whole) * 6 // 10]))
+    assert ids(cut) == "012" and cut[-1][2].endswith("cut gzip member")
+    assert ids(salvage(whole[:-8] + b"bad sum!" + after)) == "01234578"
+    for level, least in ((0, 7), (6, 4)):  # stored records are found once
+        for damage in (len(whole) // 2, len(whole) - 50):
+            broken = bytearray(gzip.compress(b"".join(parts), level))
+            broken[damage] ^= 0x5A
+            found = list(salvage(bytes(broken) + after))
+            assert len(ids(found)) == len(set(ids(found))) >= least and ids(found).endswith("78")
+            assert all(r[4] in [*bodies, b"after", b"plain"] for r in found if r[2] is None)
+
+
 def test_warc_query(spark):
     pages = {r.page_id: r.html or "" for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
     first = {}
