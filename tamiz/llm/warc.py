@@ -34,8 +34,11 @@ BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 ID_PREFIX = "urn:x-page:"
 PAYLOAD_LENGTH = "X-Payload-Length"
-#: Records in a file; a file is read by one task.
-RECORDS_PER_FILE = 4000
+#: Most records and bytes in a file, which is read by one task; a longer record has
+#: a file of its own.
+RECORDS_PER_FILE, FILE_BYTES = 4000, 128 << 20
+#: Bytes of a header besides the URL and the ids.
+HEADER_REST = 1024
 
 RECORDS = (
     "path string, offset bigint, length bigint, problem string, "
@@ -64,7 +67,7 @@ def write_warc(
     """One record for each row of ``pages`` into archives under ``path``.
 
     Payloads of at least ``least_bytes`` bytes that occur under several ids are
-    written once.  A null payload is an empty one.  A row without id is always a
+    written once.  Long records go to files of fewer records.  A null payload is an empty one.  A row without id is always a
     response; rows that repeat whole, id included, are responses each.  A null
     URL leaves the header out; blanks and control characters in it are escaped.
     """
@@ -77,8 +80,19 @@ def write_warc(
     ).where("first < last").select("digest", "first")
     shared = scratch.stage(shared, "shared")
     marked = rows.join(broadcast_if_small(shared, 64), "digest", "left")
-    records = marked.select(_record(date).alias("value"))
-    records.write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    halvings = _halvings()
+    found = sorted(row[0] for row in rows.select(halvings.alias("n")).distinct().collect()) or [0]  # about 20 at most
+    for n in found:
+        records = marked.where(halvings == n).select(_record(date).alias("value"))
+        writer = records.write.option("lineSep", END).option("maxRecordsPerFile", max(1, RECORDS_PER_FILE >> n))
+        writer.mode("error" if n == found[0] else "append").text(path)
+
+
+def _halvings() -> Column:
+    """How often the records of a file are to be halved for records as long as this."""
+    names = F.coalesce(F.octet_length("url"), F.lit(0)) + F.coalesce(F.octet_length(F.col("id").cast("string")), F.lit(0))
+    size = F.octet_length("html").cast("bigint") + 3 * names + HEADER_REST  # a blank is three bytes
+    return F.greatest(F.lit(0), F.ceil(F.log2(size * RECORDS_PER_FILE / FILE_BYTES))).cast("int")
 
 
 def _record(date: str) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 pytest.importorskip("tamiz.llm")
 pytest.importorskip("public_tokenizers")
 
-from tamiz.llm import components as united, jaccard_join, projection_forest  # noqa: E402
+from tamiz.llm import components as united, jaccard_join, projection_forest, warc  # noqa: E402
 from tamiz.llm.frames import scratch_of  # noqa: E402
 from tamiz.llm.jaccard_join import CountTree, jaccard_components  # noqa: E402
 from tamiz.llm.oracle import ORACLE  # noqa: E402
@@ -281,6 +281,19 @@ def test_long_urls_come_back(spark, tmp_path):
     assert urls == {f"<urn:x-page:{n}>": u.replace(" ", "%20") for n, u, _ in rows}
 
 
+def test_files_are_bounded_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "FILE_BYTES", 4_000_000)
+    rows = spark.range(0, 60, 1, 1).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"),
+        F.concat("id", F.repeat(F.lit("x"), F.when(F.col("id") % 2 == 0, 300_000).otherwise(10).cast("int"))).alias("html"),
+    )
+    write_warc(rows, f"{tmp_path}/w")
+    found = read_warc(spark, f"{tmp_path}/w").groupBy("path").agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r.n for r in found) == 60 and max(r.bytes for r in found) <= 4_000_000
+    write_warc(spark.createDataFrame([(1, "u", "x" * 5_000_000), (2, "u", "y")], "page_id bigint, url string, html string"), f"{tmp_path}/o")
+    assert read_warc(spark, f"{tmp_path}/o").where("problem is null").count() == 2
+
+
 def record(number, body):
     digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
     head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x-page:{number}>\r\nWARC-Block-Digest: sha1:{digest}\r\nContent-Length: {len(body)}\r\n\r\n"
