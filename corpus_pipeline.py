@@ -41,16 +41,23 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that are not the first of their group go by their id; rows that
+    """Of each group of near copies one row with the smallest id stays; rows that
     repeat whole, id included, are kept once.  Rows without id all stay."""
     scratch = scratch_of(docs)
-    groups = scratch.stage(jaccard_components(docs), "groups")
-    dropped = scratch.stage(groups.where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    kept = docs.select(*COLUMNS).join(broadcast_if_small(dropped, 16), "doc_id", "left_anti")
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = scratch.stage(repeated, "repeated")
+    docs = docs.select(*COLUMNS)
+    counts = docs.where("doc_id is not null").groupBy("doc_id").count()
+    repeated = scratch.stage(counts.where("count > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
-        return kept
+        groups = scratch.stage(jaccard_components(docs), "groups")
+        dropped = scratch.stage(groups.where("doc_id <> component_id").select("doc_id"), "dropped")
+        return docs.join(broadcast_if_small(dropped, 16), "doc_id", "left_anti").select(*COLUMNS)
+    # An id may be that of several texts: rows are told apart by id and content.
+    content = F.xxhash64(*COLUMNS, *[F.col(name).isNull() for name in COLUMNS])  # nulls alone are skipped
+    rows = docs.withColumn("content", content)
+    keyed = rows.select(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "content")).alias("key"), "text")
+    groups = scratch.stage(jaccard_components(keyed, "key"), "groups")
+    dropped = scratch.stage(groups.where("key <> component_id").select("key.*").distinct(), "dropped")
+    kept = rows.join(broadcast_if_small(dropped, 24), ["doc_id", "content"], "left_anti")
     twice = broadcast_if_small(repeated, 16)
     once = kept.join(twice, "doc_id", "left_semi").dropDuplicates()
     return kept.join(twice, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)

@@ -362,6 +362,19 @@ def test_warc_query(spark):
 # -- pipeline --
 
 
+def test_ids_of_several_texts_keep_one_row_of_each_group(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    a, b, c, d, e = (" ".join(f"{name}{n}" for n in range(60)) for name in "abcde")
+    rows = [(5, a, "en", "s", 1), (5, b, "en", "s", 1), (3, b + " more", "en", "s", 1),
+            (7, c, "en", "s", 1), (7, c + " more", "en", "s", 1),
+            (8, d, None, "s", 1), (8, d, "s", None, 1), (9, e, "en", "s", 1), (9, e, "en", "s", 1),
+            (4, "", "en", "s", 0), (4, "", "de", "s", 0), (None, a, "en", "s", 1), (None, a, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = [tuple(r) for r in pipeline.near_copies_stage(spark, docs, MEDIUM).collect()]
+    assert sorted((r[0] or 0) for r in found) == [0, 0, 3, 4, 4, 5, 7, 8, 9] and set(found) <= set(rows)
+    assert rows[0] in found and {rows[9], rows[10]} <= set(found)
+
+
 def test_pipeline_stages_on_whole_input(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
