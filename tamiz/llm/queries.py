@@ -13,6 +13,7 @@ from tamiz.llm.frames import scratch_of
 from tamiz.llm.jaccard_join import jaccard_components
 from tamiz.llm.language_id import LanguageModel, fit_languages, predict_languages
 from tamiz.llm.lattice_lm import lattice_scores, read_pieces
+from tamiz.llm.period_runs import periodic_runs
 from tamiz.llm.projection_forest import near_embeddings
 from tamiz.llm.token_counts import count_tokens
 from tamiz.llm.toxicity import OrdinalModel, fit_toxicity, score_toxicity
@@ -145,6 +146,52 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """Texts whose id has a checksum divisible by 10 repeat themselves from one of
+    their words on; the other texts are as they are."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(checksum / 10)
+    words = F.when(checksum % 10 == 0, F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1)))
+    split = documents.select("doc_id", "text", words.alias("words"), g.alias("g"))
+    split = split.withColumn("n", F.coalesce(F.size("words"), F.lit(0)))
+    split = split.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    split = split.withColumn("p", F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8)))
+    repeated = F.expr(
+        "array_join(transform(words, (w, i) -> if(i < a, w, words[int(a + (i - a) % p)])), ' ')"
+    )
+    return split.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs(documents)
+    better = F.expr(
+        "array_sort(runs, (x, y) -> case when x.length * y.period > y.length * x.period then -1"
+        " when x.length * y.period < y.length * x.period then 1"
+        " when x.start <> y.start then int(sign(x.start - y.start)) else int(sign(x.period - y.period)) end)"
+    )
+    best = F.try_element_at(better, F.lit(1))
+    lines = F.expr(
+        "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": bpe_round_trip,
     "op2_toxicity_severity": toxicity_severity,
@@ -156,4 +203,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_copies": embedding_near_copies,
     "op9_warc_round_trip": warc_round_trip,
     "op10_benchmark_decontamination": benchmark_decontamination,
+    "op12_periodic_runs": periodic_run_rows,
 }

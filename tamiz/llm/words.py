@@ -46,19 +46,25 @@ def separators(spaces_only: bool) -> np.ndarray:
 BLANKS, NOT_ALPHANUMERIC = separators(True), separators(False)
 _LETTER = mixed(lowered(np.arange(256)).astype(_U) + _BASE)
 
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, _U), np.ones(1, _U))
+_EXACT_LETTER = mixed(np.arange(256).astype(_U) + _BASE)
+#: Powers are kept for this many bytes; longer texts are hashed piece by piece.
+_PIECE = 1 << 18
+
+
+def _powers_of(factor: int, count: int) -> np.ndarray:
+    """The first ``count`` powers of ``factor`` modulo 2^64."""
+    return np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(count - 1, factor, _U)]))
+
+
+_INVERSE = pow(int(_STEP), -1, 1 << 64)
+_POWER, _INVERSE_POWER = _powers_of(int(_STEP), _PIECE), _powers_of(_INVERSE, _PIECE)
 
 
 def _powers_up_to(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2^64, and of its inverse."""
-    global _powers
-    if len(_powers[0]) < size:
-        inverse = _U(pow(int(_STEP), -1, 1 << 64))
-        _powers = tuple(
-            np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(size, factor, _U)]))
-            for factor in (_STEP, inverse)
-        )
-    return _powers
+    """At least ``size`` powers of the step, and of its inverse; only the first ones are kept."""
+    if size <= _PIECE:
+        return _POWER, _INVERSE_POWER
+    return _powers_of(int(_STEP), size), _powers_of(_INVERSE, size)
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -115,10 +121,21 @@ def word_spans(
 
 def hashes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray = _LETTER) -> np.ndarray:
     """Hash of each span of ``data``, whose values are looked up in ``letters``."""
-    power, inverse = _powers_up_to(len(data))
+    pieces = len(data) // _PIECE + 1
+    piece_power = _powers_of(pow(int(_STEP), _PIECE, 1 << 64), pieces)
+    piece_inverse = _powers_of(pow(_INVERSE, _PIECE, 1 << 64), pieces)
     sums = np.zeros(len(data) + 1, _U)
-    np.cumsum(letters[data] * power[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(_U))
+    for piece, factor in enumerate(piece_power):
+        begin, end = piece * _PIECE, min(len(data), (piece + 1) * _PIECE)
+        values = letters[data[begin:end]] * _POWER[: end - begin]
+        sums[begin + 1 : end + 1] = sums[begin] + np.cumsum(values * factor if piece else values, dtype=_U)
+    inverse = _INVERSE_POWER[starts % _PIECE] * piece_inverse[starts // _PIECE]
+    return mixed((sums[ends] - sums[starts]) * inverse + (ends - starts).astype(_U))
+
+
+def exact_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span of ``data`` as it is spelled, capitals and all."""
+    return hashes_of(data, starts, ends, _EXACT_LETTER)
 
 
 def joined(hashes: np.ndarray, size: int) -> np.ndarray:
