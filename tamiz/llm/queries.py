@@ -16,6 +16,7 @@ from tamiz.llm.lattice_lm import lattice_scores, read_pieces
 from tamiz.llm.period_runs import periodic_runs
 from tamiz.llm.projection_forest import near_embeddings
 from tamiz.llm.token_counts import count_tokens
+from tamiz.llm.token_shards import read_documents, write_shards
 from tamiz.llm.toxicity import OrdinalModel, fit_toxicity, score_toxicity
 from tamiz.llm.url_filter import ALLOW, BLOCK, judge_urls
 from tamiz.llm.warc import ID_PREFIX, PAYLOAD_LENGTH, read_warc, write_warc
@@ -24,6 +25,8 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 1024
+#: Ends every document in the token files.
+END_ID = 2
 #: (host, path, verdict); the longest that fits decides.
 URL_RULES = (
     ("org", "", ALLOW),
@@ -192,6 +195,15 @@ def periodic_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_shard_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    folder = scratch_of(documents).path("shards")
+    write_shards(documents, folder, BYTE_BPE, end_id=END_ID)
+    return read_documents(spark, folder).select(
+        "doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": bpe_round_trip,
     "op2_toxicity_severity": toxicity_severity,
@@ -204,4 +216,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc_round_trip": warc_round_trip,
     "op10_benchmark_decontamination": benchmark_decontamination,
     "op12_periodic_runs": periodic_run_rows,
+    "op13_token_shards": token_shard_round_trip,
 }
