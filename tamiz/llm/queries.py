@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tamiz.llm.bpe import decode_ids, encode_texts
 from tamiz.llm.decontaminate import mark_overlaps
 from tamiz.llm.frames import scratch_of
+from tamiz.llm.hard_negatives import hard_negatives
 from tamiz.llm.jaccard_join import jaccard_components
 from tamiz.llm.language_id import LanguageModel, fit_languages, predict_languages
 from tamiz.llm.lattice_lm import lattice_scores, read_pieces
@@ -149,6 +150,19 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hard_negative_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row has a label that is not its own; components are whole 256ths."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    component = lambda x: x.cast("double")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(component(x)) < float("inf")))
+    rows = embeddings.where(finite).select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(F.lit(256.0) * component(x))).alias("vector"),
+    )
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def with_planted_periods(documents: DataFrame) -> DataFrame:
     """Texts whose id has a checksum divisible by 10 repeat themselves from one of
     their words on; the other texts are as they are."""
@@ -215,6 +229,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_copies": embedding_near_copies,
     "op9_warc_round_trip": warc_round_trip,
     "op10_benchmark_decontamination": benchmark_decontamination,
+    "op11_hard_negatives": hard_negative_rows,
     "op12_periodic_runs": periodic_run_rows,
     "op13_token_shards": token_shard_round_trip,
 }
