@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -48,6 +50,28 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
+_kept: dict[Hashable, object] = {}
+
+
+def kept_in_worker(key: Hashable, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between tasks: one object, of the operator that ran last."""
+    if key not in _kept:
+        forget_in_worker()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget_in_worker() -> None:
+    """Gives back to the system what earlier tasks, of whichever operator, have left in this worker."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once per application, as
     ``--py-files`` would: executors need not have it installed."""

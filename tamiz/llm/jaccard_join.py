@@ -20,10 +20,13 @@ none and links with nothing; nor does a row without id).  Two texts link when
 4. Surviving pairs are verified on the shingle sets, a quarter of them first, and
    links united.
 
-Blocks of more than two do this twice: first every node against the block's
-oldest one, then, only if the block still falls into several components, all
-nodes whose components differ.  A block above ``BLOCK_NODES`` nodes is cut into parts and
-every pair of parts is its own task; no link is lost, no group is in one task.
+This is done twice: first every node against the oldest ones of its blocks, then,
+only in blocks that still fall into several components, all nodes whose
+components differ.  Near copies share many blocks, but no pair is written for
+each of them: the first time (oldest, node) are made distinct before the trees;
+the second time every node carries its smallest blocks, and a pair that has one
+in common is left to the smallest.  A group above ``BLOCK_NODES`` nodes is cut into
+parts and every pair of parts is its own task; no link is lost, no group is in one task.
 
 A shingle is a 64-bit hash: two of n different ones collide with a probability
 of about n^2 / 2^65.
@@ -40,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tamiz.llm.components import components
-from tamiz.llm.frames import Workspace, broadcast_if_small, scratch_of, whole_groups
+from tamiz.llm.frames import Workspace, broadcast_if_small, forget_in_worker, scratch_of, whole_groups
 from tamiz.llm.words import joined, mixed, text_slices, word_hashes
 
 SHINGLE_WORDS = 5
@@ -56,6 +59,9 @@ SHARED_BYTES = 48 << 20
 #: Most nodes of a block, or of two parts of one, that one task holds.
 BLOCK_NODES = 4096
 
+#: Blocks that a node carries to tell which of its pairs were met in a smaller one.
+CARRIED = 16
+
 _U = np.uint64
 
 
@@ -74,6 +80,7 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE_WORDS) -> Iterator[np.nda
 
 
 def _count_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget_in_worker()
     counts = np.zeros(ORDER_GROUPS, np.int64)
     for batch in batches:
         sets = list(shingle_sets(batch.column(0)))
@@ -118,6 +125,7 @@ def _signatures(order) -> Callable:
     for an empty one and for a row without id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_in_worker()
         rank = order.value
         for batch in batches:
             sizes, nodes, rare, points = [], [], [], []
@@ -224,15 +232,36 @@ def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _met_before(first: np.ndarray, other: np.ndarray, block: int) -> np.ndarray:
+    """Whether two nodes both carry a block smaller than ``block``, by row; a pair
+    of nodes is always left to the smallest block that holds both."""
+    out = np.zeros(len(first), bool)
+    for at in range(0, len(first), 4096):
+        x, y = first[at : at + 4096, :, None], other[at : at + 4096, None, :]
+        out[at : at + 4096] = ((x == y) & (x < block)).any(axis=(1, 2))
+    return out
+
+
+def _carried(column: pa.ChunkedArray) -> np.ndarray:
+    """The blocks that each node carries, filled up with the largest number."""
+    out = np.full((len(column), CARRIED), np.iinfo(np.int64).max)
+    for row, blocks in enumerate(column.to_pylist()):
+        out[row, : len(blocks)] = blocks
+    return out
+
+
 def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Surviving pairs of each block part, from rows (task, side, node, size,
-    component, point) sorted by task.  Sides 0 and 1 are joined with each other,
-    or 0 with itself where there is no 1; pairs of one component are left out."""
+    component, block, carried, point) sorted by task.  Sides 0 and 1 are joined with
+    each other, or 0 with itself where there is no 1; pairs of one component are
+    left out, and those that a smaller block holds."""
+    forget_in_worker()
     for table in whole_groups(batches, "task"):
         task = table["task"].to_numpy()
         side, node = table["side"].to_numpy(), table["node"].to_numpy()
         size, component = table["size"].to_numpy(), table["component"].to_numpy()
-        point = _points(table["point"])
+        point, block = _points(table["point"]), table["block"].to_numpy()
+        carried = _carried(table["carried"])
         cuts = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
         found_a, found_b = [], []
         for begin, end in zip(cuts[:-1], cuts[1:]):
@@ -248,8 +277,10 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 x, y = tree.pairs_with(tree)
                 x, y = left[x], left[y]
             open_pair = component[x] != component[y]
-            found_a.append(node[x[open_pair]])
-            found_b.append(node[y[open_pair]])
+            x, y = x[open_pair], y[open_pair]
+            here_first = ~_met_before(carried[x], carried[y], block[begin])
+            found_a.append(node[x[here_first]])
+            found_b.append(node[y[here_first]])
         if found_a:
             yield _pair_batch(np.concatenate(found_a), np.concatenate(found_b))
 
@@ -276,6 +307,7 @@ def _unpacked(held: pa.Scalar) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The set of each text that is the node asked for (ids may repeat), once per task."""
+    forget_in_worker()
     done: set[int] = set()
     for batch in batches:
         nodes, quarter, rest = [], [], []
@@ -300,6 +332,7 @@ def _met(x: pa.Scalar, y: pa.Scalar) -> tuple[int, int, int]:
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that can still link once a quarter of their shingles is compared:
     of the rest at most all of the smaller one are shared."""
+    forget_in_worker()
     for batch in batches:
         kept, shared = [], []
         columns = [batch.column(name) for name in ("x", "y", "x_rest", "y_rest")]
@@ -319,6 +352,7 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose whole sets pass the threshold."""
+    forget_in_worker()
     for batch in batches:
         keep = []
         columns = [batch.column(name) for name in ("x", "y", "both", "either")]
@@ -435,24 +469,27 @@ def _links(texts: DataFrame, rows: DataFrame, signed: DataFrame, scratch: Worksp
     )
     nodes = scratch.stage(nodes, "nodes")
     scratch.drop("postings")
-    sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("nodes"))
-    members = scratch.stage(
-        members.join(sizes, "block").join(nodes.select("node", "oldest"), "node"), "members"
+    members = scratch.stage(members.join(nodes.select("node", "oldest"), "node"), "members")
+    heads = members.groupBy("block").agg(
+        F.count(F.lit(1)).alias("nodes"),
+        F.min_by("node", F.struct(F.col("oldest").isNull(), "oldest", "node")).alias("centre"),
     )
+    members = scratch.stage(_with_heads(members, scratch.stage(heads, "heads")), "members")
 
-    first = _pairs(_first_tasks(members, nodes), scratch)
+    first = _pairs(_first_tasks(members, nodes, scratch), scratch)
     met = first.select(F.explode(F.array("a", "b")).alias("node"))
     sets = _sets_of(texts, rows, met, scratch)
     links = _verified(first, sets, scratch)
     scratch.drop("sets")
 
-    # Large blocks that the first links leave in pieces.
+    # Larger blocks that the first links leave in pieces.
     large = members.where(F.col("nodes") > 2)
     labels = components(links, "a", "b", scratch)
     large = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     torn = large.groupBy("block").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low < high").select("block")
+    torn = broadcast_if_small(scratch.stage(torn, "torn"), 8)
     open_members = scratch.stage(large.join(torn, "block", "left_semi"), "open")
     second = _pairs(_second_tasks(open_members, nodes), scratch)
     if second.isEmpty():
@@ -461,37 +498,55 @@ def _links(texts: DataFrame, rows: DataFrame, signed: DataFrame, scratch: Worksp
     return links.unionByName(_verified(second, sets, scratch))
 
 
+def _with_heads(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """The members with their block's size and oldest node.  Where the blocks are too many
+    to send to all tasks, that is done for large blocks only (a part of the members
+    by ``BLOCK_NODES`` at most), so no block of any size is moved into one task."""
+    small = broadcast_if_small(heads, 32)
+    if small is not heads:
+        return members.join(small, "block")
+    large = heads.where(F.col("nodes") > BLOCK_NODES)
+    of_large = members.join(broadcast_if_small(large, 32), "block")
+    others = members.join(broadcast_if_small(large.select("block"), 16), "block", "left_anti")
+    return of_large.unionByName(others.join(heads, "block"))
+
+
 def _with_points(tasks: DataFrame, nodes: DataFrame) -> DataFrame:
     return tasks.join(nodes.select("node", "size", "point"), "node").select(
-        "task", "side", "node", "size", "component", "point"
+        "task", "side", "node", "size", "component", "block", "carried", "point"
     )
 
 
-def _first_tasks(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Blocks of two; of a larger block the oldest node against slices of the others.
-    The oldest one is mostly that of other blocks too, so pairs stay about as many as nodes."""
-    small = members.where(F.col("nodes") <= 2).select(
-        F.xxhash64("block").alias("task"), F.lit(0).alias("side"), "node", F.col("node").alias("component")
-    )
-    large = members.where(F.col("nodes") > 2)
-    oldest = large.groupBy("block", "nodes").agg(
-        F.min_by("node", F.struct(F.col("oldest").isNull(), "oldest", "node")).alias("node")
+_NO_BLOCKS = "cast(array() as array<bigint>)"
+
+
+def _first_tasks(members: DataFrame, nodes: DataFrame, scratch: Workspace) -> DataFrame:
+    """Of every block the oldest node against the others, in slices.  The oldest one is
+    mostly that of other blocks too, so pairs stay about as many as nodes."""
+    pairs = members.where("node <> centre").select("centre", "node").distinct()
+    pairs = scratch.stage(pairs, "first")
+    crowds = scratch.stage(pairs.groupBy("centre").count().where(F.col("count") > BLOCK_NODES), "crowds")
+    pairs = pairs.join(broadcast_if_small(crowds, 24), "centre", "left")
+    parts = F.coalesce(F.ceil(F.col("count") / BLOCK_NODES), F.lit(1).cast("bigint"))
+    others = pairs.select(
+        F.xxhash64("centre", F.pmod(F.xxhash64("node"), parts)).alias("task"), F.lit(1).alias("side"), "node"
     )
-    parts = F.ceil(F.col("nodes") / BLOCK_NODES)
-    part = F.pmod(F.xxhash64("node"), parts)
-    others = large.select(
-        F.xxhash64("block", part).alias("task"), F.lit(1).alias("side"), "node", F.col("node").alias("component")
+    centre = pairs.select("centre", parts.alias("parts")).distinct().select(
+        F.col("centre").alias("node"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
+    ).select(F.xxhash64("node", "part").alias("task"), F.lit(0).alias("side"), "node")
+    tasks = others.unionByName(centre).select(
+        "*", F.col("node").alias("component"), F.lit(0).cast("bigint").alias("block"), F.expr(_NO_BLOCKS).alias("carried")
     )
-    centre = oldest.select(
-        "node", F.col("node").alias("component"), F.lit(0).alias("side"), "block",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"),
-    ).select(F.xxhash64("block", "part").alias("task"), "side", "node", "component")
-    return _with_points(small.unionByName(others).unionByName(centre), nodes)
+    return _with_points(tasks, nodes)
 
 
 def _second_tasks(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """Every pair of parts (i <= j) of each block as a task of its own."""
     parts = F.ceil(F.col("nodes") / (BLOCK_NODES // 2))
+    # As many blocks as a text has rare shingles at most.
+    carried = members.groupBy("node").agg(
+        F.slice(F.array_sort(F.collect_set("block")), 1, CARRIED).alias("carried")
+    )
     cut = members.select("block", "node", "component", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).alias("part"))
     with_part = cut.select(
         "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other")
@@ -500,9 +555,9 @@ def _second_tasks(members: DataFrame, nodes: DataFrame) -> DataFrame:
     tasks = with_part.select(
         F.xxhash64("block", low, high).alias("task"),
         (F.col("part") > F.col("other")).cast("int").alias("side"),
-        "node", "component",
+        "node", "component", "block",
     )
-    return _with_points(tasks, nodes)
+    return _with_points(tasks.join(carried, "node"), nodes)
 
 
 def _sets_of(texts: DataFrame, rows: DataFrame, met: DataFrame, scratch: Workspace) -> DataFrame:

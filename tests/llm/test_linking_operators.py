@@ -99,6 +99,53 @@ def varied_texts(seed):
     return [(n, " ".join(t) if n % 5 else "\t".join(t).upper()) for n, t in enumerate(texts)]
 
 
+def near_copies(rng, copies, words=120, edits=6):
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    out = []
+    for _ in range(copies):
+        text = list(base)
+        for _ in range(rng.randrange(edits)):
+            text[rng.randrange(words)] = f"e{rng.randrange(10**6)}"
+        out.append(" ".join(text))
+    return out
+
+
+def test_a_group_of_near_copies_writes_each_pair_about_once(spark, monkeypatch):
+    """300 near copies share hundreds of blocks with slightly different members."""
+    rng = random.Random(12)
+    texts = near_copies(rng, 300) + near_copies(rng, 40, edits=20) + near_copies(rng, 3) + [f"own {n} text" for n in range(9)]
+    rows = list(enumerate(texts))
+    counted = []
+
+    def pairs(tasks, scratch):
+        raw = scratch.stage(
+            tasks.repartition("task").sortWithinPartitions("task").mapInArrow(jaccard_join._tree_pairs, "a bigint, b bigint"),
+            "raw",
+        )
+        found = raw.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        counted.append((raw.count(), found.count()))
+        return raw.distinct()
+
+    monkeypatch.setattr(jaccard_join, "_pairs", pairs)
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_jaccard(rows)
+    assert counted and all(raw <= 2 * distinct for raw, distinct in counted), counted
+
+
+@pytest.mark.parametrize("limit", ["BLOCK_NODES", "BROADCAST_BYTES"])
+def test_the_far_side_of_the_join_limits(spark, monkeypatch, limit):
+    from tamiz.llm import frames
+
+    monkeypatch.setattr(jaccard_join if limit == "BLOCK_NODES" else frames, limit, 8 if limit == "BLOCK_NODES" else 0)
+    if limit == "BROADCAST_BYTES":
+        monkeypatch.setattr(frames.broadcast_if_small, "__defaults__", (0,))
+    rng = random.Random(13)
+    rows = list(enumerate(near_copies(rng, 60) + near_copies(rng, 5, edits=30)))
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_jaccard(rows)
+
+
+
 @pytest.mark.parametrize("block_nodes,shared_bytes", [(4096, 1 << 20), (8, 0)])
 def test_same_components_as_all_pairs(spark, monkeypatch, block_nodes, shared_bytes):
     monkeypatch.setattr(jaccard_join, "BLOCK_NODES", block_nodes)
