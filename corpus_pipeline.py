@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tamiz.llm.bpe import decode_ids, encode_texts
+from tamiz.llm.bpe import encode_and_decode
 from tamiz.llm.decontaminate import mark_overlaps
 from tamiz.llm.frames import broadcast_if_small, scratch_of
 from tamiz.llm.jaccard_join import jaccard_components
@@ -69,8 +69,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = encode_texts(docs.select("doc_id", "text"), WORD_BPE).drop("text")
-    return digests(decode_ids(encoded, WORD_BPE))
+    return digests(encode_and_decode(docs.select("doc_id", "text"), WORD_BPE).select("doc_id", "bpe.*"))
 
 
 STAGES = [

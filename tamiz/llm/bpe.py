@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tamiz.llm.frames import ship_package
+from tamiz.llm.frames import kept_in_worker, ship_package
 
 #: Words kept with their tokens in a worker, in two generations of this size;
 #: when the newer one is full, the older one is forgotten.
@@ -294,16 +294,9 @@ class BpeTokenizer:
         return whole.decode(errors="replace").encode() if self.lossy else whole
 
 
-_loaded: dict[int, BpeTokenizer] = {}
-
-
 def tokenizer_of(text: str) -> BpeTokenizer:
     """The tokenizer of a file's text, built once in a worker."""
-    key = hash(text)
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = BpeTokenizer(text)
-    return _loaded[key]
+    return kept_in_worker(("bpe", hash(text)), lambda: BpeTokenizer(text))
 
 
 def read_file(spark: SparkSession, path: str):
@@ -346,6 +339,29 @@ def _decoded(file) -> Callable:
     return run
 
 
+def _both(file) -> Callable:
+    """Encodes and decodes in one worker; the ids are handed on beside the text they give."""
+    encoded = _encoded(file)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = tokenizer_of(file.value)
+        for batch in encoded(batches):
+            texts = [tokenizer.decode(ids.values.to_numpy()) for ids in batch.column("ids")]
+            pair = pa.StructArray.from_arrays(
+                [batch.column("ids"), pa.array(texts, pa.binary()).cast(pa.string())], ["ids", "decoded"]
+            )
+            kept = batch.drop_columns(["ids"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, pair], [*kept.schema.names, "pair"])
+
+    return run
+
+
+def encode_and_decode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", out: str = "bpe") -> DataFrame:
+    """``docs`` plus a struct of each whole text's token ids and the text they decode to,
+    made in one Python worker; null and '' give an empty list and ''."""
+    return _mapped(docs, tokenizer_path, _both, {text_col: "text"}, out, "pair", "struct<ids:array<int>,decoded:string>")
+
+
 def encode_texts(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` plus the token ids of each whole text (an empty list for null or ''). """
     return _mapped(docs, tokenizer_path, _encoded, {text_col: "text"}, ids_col, "ids", "array<int>")

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tamiz.llm.frames import ship_package
+from tamiz.llm.frames import kept_in_worker, ship_package
 from tamiz.llm.words import NOT_ALPHANUMERIC, HashTable, mixed, text_slices, word_hashes
 
 MASKS = ("110110011", "1010011011", "11001010101")
@@ -122,16 +122,10 @@ class BenchmarkIndex:
         return None
 
 
-_built: dict[int, BenchmarkIndex] = {}
-
-
 def _compared(shared, kind: pa.DataType) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        if id(index) not in _built:
-            _built.clear()
-            index.build()
-            _built[id(index)] = index
+        kept_in_worker(("benchmark", id(index)), lambda: index.build() or index)
         struct = pa.struct([("item_id", kind), ("matched", pa.int32()), ("item_words", pa.int32()), ("first_word", pa.int32())])
         for batch in batches:
             lists: list = []

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tamiz.llm.frames import ship_package
+from tamiz.llm.frames import kept_in_worker, ship_package
 from tamiz.llm.words import HashTable, hashes_of, mixed
 
 #: Expected number of training texts per language, at most.
@@ -170,17 +170,12 @@ def fit_languages(docs: DataFrame, text_col: str, lang_col: str, draw: Column) -
     return LanguageModel(langs, tables)
 
 
-_scorers: dict[int, Callable] = {}
-
-
 def _predicted(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        if id(model) not in _scorers:
-            _scorers.clear()
-            _scorers[id(model)] = model.scorer()
+        scorer = kept_in_worker(("languages", id(model)), model.scorer)
         for batch, texts in _sliced(batches):
-            logs, words = _scorers[id(model)](texts)
+            logs, words = scorer(texts)
             if model.langs:
                 best = logs.argmax(axis=1)
                 top = logs[np.arange(len(texts)), best]

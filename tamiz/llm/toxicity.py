@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tamiz.llm.frames import scratch_of, ship_package
+from tamiz.llm.frames import forget_in_worker, scratch_of, ship_package
 from tamiz.llm.words import NOT_ALPHANUMERIC, HashTable, hashes_of, mixed, text_slices, word_spans
 
 TRAIN_DOCS = 3000
@@ -198,6 +198,7 @@ def fit_toxicity(
 
 def _scored(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_in_worker()
         model = shared.value
         table = HashTable(model.features)
         for batch in batches:
