@@ -28,6 +28,7 @@ import re
 import uuid
 from array import array
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,11 @@ from tamiz.llm.wavelet import DamagedShard, TokenShard, shard_bytes
 #: Tokens from which on a file is closed.
 SHARD_TOKENS = 1 << 24
 #: Bytes of text of one task, and the least that a further task is worth.
-TASK_BYTES, LEAST_TASK_BYTES = 64 << 20, 4 << 20
+TASK_BYTES, LEAST_TASK_BYTES = 32 << 20, 4 << 20
 #: Characters encoded together; words remembered, and characters of them.
-SLICE_CHARS, KEPT_WORDS, KEPT_CHARS = 1 << 20, 1 << 18, 1 << 24
+SLICE_CHARS, KEPT_WORDS, KEPT_CHARS = 1 << 20, 1 << 19, 1 << 24
+#: New words encoded as one text.
+NEW_WORDS = 1 << 14
 #: Bytes of ids handed on together by a reader.
 BATCH_BYTES = 4 << 20
 
@@ -57,15 +60,15 @@ _CATALOG = "task int, shard int, file string, documents bigint, tokens bigint, b
 
 
 class _Numbers(dict):
-    """Number of each chunk; a new one is put down to be encoded."""
+    """Number of each piece of text; a new one is put down to be encoded."""
 
-    def __init__(self, chunks: list[str], prefix: str):
+    def __init__(self):
         super().__init__()
-        self._chunks, self._prefix = chunks, prefix
+        self.new: list[str] = []
 
-    def __missing__(self, chunk: str) -> int:
-        number = self[chunk] = len(self._chunks)
-        self._chunks.append(self._prefix + chunk)
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
         return number
 
 
@@ -87,15 +90,40 @@ class LibraryEncoder:
             and not split.get("add_prefix_space")
             and not spec.get("normalizer")
             and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
+            and not any(re.search(r"\s", t["content"]) for t in spec["added_tokens"])
         )
         self._special = [t["content"] for t in spec["added_tokens"]]
+        # Byte-level tokens have a character for each byte.
+        vocabulary = spec["model"]["vocab"]
+        self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self._bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self._forget()
 
     def _forget(self) -> None:
-        self._chunks: list[str] = []
         # What a text begins with, and what follows a space.
-        self._first, self._rest = _Numbers(self._chunks, ""), _Numbers(self._chunks, " ")
-        self._ids, self._ends, self._chars = array("I"), array("q", [0]), 0
+        self._first, self._rest = _Numbers(), _Numbers()
+        self._known = {id(numbers): (array("I"), array("q", [0])) for numbers in (self._first, self._rest)}
+        self._uses, self._chars = np.empty(0, np.int64), 0
+
+    def _forget_rare(self) -> None:
+        """Keeps the words that were met most, at most half of what may be kept."""
+        words, uses, least = self._rest, self._uses, 2
+        while np.count_nonzero(uses >= least) * 2 > KEPT_WORDS:
+            least *= 2
+        kept = np.flatnonzero(uses >= least)
+        ids, ends = (np.array(part) for part in self._known[id(words)])
+        lengths = ends[kept + 1] - ends[kept]
+        of_word = list(words)
+        self._forget()
+        self._rest.update((of_word[number], at) for at, number in enumerate(kept.tolist()))
+        source = np.arange(lengths.sum()) + np.repeat(ends[kept] - np.cumsum(lengths) + lengths, lengths)
+        known, known_ends = self._known[id(self._rest)]
+        known.frombytes(ids[source].tobytes())
+        known_ends.frombytes(np.cumsum(lengths).tobytes())
+        self._uses = np.zeros(len(kept), np.int64)
+        self._chars = sum(map(len, self._rest))
+        if self._chars * 2 > KEPT_CHARS:
+            self._forget()
 
     def _parts(self, text: str) -> list[str]:
         if not self._by_words or any(special in text for special in self._special):
@@ -105,37 +133,67 @@ class LibraryEncoder:
         first, *rest = _CUT.split(text)
         return [first, *[part[1:] for part in rest]]
 
-    def _encode_new(self) -> None:
-        new = self._chunks[len(self._ends) - 1 :]
-        for found in self._tokenizer.encode_batch_fast(new, add_special_tokens=False):
-            self._ids.extend(found.ids)
-            self._ends.append(len(self._ids))
-        self._chars += sum(map(len, new))
+    def _lists(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.array([len(ids) for ids in found], np.int64)
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
+
+    def _joined_lists(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for what follows spaces: encoded as one text, which is cut before
+        every word anyway, and told apart by the bytes that tokens stand for."""
+        texts = [f" {word}" for word in words]
+        ids, _ = self._lists(["".join(texts)])
+        ends = np.cumsum(self._bytes[np.minimum(ids, len(self._bytes) - 1)])
+        wanted = np.cumsum([len(text.encode()) for text in texts])
+        last = np.searchsorted(ends, wanted)
+        if len(ends) and ends[-1] == wanted[-1] and (ends[np.minimum(last, len(ends) - 1)] == wanted).all():
+            return ids, np.diff(last + 1, prepend=0)
+        return self._lists(texts)
+
+    def _encode_new(self, numbers: _Numbers, encode: Callable) -> None:
+        known, ends = self._known[id(numbers)]
+        for first in range(0, len(numbers.new), NEW_WORDS):
+            words = numbers.new[first : first + NEW_WORDS]
+            ids, counts = encode(words)
+            known.frombytes(ids.tobytes())
+            ends.frombytes((np.cumsum(counts) + ends[-1]).tobytes())
+            self._chars += sum(map(len, words))
+        numbers.new.clear()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
-        numbers, sizes = [], []
+        firsts, rests, sizes = [], [], []
         for text in texts:
             parts = iter(self._parts(text))
-            before = len(numbers)
-            numbers.append(self._first[next(parts)])
-            numbers.extend(map(self._rest.__getitem__, parts))
-            sizes.append(len(numbers) - before)
-        self._encode_new()
-        ids, counts = self._gathered(np.array(numbers, np.int64), np.array(sizes, np.int64))
-        if len(self._chunks) > KEPT_WORDS or self._chars > KEPT_CHARS:
-            self._forget()
+            before = len(rests)
+            firsts.append(self._first[next(parts)])
+            rests.extend(map(self._rest.__getitem__, parts))
+            sizes.append(len(rests) - before)
+        self._encode_new(self._first, self._lists)
+        self._encode_new(self._rest, self._joined_lists)
+        rests = np.array(rests, np.int64)
+        ids, counts = self._gathered(np.array(firsts, np.int64), rests, np.array(sizes, np.int64))
+        uses = np.bincount(rests, minlength=len(self._rest))
+        uses[: len(self._uses)] += self._uses
+        self._uses = uses
+        if len(self._first) + len(self._rest) > KEPT_WORDS or self._chars > KEPT_CHARS:
+            self._forget_rare()
         return ids, counts
 
-    def _gathered(self, numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _gathered(self, firsts: np.ndarray, rests: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The remembered ids of each text's first part and of its other ones."""
         if not len(sizes):
             return np.empty(0, np.uint32), sizes
-        ends = np.frombuffer(self._ends, np.int64)
-        known = np.frombuffer(self._ids, np.uint32) if len(self._ids) else np.empty(0, np.uint32)
+        (first_ids, first_ends), (rest_ids, rest_ends) = (
+            tuple(np.frombuffer(part, kind) if len(part) else np.empty(0, kind) for part, kind in zip(held, (np.uint32, np.int64)))
+            for held in (self._known[id(self._first)], self._known[id(self._rest)])
+        )
+        known, ends = np.concatenate([first_ids, rest_ids]), np.concatenate([first_ends, rest_ends + len(first_ids)])
+        numbers = np.insert(rests + len(first_ends), np.cumsum(sizes) - sizes, firsts)
         lengths = ends[numbers + 1] - ends[numbers]
         upto = np.cumsum(lengths)
         source = np.arange(upto[-1]) + np.repeat(ends[numbers] - upto + lengths, lengths)
-        return known[source], np.add.reduceat(lengths, np.cumsum(sizes) - sizes)
+        return known[source], np.add.reduceat(lengths, np.cumsum(sizes + 1) - sizes - 1)
 
 
 _loaded: dict[int, LibraryEncoder] = {}
@@ -194,8 +252,6 @@ def _written(file, folder: str, end_id: int | None, shard_tokens: int) -> Callab
         def close() -> pa.RecordBatch:
             nonlocal size, shard
             ids = np.concatenate([part[1] for part in held])
-            if int(ids.max(initial=0)) < 1 << 16:
-                ids = ids.astype(np.uint16)
             documents = pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([part[0] for part in held]),
@@ -220,12 +276,13 @@ def _written(file, folder: str, end_id: int | None, shard_tokens: int) -> Callab
         for batch in batches:
             for named, texts in _text_slices(batch, min(SLICE_CHARS, 4 * shard_tokens)):
                 ids, counts = _with_ends(*encoder.encode(texts), end_id)
-                held.append((named, ids, counts))
+                held.append((named, ids if int(ids.max(initial=0)) >> 16 else ids.astype(np.uint16), counts))
                 size += len(ids)
                 if size >= shard_tokens:
                     yield close()
         if held:
             yield close()
+        pa.default_memory_pool().release_unused()
 
     return run
 

@@ -32,6 +32,8 @@ import zstandard
 MAGIC = b"TAMIZWM1"
 #: Bits of a plane in one block.
 BLOCK_BITS = 1 << 17
+#: Ids sorted together.
+STRETCH = 1 << 17
 _TAIL_BYTES = len(MAGIC) + 4
 
 
@@ -39,14 +41,38 @@ class DamagedShard(ValueError):
     """A file that is no shard, or whose bytes are not those that were written."""
 
 
+def _sorted_by(ids: np.ndarray, ones: np.ndarray, zeros: int) -> np.ndarray:
+    """``ids`` with those at zeros first, stably; in stretches that stay in a cache."""
+    out = np.empty_like(ids)
+    low, high = 0, zeros
+    for begin in range(0, len(ids), STRETCH):
+        here, bits = ids[begin : begin + STRETCH], ones[begin : begin + STRETCH]
+        up, down = np.flatnonzero(bits), np.flatnonzero(~bits)
+        out[low : low + len(down)], out[high : high + len(up)] = here[down], here[up]
+        low, high = low + len(down), high + len(up)
+    return out
+
+
+def _sorted_back(ids: np.ndarray, ones: np.ndarray, zeros: int) -> np.ndarray:
+    """What ``_sorted_by`` was given."""
+    out = np.empty_like(ids)
+    low, high = 0, zeros
+    for begin in range(0, len(ids), STRETCH):
+        here, bits = out[begin : begin + STRETCH], ones[begin : begin + STRETCH]
+        up, down = np.flatnonzero(bits), np.flatnonzero(~bits)
+        here[down], here[up] = ids[low : low + len(down)], ids[high : high + len(up)]
+        low, high = low + len(down), high + len(up)
+    return out
+
+
 def planes_of(ids: np.ndarray, bits: int) -> list[np.ndarray]:
     """The bit planes of the wavelet matrix, each packed eight bits a byte."""
     planes = []
     for bit in range(bits - 1, -1, -1):
-        ones = (ids >> ids.dtype.type(bit)) & ids.dtype.type(1) != 0
+        ones = (ids & ids.dtype.type(1 << bit)) != 0
         planes.append(np.packbits(ones, bitorder="little"))
         if bit:
-            ids = np.concatenate([ids[~ones], ids[ones]])
+            ids = _sorted_by(ids, ones, len(ids) - int(np.count_nonzero(ones)))
     return planes
 
 
@@ -55,11 +81,8 @@ def ids_of(planes: list[np.ndarray], size: int) -> np.ndarray:
     ids = np.zeros(size, np.uint16 if len(planes) <= 16 else np.uint32)
     for bit, plane in enumerate(reversed(planes)):
         ones = np.unpackbits(plane, count=size, bitorder="little").view(bool)
-        zeros = size - int(np.count_nonzero(ones))
         if bit:
-            here = np.empty_like(ids)
-            here[~ones], here[ones] = ids[:zeros], ids[zeros:]
-            ids = here
+            ids = _sorted_back(ids, ones, size - int(np.count_nonzero(ones)))
         ids |= ones.astype(ids.dtype) << ids.dtype.type(bit)
     return ids
 
