@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tamiz import vocabulary as v
 from tamiz.functions.text import render_row
-from tamiz.operators.histogram import add_up, worker_name
+from tamiz.operators.histogram import worker_name
 from tamiz.operators.quality import enforce_gate, reject_log, rejects_by_slice, run_counters
 from tamiz.operators.rules import REJECTED, split
 from tamiz.operators.slices import slice_of_index
 from tamiz.plans import interest, statements, transactions
 from tamiz.session import Scratch, checkpointed
-from tamiz.sources import delimited, tables
+from tamiz.sources import delimited, parts, tables
 
 
 @dataclass(frozen=True)
@@ -72,37 +72,6 @@ def _rows_of(detail: DataFrame, run_id: str) -> DataFrame:
     return detail.where(F.col(tables.RUN) == run_id)
 
 
-def _refresh_summary(
-    scratch: Scratch,
-    added: DataFrame,
-    warehouse: str,
-    parts_table: tables.Table,
-    table: tables.Table,
-    run_id: str,
-) -> None:
-    """Brings the summary of the whole detail table up to date with this run.
-
-    What every run adds is kept, and all measures are counts and sums.  Only the
-    keys that this run adds to, or added to when it ran before, can change: just
-    those are added up over the parts of all runs, from the years they are in,
-    and replaced or, where no run has them any more, removed."""
-    spark = added.sparkSession
-    identity = list(dict.fromkeys((*table.key, *table.partition)))
-    added = scratch.stage(added, "added")
-    before = tables.read_table(spark, warehouse, parts_table).where(F.col(tables.RUN) == run_id)
-    keys = scratch.stage(
-        before.select(*identity).unionByName(added.select(*identity)).distinct(), "keys"
-    )
-    tables.write_run(added, warehouse, parts_table, run_id=run_id)
-    # One value per year, however many keys.
-    years = [row[0] for row in keys.select("anio").distinct().collect()]
-    parts = tables.read_table(spark, warehouse, parts_table).where(F.col("anio").isin(years))
-    parts = parts.join(keys, identity, "left_semi")
-    totals = add_up(parts, *identity, leaving_out=(tables.RUN,))
-    totals = totals.withColumn("generado_en", F.current_timestamp())
-    tables.refresh(totals, keys, warehouse, table, scratch)
-
-
 def daily_report(
     scratch: Scratch,
     source: str,
@@ -126,9 +95,7 @@ def daily_report(
     added = transactions.daily_summary(_rows_of(detail, run_id)).withColumn(
         "anio", F.year("fecha")
     )
-    _refresh_summary(
-        scratch, added, warehouse, tables.DAILY_PARTS, tables.DAILY_SUMMARY, run_id
-    )
+    parts.refresh_summary(scratch, added, warehouse, parts.DAILY_PARTS, run_id)
     counters = run_counters(config.job_name, config.step_name, rows, F.lit(False), unreadable=bad)
     return counters, detail, tables.read_table(spark, warehouse, tables.DAILY_SUMMARY)
 
@@ -201,9 +168,7 @@ def annual_statements(
 
     detail = tables.read_table(spark, warehouse, tables.MOVEMENTS)
     added = statements.annual_statement(_rows_of(detail, run_id))
-    _refresh_summary(
-        scratch, added, warehouse, tables.STATEMENT_PARTS, tables.ANNUAL_STATEMENT, run_id
-    )
+    parts.refresh_summary(scratch, added, warehouse, parts.STATEMENT_PARTS, run_id)
     counters = run_counters(
         config.job_name,
         config.step_name,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -56,36 +57,24 @@ ERROR_LOG = Table(
     "ocurrido_en timestamp, job_name string, run_id string",
     partition=("job_name", RUN),
 )
-_DAILY_MEASURES = (
+DAILY_MEASURES = (
     "total_transacciones bigint, total_validas bigint, total_anomalias bigint, "
     "total_duplicadas bigint, "
     "monto_total_credito decimal(15,2), monto_total_debito decimal(15,2)"
 )
-_STATEMENT_MEASURES = (
+STATEMENT_MEASURES = (
     "total_depositos decimal(15,2), total_salidas decimal(15,2), "
     "saldo_neto_anual decimal(15,2), cantidad_movimientos bigint, cantidad_anomalias bigint"
 )
-# What each run adds to a summary; the summary itself is their sum.  Laid out by
-# run and year: a run replaces its own part, and reads those of its years only.
-DAILY_PARTS = Table(
-    "resumen_transacciones_diarias_por_ejecucion",
-    f"fecha date, {_DAILY_MEASURES}, run_id string, anio int",
-    partition=(RUN, "anio"),
-)
-STATEMENT_PARTS = Table(
-    "estado_cuenta_anual_por_ejecucion",
-    f"cuenta_id bigint, {_STATEMENT_MEASURES}, run_id string, anio int",
-    partition=(RUN, "anio"),
-)
 DAILY_SUMMARY = Table(
     "resumen_transacciones_diarias",
-    f"fecha date, {_DAILY_MEASURES}, generado_en timestamp, anio int",
+    f"fecha date, {DAILY_MEASURES}, generado_en timestamp, anio int",
     partition=("anio",),
     key=("fecha",),
 )
 ANNUAL_STATEMENT = Table(
     "estado_cuenta_anual",
-    f"cuenta_id bigint, {_STATEMENT_MEASURES}, generado_en timestamp, anio int",
+    f"cuenta_id bigint, {STATEMENT_MEASURES}, generado_en timestamp, anio int",
     partition=("anio",),
     key=("cuenta_id", "anio"),
 )
@@ -141,13 +130,18 @@ def upsert(frame: DataFrame, warehouse: str, table: Table, scratch: Scratch) ->
 
 
 def refresh(
-    frame: DataFrame, keys: DataFrame, warehouse: str, table: Table, scratch: Scratch
+    frame: DataFrame,
+    keys: DataFrame,
+    warehouse: str,
+    table: Table,
+    scratch: Scratch,
+    whole: Sequence[int] = (),
 ) -> None:
-    """Makes ``frame`` all that the table holds of ``keys``: keys that it has are
-    inserted or replaced, the others of ``keys`` are removed.  ``keys`` has the
-    table's key and layout columns and every key of ``frame``."""
+    """Makes ``frame`` all that the table holds of ``keys``, and of the partitions
+    ``whole``: keys that it has are inserted or replaced, the others are removed.
+    ``keys`` has the table's key and layout columns."""
     new = scratch.stage(conform(frame, table), f"{table.name}-new")
-    _replace(new, keys, warehouse, table, scratch)
+    _replace(new, keys, warehouse, table, scratch, whole)
 
 
 def _identity(table: Table) -> list[str]:
@@ -155,7 +149,12 @@ def _identity(table: Table) -> list[str]:
 
 
 def _replace(
-    new: DataFrame, keys: DataFrame, warehouse: str, table: Table, scratch: Scratch
+    new: DataFrame,
+    keys: DataFrame,
+    warehouse: str,
+    table: Table,
+    scratch: Scratch,
+    whole: Sequence[int] = (),
 ) -> None:
     """Rows that stay are complete in the shared folder before the table is
     touched: the path being read is never the path being written.  A row is
@@ -163,10 +162,11 @@ def _replace(
     spark = new.sparkSession
     (layout,) = table.partition
     # One value per partition of the table (years), however many rows there are.
-    touched = [row[0] for row in keys.select(layout).distinct().collect()]
+    touched = {row[0] for row in keys.select(layout).distinct().collect()} | set(whole)
     if not touched:
         return
-    current = read_table(spark, warehouse, table).where(F.col(layout).isin(touched))
+    kept = F.col(layout).isin(sorted(touched - set(whole)))
+    current = read_table(spark, warehouse, table).where(kept)
     staying = scratch.stage(
         current.join(keys.select(*table.key).distinct(), list(table.key), "left_anti").select(
             *new.columns
@@ -178,10 +178,11 @@ def _replace(
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         layout
     ).parquet(table.path(warehouse))
-    for value in set(touched) - left:  # a partition that is written no row is left as it was
-        _remove(spark, f"{table.path(warehouse)}/{layout}={value}")
+    for value in touched - left:  # a partition that is written no row is left as it was
+        remove(spark, f"{table.path(warehouse)}/{layout}={value}")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
