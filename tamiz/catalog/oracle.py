@@ -298,23 +298,23 @@ ORACLE: dict[str, str] = {
     select case when not mala then trim(id) end as id,
         case when not mala then trim(fecha) end as fecha,
         case when not mala then trim(monto) end as monto,
-        case when not mala then trim(tipo) end as tipo,
+        case when not mala and k % 37 = 0 then 'de"bi,to"' when not mala then trim(tipo) end as tipo,
         case when mala then {RAGGED_LINE} end as linea_rechazada from lines""",
     "daily_report_job": _T_SQL
     + f"select {_as_int('*', _DAILY_COUNTS)} from ({_daily('T_detail where true')})",
     "monthly_interest_job": _I_SQL + "select * exclude (seq) from I_detail",
-    "monthly_interest_job_counters": _I_SQL + _COUNTERS + " from I_judged",
+    "monthly_interest_job_counters": _I_SQL + _COUNTERS + ", 'COMPLETED' as estado from I_judged",
     "monthly_interest_job_log": _I_SQL + f"select 'run-1' as run_id, {_INTEREST_LOG}",
     "rows_by_worker": _T_SQL
     + """select count(*) as filas, cast(0 as bigint) as sin_trabajador,
         cast(0 as bigint) as sin_hora, true as cuadra from T_detail""",
     "daily_report_two_runs": _with(
-        _part(_T, "T", "Ta", "seq % 3 = 0"), _part(_T, "T", "Tb", "seq % 16 = 0")
+        _part(_T, "T", "Ta", "seq % 3 = 0"), _part(_T, "T", "Tb", "seq % 3 <> 0")
     )
     + f""", T_both as (select * from Ta_detail union all select * from Tb_detail)
     select {_as_int('*', _DAILY_COUNTS)} from ({_daily('T_both where true')})""",
     "annual_statement_two_runs": _with(
-        _part(_M, "M", "Ma", "pedido % 3 = 0"), _part(_M, "M", "Mb", "pedido % 16 = 0")
+        _part(_M, "M", "Ma", "pedido % 3 = 0"), _part(_M, "M", "Mb", "pedido % 3 <> 0")
     )
     + f""", M_both as (select * from Ma_detail union all select * from Mb_detail)
     select {_as_int('*', _ANNUAL_COUNTS)} from ({_annual('M_both where true')})""",

@@ -358,6 +358,7 @@ def _written_feed(spark: SparkSession, feed: DataFrame, fields: tuple[str, ...],
 RAGGED_LINE = """case
     when k % 13 = 0 then id || ',' || fecha
     when k % 29 = 0 then id || ',' || fecha || ',' || monto || ',' || tipo || ',sobra'
+    when k % 37 = 0 then id || ',' || fecha || ',' || monto || ',de"bi,to"'
     when k % 31 = 0 then '"' || id || '"," ' || fecha || ' ",' || monto || ',"' || tipo || '"'
     else id || ',' || fecha || ',' || monto || ',' || tipo end"""
 
@@ -403,8 +404,9 @@ def monthly_interest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_interest_job_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status and counters of each step; how long it took depends on the run."""
     result, _ = _run_monthly_interest(spark, sf_dir)
-    return result.counters
+    return result.counters.drop("segundos")
 
 
 def monthly_interest_job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,23 +428,27 @@ def annual_statement_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_report_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs into one warehouse, then the first again with a third of its
-    lines: days that only the others had are gone from the summary."""
+    """Two runs into one warehouse, then the first again: at first it also held the lines
+    of the other, half of them on a day of a year that no line has afterwards."""
     feed = feeds.transactions(spark, sf_dir)
+    moved = feed.withColumn("fecha", F.expr("if(seq % 2 = 0, '1990-06-15', fecha)"))
     warehouse = Scratch(spark).path("warehouse")
-    for run_id, lines in (("a", "true"), ("b", "seq % 16 = 0"), ("a", "seq % 3 = 0")):
-        path = _written_feed(spark, feed.where(lines), v.TRANSACTION_FIELDS, "seq")
+    for run_id, lines in (("a", moved), ("b", feed.where("seq % 3 <> 0")), ("a", feed.where("seq % 3 = 0"))):
+        path = _written_feed(spark, lines, v.TRANSACTION_FIELDS, "seq")
         result = run_job(spark, v.DAILY_REPORT_JOB, path, warehouse, run_id)
     return result.summary.drop("generado_en", "anio").orderBy("fecha")
 
 
 def annual_statement_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``daily_report_two_runs``; accounts and years vanish."""
+    """As ``daily_report_two_runs``; accounts vanish, and a year."""
     feed = feeds.movements(spark, sf_dir)
+    moved = feed.withColumn("cuenta_id", F.expr("if(pedido % 2 = 0, '99' || cuenta_id, cuenta_id)"))
+    moved = moved.withColumn("fecha", F.expr("if(pedido % 5 = 0, '1990-06-15', fecha)"))
     warehouse = Scratch(spark).path("warehouse")
     config = statements.StatementsConfig(reject_limit=OPEN_GATE)
-    for run_id, lines in (("a", "true"), ("b", "pedido % 16 = 0"), ("a", "pedido % 3 = 0")):
-        path = _written_feed(spark, feed.where(lines), v.MOVEMENT_FIELDS, "pedido", "linea")
+    runs = (("a", moved), ("b", feed.where("pedido % 3 <> 0")), ("a", feed.where("pedido % 3 = 0")))
+    for run_id, lines in runs:
+        path = _written_feed(spark, lines, v.MOVEMENT_FIELDS, "pedido", "linea")
         result = run_job(spark, v.ANNUAL_STATEMENT_JOB, path, warehouse, run_id, config)
     return result.summary.drop("generado_en").orderBy("cuenta_id", "anio")
 

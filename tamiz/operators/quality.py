@@ -2,15 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import logging
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tamiz import vocabulary as v
 from tamiz.functions.text import truncate
 from tamiz.operators.rules import REJECT_REASON, REJECTED
 
+_log = logging.getLogger(__name__)
+
 LOG_COLUMNS = ("job_name", "step_name", "etapa", "detalle_item", "mensaje_error")
 
 
+STEP_COUNTERS = (
+    "leidos", "escritos", "filtrados", "saltados_lectura", "saltados_proceso", "saltados_escritura",
+)
+_STEP_SCHEMA = "job_name string, step_name string, estado string, segundos double, " + ", ".join(
+    f"{name} bigint" for name in (*STEP_COUNTERS, "total_saltados")
+)
+
+
+class StepReport:
+    """Status, duration and counters of the steps of a run, also of one that fails."""
+
+    def __init__(self, job_name: str):
+        self.job_name = job_name
+        self.rows: list[tuple] = []
+
+    @contextmanager
+    def step(self, name: str) -> Iterator[dict[str, int]]:
+        """Times a step; what it puts into the dictionary are its counters, 0 if not given."""
+        counts: dict[str, int] = {}
+        started, status = time.monotonic(), v.FAILED
+        try:
+            yield counts
+            status = v.COMPLETED
+        finally:
+            values = [counts.get(counter) or 0 for counter in STEP_COUNTERS]
+            skipped = sum(values[STEP_COUNTERS.index("saltados_lectura") :])
+            self.rows.append((self.job_name, name, status, time.monotonic() - started, *values, skipped))
+            _log.info("%s %s %s: %.1f s, %s", self.job_name, name, status, self.rows[-1][3], counts)
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """One row per step, in order."""
+        return spark.createDataFrame(self.rows, _STEP_SCHEMA).coalesce(1)
+
+
 class QualityGateError(RuntimeError):
     """A slice of the feed has more rejected rows than the limit allows."""
 

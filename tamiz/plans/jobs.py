@@ -9,16 +9,16 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tamiz import vocabulary as v
 from tamiz.functions.text import render_row
 from tamiz.operators.histogram import worker_name
-from tamiz.operators.quality import enforce_gate, reject_log, rejects_by_slice, run_counters
+from tamiz.operators.quality import StepReport, enforce_gate, reject_log, rejects_by_slice
 from tamiz.operators.rules import REJECTED, split
 from tamiz.operators.slices import slice_of_index
 from tamiz.plans import interest, statements, transactions
-from tamiz.session import Scratch, checkpointed
+from tamiz.session import Scratch
 from tamiz.sources import delimited, parts, tables
 
 
@@ -38,9 +38,12 @@ def _with_provenance(detail: DataFrame) -> DataFrame:
     )
 
 
-def _write_rejects(warehouse: str, run_id: str, config: Any, *logs: DataFrame) -> None:
+def _write_rejects(warehouse: str, run_id: str, config: Any, *logs: DataFrame) -> dict[str, int]:
+    """Adds the rejects to the error log; returns how many were rejected on reading."""
     columns = ("step_name", "etapa", "detalle_item", "mensaje_error")
     log = reduce(DataFrame.unionByName, [part.select(*columns) for part in logs])
+    seen = Observation()
+    log = log.observe(seen, F.count_if(F.col("etapa") == v.STAGE_READ).alias("saltados_lectura"))
     tables.write_run(
         log.withColumn("ocurrido_en", F.current_timestamp()),
         warehouse,
@@ -48,6 +51,30 @@ def _write_rejects(warehouse: str, run_id: str, config: Any, *logs: DataFrame) -
         job_name=config.job_name,
         run_id=run_id,
     )
+    return seen.get
+
+
+def _write_detail(detail: DataFrame, warehouse: str, table: tables.Table, run_id: str) -> dict[str, int]:
+    """Writes a run's rows of the detail table; returns how many."""
+    seen = Observation()
+    detail = _with_provenance(detail).observe(seen, F.count(F.lit(1)).alias("escritos"))
+    tables.write_run(detail, warehouse, table, run_id=run_id)
+    return seen.get
+
+
+def _stage_classified(
+    scratch: Scratch, classified: DataFrame, name: str, lines: Column
+) -> tuple[DataFrame, dict[str, int]]:
+    """The classified rows, written once so that kept and rejected ones are read back by
+    partition; and counts taken by that write: ``lines`` is how many lines a row stands for."""
+    seen = Observation()
+    observed = classified.observe(
+        seen,
+        F.sum(lines).alias("leidos"),
+        (F.sum(lines) - F.count(F.lit(1))).alias("filtrados"),
+        F.count_if(REJECTED).alias("saltados_proceso"),
+    )
+    return scratch.stage(observed, name, (REJECTED,)), seen.get
 
 
 def _check_gate(rejected: DataFrame, total: int, config: Any) -> None:
@@ -74,112 +101,103 @@ def _rows_of(detail: DataFrame, run_id: str) -> DataFrame:
 
 def daily_report(
     scratch: Scratch,
+    steps: StepReport,
     source: str,
     warehouse: str,
     run_id: str,
     config: transactions.TransactionsConfig = transactions.TransactionsConfig(),
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     spark = scratch.spark
-    lines, total = delimited.stage_lines(scratch, source, config.fields)
-    bad = delimited.malformed(lines)
-    _write_rejects(warehouse, run_id, config, _malformed_log(lines, config))
-    _check_gate(bad, total, config)
-
-    rows = delimited.readable(lines)
-    classified = transactions.classify_transactions(rows, config, delimited.SEQ)
-    tables.write_run(
-        _with_provenance(classified), warehouse, tables.TRANSACTIONS, run_id=run_id
-    )
+    with steps.step(config.step_name) as counts:
+        lines, total = delimited.stage_lines(scratch, source, config.fields)
+        bad = delimited.malformed(lines)
+        counts |= _write_rejects(warehouse, run_id, config, _malformed_log(lines, config))
+        _check_gate(bad, total, config)
+        rows = delimited.readable(lines)
+        classified = transactions.classify_transactions(rows, config, delimited.SEQ)
+        counts |= _write_detail(classified, warehouse, tables.TRANSACTIONS, run_id)
+        counts["leidos"] = counts["escritos"]
 
     detail = tables.read_table(spark, warehouse, tables.TRANSACTIONS)
-    added = transactions.daily_summary(_rows_of(detail, run_id)).withColumn(
-        "anio", F.year("fecha")
-    )
-    parts.refresh_summary(scratch, added, warehouse, parts.DAILY_PARTS, run_id)
-    counters = run_counters(config.job_name, config.step_name, rows, F.lit(False), unreadable=bad)
-    return counters, detail, tables.read_table(spark, warehouse, tables.DAILY_SUMMARY)
+    with steps.step(v.DAILY_SUMMARY_STEP):
+        added = transactions.daily_summary(_rows_of(detail, run_id))
+        added = added.withColumn("anio", F.year("fecha"))
+        parts.refresh_summary(scratch, added, warehouse, parts.DAILY_PARTS, run_id)
+    return detail, tables.read_table(spark, warehouse, tables.DAILY_SUMMARY)
 
 
 def monthly_interest(
     scratch: Scratch,
+    steps: StepReport,
     source: str,
     warehouse: str,
     run_id: str,
     config: interest.InterestConfig = interest.InterestConfig(),
-) -> tuple[DataFrame, DataFrame, None]:
-    spark = scratch.spark
-    lines, total = delimited.stage_lines(scratch, source, config.fields)
-    bad = delimited.malformed(lines)
-    # Dropping copies shuffles, so the outcome is written once and its two
-    # halves are read back by partition.
-    classified = scratch.stage(
-        interest.classify_accounts(delimited.readable(lines), config, delimited.SEQ),
-        "accounts",
-        (REJECTED,),
-    )
-    kept, rejected = split(classified)
-    item = render_row(v.ACCOUNT_LABEL, v.ACCOUNT_PRINT_FIELDS)
-    _write_rejects(
-        warehouse,
-        run_id,
-        config,
-        _process_log(rejected, config, item),
-        _malformed_log(lines, config),
-    )
-    _check_gate(
-        rejected.select(delimited.SEQ).unionByName(bad.select(delimited.SEQ)), total, config
-    )
-    detail = _with_provenance(interest.interest_detail(kept, config))
-    tables.write_run(detail, warehouse, tables.ACCOUNTS, run_id=run_id)
-    counters = run_counters(
-        config.job_name, config.step_name, classified, F.col(REJECTED), "copias", bad
-    )
-    return counters, tables.read_table(spark, warehouse, tables.ACCOUNTS), None
+) -> tuple[DataFrame, None]:
+    with steps.step(config.step_name) as counts:
+        lines, total = delimited.stage_lines(scratch, source, config.fields)
+        classified, seen = _stage_classified(
+            scratch,
+            interest.classify_accounts(delimited.readable(lines), config, delimited.SEQ),
+            "accounts",
+            F.col("copias"),
+        )
+        counts |= seen
+        item = render_row(v.ACCOUNT_LABEL, v.ACCOUNT_PRINT_FIELDS)
+        kept = _kept_after_log(lines, total, classified, item, warehouse, run_id, config, counts)
+        detail = interest.interest_detail(kept, config)
+        counts |= _write_detail(detail, warehouse, tables.ACCOUNTS, run_id)
+    return tables.read_table(scratch.spark, warehouse, tables.ACCOUNTS), None
 
 
 def annual_statements(
     scratch: Scratch,
+    steps: StepReport,
     source: str,
     warehouse: str,
     run_id: str,
     config: statements.StatementsConfig = statements.StatementsConfig(),
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     spark = scratch.spark
-    lines, total = delimited.stage_lines(scratch, source, config.fields)
-    bad = delimited.malformed(lines)
-    # Classified once; the halves are read back by partition.
-    classified = scratch.stage(
-        statements.classify_movements(delimited.readable(lines)), "movements", (REJECTED,)
-    )
-    kept, rejected = split(classified)
-    item = render_row(v.MOVEMENT_LABEL, v.MOVEMENT_PRINT_FIELDS)
-    _write_rejects(
-        warehouse,
-        run_id,
-        config,
-        _process_log(rejected, config, item),
-        _malformed_log(lines, config),
-    )
-    _check_gate(
-        rejected.select(delimited.SEQ).unionByName(bad.select(delimited.SEQ)), total, config
-    )
-    detail = _with_provenance(statements.movement_detail(kept, config))
-    tables.write_run(detail, warehouse, tables.MOVEMENTS, run_id=run_id)
+    with steps.step(config.step_name) as counts:
+        lines, total = delimited.stage_lines(scratch, source, config.fields)
+        classified, seen = _stage_classified(
+            scratch, statements.classify_movements(delimited.readable(lines)), "movements", F.lit(1)
+        )
+        counts |= seen
+        item = render_row(v.MOVEMENT_LABEL, v.MOVEMENT_PRINT_FIELDS)
+        kept = _kept_after_log(lines, total, classified, item, warehouse, run_id, config, counts)
+        detail = statements.movement_detail(kept, config)
+        counts |= _write_detail(detail, warehouse, tables.MOVEMENTS, run_id)
 
     detail = tables.read_table(spark, warehouse, tables.MOVEMENTS)
-    added = statements.annual_statement(_rows_of(detail, run_id))
-    parts.refresh_summary(scratch, added, warehouse, parts.STATEMENT_PARTS, run_id)
-    counters = run_counters(
-        config.job_name,
-        config.step_name,
-        classified,
-        F.col(REJECTED),
-        unreadable=bad,
+    with steps.step(v.STATEMENT_SUMMARY_STEP):
+        added = statements.annual_statement(_rows_of(detail, run_id))
+        parts.refresh_summary(scratch, added, warehouse, parts.STATEMENT_PARTS, run_id)
+    return detail, tables.read_table(spark, warehouse, tables.ANNUAL_STATEMENT)
+
+
+def _kept_after_log(
+    lines: DataFrame,
+    total: int,
+    classified: DataFrame,
+    item: Column,
+    warehouse: str,
+    run_id: str,
+    config: Any,
+    counts: dict[str, int],
+) -> DataFrame:
+    """The kept rows, once the rejected ones are logged and have passed the gate."""
+    kept, rejected = split(classified)
+    counts |= _write_rejects(
+        warehouse, run_id, config, _process_log(rejected, config, item), _malformed_log(lines, config)
     )
-    return counters, detail, tables.read_table(spark, warehouse, tables.ANNUAL_STATEMENT)
+    bad = delimited.malformed(lines).select(delimited.SEQ)
+    _check_gate(rejected.select(delimited.SEQ).unionByName(bad), total, config)
+    return kept
 
 
-JOBS: dict[str, Callable[..., tuple[DataFrame, DataFrame, DataFrame | None]]] = {
+JOBS: dict[str, Callable[..., tuple[DataFrame, DataFrame | None]]] = {
     v.DAILY_REPORT_JOB: daily_report,
     v.MONTHLY_INTEREST_JOB: monthly_interest,
     v.ANNUAL_STATEMENT_JOB: annual_statements,
@@ -207,7 +225,8 @@ def run_job(
     run_id = run_id or uuid.uuid4().hex
     options = {} if config is None else {"config": config}
     started = time.monotonic()
+    steps = StepReport(name)
     with Scratch(spark) as scratch:
-        counters, detail, summary = JOBS[name](scratch, source, warehouse, run_id, **options)
-        counters = checkpointed(counters)  # one row, read from the scratch tables
-    return JobResult(name, run_id, time.monotonic() - started, counters, detail, summary)
+        detail, summary = JOBS[name](scratch, steps, source, warehouse, run_id, **options)
+    seconds = time.monotonic() - started
+    return JobResult(name, run_id, seconds, steps.frame(spark), detail, summary)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tamiz import vocabulary as v
 from tamiz.functions.text import message
@@ -16,10 +16,30 @@ FILE, BLOCK, POSITION, LINE = "_file", "_block", "_position", "_line"
 SEQ = "seq"
 _FIRST, _BEFORE, _BEFORE_FILE = "__first_position", "__rows_before", "__rows_before_file"
 _HEADER_LINES, _OPEN, _HEADER = 1, "__first_open", "__header_line"
-_COMMENT_MARK = "#"
+_COMMENT_MARK, _QUOTE, _BORDER = "#", '"', "\n"
 BROADCAST_BYTES = 64 << 20
 
 
+def split_fields(line: Column) -> Column:
+    """The fields of a line as an array: a border is a comma after an even number of
+    quotes, wherever they stand; a quote that is never closed reaches to the end.
+    A field within quotes loses them, and pairs of quotes in it become one; an empty
+    field is null."""
+    # What stands between two quotes is inside or outside of them by turns.  No
+    # line holds a line feed, which so can mark the borders.
+    outside = lambda part, place: F.when(place % 2 == 0, F.replace(part, F.lit(","), F.lit(_BORDER))).otherwise(part)
+    marked = F.array_join(F.transform(F.split(line, _QUOTE), outside), _QUOTE)
+    return F.transform(F.split(marked, _BORDER), _unquoted)
+
+
+def _unquoted(field: Column) -> Column:
+    text = F.trim(field)
+    single = F.replace(text, F.lit(_QUOTE * 2), F.lit(_QUOTE))
+    inner = F.substring(single, F.lit(2), F.greatest(F.length(single) - 2, F.lit(0)))
+    bare = F.when(text.startswith(_QUOTE) & text.endswith(_QUOTE), inner).otherwise(field)
+    return F.nullif(bare, F.lit(""))
+
+
 def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str]) -> DataFrame:
     """One row per line of the files, header and comments included: ``fields``
     as text, the raw line in ``_corrupt`` if it has too few or too many fields
@@ -29,27 +49,19 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[
     and one that is ragged is noticed whichever columns a query reads.  A field
     cannot span lines, so large files split.
     """
-    schema = ", ".join(f"`{name}` string" for name in (*fields, MALFORMED))
-    options = {
-        "sep": ",",
-        "quote": '"',
-        "escape": '"',
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": MALFORMED,
-    }
-    blank = F.trim("value") == ""
+    ragged = (F.size("parsed") != len(fields)) | (F.trim("value") == "")
     return (
         spark.read.text([path] if isinstance(path, str) else list(path))
         .select(
-            F.from_csv("value", schema, options).alias("parsed"),
+            split_fields(F.col("value")).alias("parsed"),
             "value",
             F.col("_metadata.file_path").alias(FILE),
             F.col("_metadata.file_block_start").alias(BLOCK),
             F.monotonically_increasing_id().alias(POSITION),
         )
         .select(
-            *[F.col(f"parsed.{name}").alias(name) for name in fields],
-            F.when(blank, F.col("value")).otherwise(F.col(f"parsed.{MALFORMED}")).alias(MALFORMED),
+            *[F.get("parsed", F.lit(place)).alias(name) for place, name in enumerate(fields)],
+            F.when(ragged, F.col("value")).alias(MALFORMED),
             F.col("value").startswith(_COMMENT_MARK).alias(COMMENT),
             FILE,
             BLOCK,

@@ -36,11 +36,12 @@ LOG_TEXT_WIDTH = 1000
 
 # --- job and step names -----------------------------------------------------
 DAILY_REPORT_JOB = "reporteTransaccionesDiariasJob"
-DAILY_REPORT_STEP = "transaccionesWorkerStep"
+DAILY_REPORT_STEP, DAILY_SUMMARY_STEP = "transaccionesWorkerStep", "resumenDiarioStep"
 MONTHLY_INTEREST_JOB = "calculoInteresesMensualesJob"
 MONTHLY_INTEREST_STEP = "interesesWorkerStep"
 ANNUAL_STATEMENT_JOB = "estadosCuentaAnualesJob"
-ANNUAL_STATEMENT_STEP = "cuentasAnualesWorkerStep"
+ANNUAL_STATEMENT_STEP, STATEMENT_SUMMARY_STEP = "cuentasAnualesWorkerStep", "estadoCuentaStep"
+COMPLETED, FAILED = "COMPLETED", "FAILED"
 
 # --- feed columns, in file order -------------------------------------------
 TRANSACTION_FIELDS = ("id", "fecha", "monto", "tipo")

@@ -1,9 +1,11 @@
 import datetime
 import os
+import random
 from decimal import Decimal
 
 import pytest
 from conftest import physical_plan, write_text
+
 from pyspark.sql import functions as F
 
 from tamiz import session
@@ -30,7 +32,9 @@ def test_fields_are_positional_and_malformed_lines_are_kept(spark, tmp_path):
             "5,,,",
             "   ",
             ",,,",
-            'a"b,c,d,e',
+            'a"b,c,d,e',  # the quote is never closed: one field
+            '6,2024-01-01,5,de"bi,to"',
+            ' "7, a" ,"",x"y"z,"a""b" c',
         ],
     )
     rows, total = stage(spark, path)
@@ -40,7 +44,8 @@ def test_fields_are_positional_and_malformed_lines_are_kept(spark, tmp_path):
         (5, "3", "10/01/2024", " 5 ", 'a "quoted", b'),
         (8, "5", None, None, None),
         (10, None, None, None, None),
-        (11, 'a"b', "c", "d", "e"),
+        (12, "6", "2024-01-01", "5", 'de"bi,to"'),
+        (13, "7, a", None, 'x"y"z', '"a""b" c'),
     ]
     bad = rows.where("_corrupt is not null").orderBy("seq")
     assert [tuple(r) for r in bad.select("_line", "_corrupt").collect()] == [
@@ -48,10 +53,11 @@ def test_fields_are_positional_and_malformed_lines_are_kept(spark, tmp_path):
         (6, ""),
         (7, "4,2024-01-10,1,debito,extra"),
         (9, "   "),
+        (11, 'a"b,c,d,e'),
     ]
     # Noticed from any set of columns.
-    assert rows.where("_corrupt is not null").count() == 4
-    assert rows.count() == 9 and total == 10  # the comment is a line, not a row
+    assert rows.where("_corrupt is not null").count() == 5
+    assert rows.count() == 11 and total == 12  # the comment is a line, not a row
 
 
 def test_line_ends(spark, tmp_path):
@@ -237,3 +243,33 @@ def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(FakeSession("spark://cluster:7077"))
     assert session.shared_dir(FakeSession("local[2]"))
+
+
+def test_fields_equal_a_scanner_that_counts_quotes(spark):
+    """Random lines against a character by character reading."""
+
+    def scanned(line):
+        fields, field, inside = [], "", False
+        for char in line:
+            if char == '"':
+                inside = not inside
+            if char == "," and not inside:
+                fields.append(field)
+                field = ""
+            else:
+                field += char
+        out = []
+        for text in [*fields, field]:
+            bare = text.strip(" ")
+            if bare.startswith('"') and bare.endswith('"'):
+                text = bare.replace('""', '"')[1:-1] if bare != '"' else ""
+            out.append(text or None)
+        return out
+
+    rng = random.Random(7)
+    lines = ["", '"', '""', '"""', '""""', ",", '","', ' " , " '] + [
+        "".join(rng.choice('ab, "",') for _ in range(rng.randrange(1, 24))) for _ in range(2000)
+    ]
+    frame = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "n int, line string")
+    found = frame.select("n", delimited.split_fields(F.col("line")).alias("fields")).orderBy("n").collect()
+    assert [r.fields for r in found] == [scanned(line) for line in lines]
