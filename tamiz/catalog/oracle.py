@@ -305,7 +305,7 @@ ORACLE: dict[str, str] = {
     "monthly_interest_job": _I_SQL + "select * exclude (seq) from I_detail",
     "monthly_interest_job_counters": _I_SQL + _COUNTERS + ", 'COMPLETED' as estado from I_judged",
     "monthly_interest_job_log": _I_SQL + f"select 'run-1' as run_id, {_INTEREST_LOG}",
-    "rows_by_worker": _T_SQL
+    "rows_by_worker_totals": _T_SQL
     + """select count(*) as filas, cast(0 as bigint) as sin_trabajador,
         cast(0 as bigint) as sin_hora, true as cuadra from T_detail""",
     "daily_report_two_runs": _with(

@@ -46,6 +46,14 @@ def test_every_sql_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
+def test_rows_by_worker_accounts_for_every_row(spark, database):
+    """Every task that wrote rows is one worker, and their counts are those of its rows."""
+    found = {r.procesado_por_hilo: r.cantidad for r in QUERIES["rows_by_worker"](spark, SF_DIR).collect()}
+    (orders,) = database.execute("select count(*) from orders").fetchone()
+    assert sum(found.values()) == orders and len(found) >= 1
+    assert all(name.startswith("particion-") and count > 0 for name, count in found.items())
+
+
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns[0] == "fecha" and frame.count() > 0
