@@ -32,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -45,20 +46,36 @@ SHARD_TOKENS = 1 << 24
 #: Bytes of text of one task, and the least that a further task is worth.
 TASK_BYTES, LEAST_TASK_BYTES = 32 << 20, 4 << 20
 #: Characters encoded together; words remembered, and characters of them.
-SLICE_CHARS, KEPT_WORDS, KEPT_CHARS = 1 << 20, 1 << 19, 1 << 24
+SLICE_CHARS, KEPT_WORDS, KEPT_CHARS = 1 << 22, 1 << 19, 1 << 24
 #: New words encoded as one text.
-NEW_WORDS = 1 << 14
+NEW_WORDS = 1 << 10
 #: Bytes of ids handed on together by a reader.
 BATCH_BYTES = 4 << 20
 
 _SPACED = re.compile(r" \s")
 _CUT = re.compile(r"(?= \S)")
+#: Latin letters, and the rest of a word if an ASCII sign that is no letter follows them.
+_LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([\x00-@\\[-`{-\x7f].*)", re.DOTALL)
 _CATALOG = "task int, shard int, file string, documents bigint, tokens bigint, bytes bigint"
 
 
 # -- encoding ------------------------------------------------------------------
 
 
+def _stretches(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of stretches, one stretch after another."""
+    upto = np.cumsum(lengths)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(begins - upto + lengths, lengths)
+
+
+def _unspaced(words: pa.Array) -> list[str]:
+    """The words, none of which has a space, as a list; read as one text, which is faster."""
+    if not len(words):
+        return []
+    one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(one, pa.scalar(" ", words.type))[0].as_py().split(" ")
+
+
 class _Numbers(dict):
     """Number of each piece of text; a new one is put down to be encoded."""
 
@@ -116,23 +133,35 @@ class LibraryEncoder:
         of_word = list(words)
         self._forget()
         self._rest.update((of_word[number], at) for at, number in enumerate(kept.tolist()))
-        source = np.arange(lengths.sum()) + np.repeat(ends[kept] - np.cumsum(lengths) + lengths, lengths)
         known, known_ends = self._known[id(self._rest)]
-        known.frombytes(ids[source].tobytes())
+        known.frombytes(ids[_stretches(ends[kept], lengths)].tobytes())
         known_ends.frombytes(np.cumsum(lengths).tobytes())
         self._uses = np.zeros(len(kept), np.int64)
         self._chars = sum(map(len, self._rest))
         if self._chars * 2 > KEPT_CHARS:
             self._forget()
 
+    def _is_plain(self, text: str) -> bool:
+        """Whether every space of a text is a cut and begins a word."""
+        return self._by_words and _SPACED.search(text) is None and not any(part in text for part in self._special)
+
     def _parts(self, text: str) -> list[str]:
         if not self._by_words or any(special in text for special in self._special):
             return [text]
-        if _SPACED.search(text) is None:
-            return text.split(" ")
         first, *rest = _CUT.split(text)
         return [first, *[part[1:] for part in rest]]
 
+    def _numbered(self, parts: pa.ListArray, read: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the texts' first parts, of their other parts, and how many others each has.
+        A part is looked up once, however often it is met; ``read`` makes a list of an array."""
+        ends = np.asarray(parts.offsets).astype(np.int64)
+        inner = np.ones(ends[-1], bool)
+        inner[ends[:-1]] = False
+        firsts = [self._first[part] for part in parts.values.take(pa.array(ends[:-1])).to_pylist()]
+        others = parts.values.filter(pa.array(inner)).dictionary_encode()
+        numbers = np.fromiter(map(self._rest.__getitem__, read(others.dictionary)), np.int64)
+        return np.array(firsts, np.int64), numbers[np.asarray(others.indices)], np.diff(ends) - 1
+
     def _lists(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.array([len(ids) for ids in found], np.int64)
@@ -150,29 +179,69 @@ class LibraryEncoder:
             return ids, np.diff(last + 1, prepend=0)
         return self._lists(texts)
 
-    def _encode_new(self, numbers: _Numbers, encode: Callable) -> None:
+    def _in_parts(self, words: list[str], encode: Callable) -> tuple[np.ndarray, np.ndarray]:
+        found = [encode(words[first : first + NEW_WORDS]) for first in range(0, len(words), NEW_WORDS)]
+        self._chars += sum(map(len, words))
+        if not found:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        ids, counts = zip(*found)
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _remember(self, numbers: _Numbers, ids: np.ndarray, counts: np.ndarray) -> None:
         known, ends = self._known[id(numbers)]
-        for first in range(0, len(numbers.new), NEW_WORDS):
-            words = numbers.new[first : first + NEW_WORDS]
-            ids, counts = encode(words)
-            known.frombytes(ids.tobytes())
-            ends.frombytes((np.cumsum(counts) + ends[-1]).tobytes())
-            self._chars += sum(map(len, words))
+        known.frombytes(ids.astype(np.uint32).tobytes())
+        ends.frombytes((np.cumsum(counts) + ends[-1]).tobytes())
         numbers.new.clear()
 
+    def _held(self, numbers: _Numbers) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.array(part) for part in self._known[id(numbers)])
+
+    def _encode_new(self) -> None:
+        """Encodes what is new.  Letters that a sign follows are cut there in any case, so such
+        words are put together of their letters and the rest, which are met more often."""
+        words = self._rest.new
+        cut = [(at, *found.groups()) for at, found in enumerate(map(_LETTERS.match, words)) if found]
+        compound = np.array([at for at, _, _ in cut], np.int64)
+        heads = np.array([self._rest[head] for _, head, _ in cut], np.int64)  # may be new words themselves
+        tails = np.array([self._first[tail] for _, _, tail in cut], np.int64)
+        self._remember(self._first, *self._in_parts(self._first.new, self._lists))
+        whole = np.ones(len(words), bool)
+        whole[compound] = False
+        simple, counts = self._in_parts([word for word, one in zip(words, whole) if one], self._joined_lists)
+        if not len(cut):
+            return self._remember(self._rest, simple, counts)
+        (known, ends), (first_known, first_ends) = self._held(self._rest), self._held(self._first)
+        old = len(ends) - 1
+        # Of every word, old or new and whole: where its ids begin and how many they are.
+        begins, lengths = np.zeros((2, old + len(words)), np.int64)
+        begins[:old], lengths[:old] = ends[:-1], np.diff(ends)
+        begins[old:][whole], lengths[old:][whole] = np.cumsum(counts) - counts + len(known), counts
+        # Of every new word: its head, which is all of a whole one, and its tail.
+        head, pieces = np.arange(old, old + len(words)), np.zeros((len(words), 2, 2), np.int64)
+        head[compound] = heads
+        pieces[:, 0, 0], pieces[:, 0, 1] = begins[head], lengths[head]
+        pieces[compound, 1, 0] = first_ends[tails] + len(known) + len(simple)
+        pieces[compound, 1, 1] = first_ends[tails + 1] - first_ends[tails]
+        source = _stretches(*pieces.reshape(-1, 2).T)
+        ids = np.concatenate([known, simple, first_known])[source]
+        self._remember(self._rest, ids, pieces[:, :, 1].sum(axis=1))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
-        firsts, rests, sizes = [], [], []
-        for text in texts:
-            parts = iter(self._parts(text))
-            before = len(rests)
-            firsts.append(self._first[next(parts)])
-            rests.extend(map(self._rest.__getitem__, parts))
-            sizes.append(len(rests) - before)
-        self._encode_new(self._first, self._lists)
-        self._encode_new(self._rest, self._joined_lists)
-        rests = np.array(rests, np.int64)
-        ids, counts = self._gathered(np.array(firsts, np.int64), rests, np.array(sizes, np.int64))
+        if not texts:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        plain = np.array([self._is_plain(text) for text in texts])
+        split = pc.split_pattern(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()), pattern=" ")
+        other = pa.array([self._parts(t) for t, p in zip(texts, plain) if not p], pa.list_(pa.large_string()))
+        # Numbered apart, then put in the order of the texts again.
+        numbered = [self._numbered(split, _unspaced), self._numbered(other, pa.Array.to_pylist)]
+        place = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)]))
+        firsts, rests, sizes = (np.concatenate(kind) for kind in zip(*numbered))
+        begins = (np.cumsum(sizes) - sizes)[place]
+        firsts, sizes = firsts[place], sizes[place]
+        rests = rests[_stretches(begins, sizes)]
+        self._encode_new()
+        ids, counts = self._gathered(firsts, rests, sizes)
         uses = np.bincount(rests, minlength=len(self._rest))
         uses[: len(self._uses)] += self._uses
         self._uses = uses
@@ -182,8 +251,6 @@ class LibraryEncoder:
 
     def _gathered(self, firsts: np.ndarray, rests: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The remembered ids of each text's first part and of its other ones."""
-        if not len(sizes):
-            return np.empty(0, np.uint32), sizes
         (first_ids, first_ends), (rest_ids, rest_ends) = (
             tuple(np.frombuffer(part, kind) if len(part) else np.empty(0, kind) for part, kind in zip(held, (np.uint32, np.int64)))
             for held in (self._known[id(self._first)], self._known[id(self._rest)])
@@ -191,9 +258,7 @@ class LibraryEncoder:
         known, ends = np.concatenate([first_ids, rest_ids]), np.concatenate([first_ends, rest_ends + len(first_ids)])
         numbers = np.insert(rests + len(first_ends), np.cumsum(sizes) - sizes, firsts)
         lengths = ends[numbers + 1] - ends[numbers]
-        upto = np.cumsum(lengths)
-        source = np.arange(upto[-1]) + np.repeat(ends[numbers] - upto + lengths, lengths)
-        return known[source], np.add.reduceat(lengths, np.cumsum(sizes + 1) - sizes - 1)
+        return known[_stretches(ends[numbers], lengths)], np.add.reduceat(lengths, np.cumsum(sizes + 1) - sizes - 1)
 
 
 _loaded: dict[int, LibraryEncoder] = {}

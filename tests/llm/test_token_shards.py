@@ -144,6 +144,26 @@ def opened(rows):
     return [(r[0], r.start, np.frombuffer(r.ids, "<u4").tolist()) for r in rows.collect()]
 
 
+def test_words_put_together_of_letters_and_the_rest(monkeypatch):
+    """Signs, letters of other scripts and digits at the border of letters, met in any order
+    and again after rare words were forgotten."""
+    monkeypatch.setattr(ts, "KEPT_WORDS", 200)
+    monkeypatch.setattr(ts, "NEW_WORDS", 7)
+    with open(BYTE_BPE) as file:
+        spec = file.read()
+    library, encoder = Tokenizer.from_str(spec), LibraryEncoder(spec)
+    letters = ["a", "The", "enth", "ñé", "l\u00d7", "x\u00b2", "\u03b1", "\u01c0", "e\u0301", "\u4f60", "_", ""]
+    signs = [",", "'s", "'", ".\n", "5", "\u00bd", "%%%", "<|endoftext|>", "\x00", "", "", "\n\n", "\u3000"]
+    chosen = random.Random(3)
+    for _ in range(150):
+        words = ["".join(chosen.choice(kind) for kind in [letters, signs] * chosen.randint(1, 3)) for _ in range(40)]
+        texts = [chosen.choice([" ", " ", "  ", "\n "]).join(chosen.sample(words, chosen.randint(0, 9))) for _ in range(9)]
+        expected = [library.encode(text, add_special_tokens=False).ids for text in texts]
+        ids, counts = encoder.encode(texts)
+        assert counts.tolist() == [len(one) for one in expected]
+        assert ids.tolist() == [number for one in expected for number in one]
+
+
 def test_round_trip_and_questions(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ts, "LEAST_TASK_BYTES", 10_000)
     rng = random.Random(8)
