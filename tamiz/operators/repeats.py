@@ -11,19 +11,23 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tamiz.operators.membership import key_filter
 from tamiz.session import checkpointed
 
 _FIRST, _COPIES, _SPREAD = "__first_seq", "__copies", "__spread"
 _HOT_FIRST, _COLD_FIRST, _COLD_KEY = "__hot_first", "__cold_first", "__cold_key"
+_POSSIBLE = "__possible"
 
 
 @dataclass(frozen=True)
 class RepeatLimits:
     """``broadcast_bytes``: largest key table sent to every executor.
-    ``hot_rows``: a key with this many rows or more is never shuffled as a group."""
+    ``hot_rows``: a key with this many rows or more is never shuffled as a group.
+    ``filter_bytes``: largest Bloom filter of keys sent to every executor."""
 
     broadcast_bytes: int = 32 << 20
     hot_rows: int = 1_000_000
+    filter_bytes: int = 32 << 20
 
 
 def repeated_keys(rows: DataFrame, key: str, seq: str) -> DataFrame:
@@ -124,8 +128,8 @@ def drop_copies(
     more than one row; a group of identical rows is one row per input task
     before the shuffle.  Only these keys are kept.  While their measured table
     is small it is broadcast and the rows stay where they are; a row whose key
-    is not in it has no copies.  Beyond that the lowest ``seq`` of every key is
-    joined to the rows by ``seq``, which is unique and so cannot be skewed.
+    is not in it has no copies.  Beyond that a Bloom filter of these keys is
+    broadcast, and only the rows that it lets through are shuffled.
     """
     names = [f"__key_{position}" for position in range(len(keys))]
     named = [key.alias(name) for key, name in zip(keys, names)]
@@ -133,13 +137,40 @@ def drop_copies(
         F.min(seq).alias(_FIRST), F.count(F.lit(1)).alias(_COPIES)
     )
     repeated = checkpointed(grouped.where(F.col(_COPIES) > 1))
-    width = sum((F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names), F.lit(48))
-    if (repeated.agg(F.sum(width)).first()[0] or 0) > limits.broadcast_bytes:
-        first = grouped.select(F.col(_FIRST).alias(seq), F.col(_COPIES).alias(copies))
-        return rows.join(first, seq).select(*rows.columns, copies)
+    size, how_many = _key_size(repeated, names)
     same = [key.eqNullSafe(F.col(name)) for key, name in zip(keys, names)]
-    joined = rows.join(F.broadcast(repeated), same, "left")
     first_or_only = F.col(_FIRST).isNull() | (F.col(seq) == F.col(_FIRST))
-    return joined.where(first_or_only).select(
-        *rows.columns, F.coalesce(_COPIES, F.lit(1).cast("bigint")).alias(copies)
+    copied = F.coalesce(_COPIES, F.lit(1).cast("bigint")).alias(copies)
+    if size <= limits.broadcast_bytes:
+        joined = rows.join(F.broadcast(repeated), same, "left")
+        return joined.where(first_or_only).select(*rows.columns, copied)
+
+    known = key_filter(repeated, F.xxhash64(*names), how_many, limits.filter_bytes)
+    flagged = known.flag(rows, F.xxhash64(*keys), _POSSIBLE)
+    alone = flagged.where(~F.col(_POSSIBLE)).select(*rows.columns, F.lit(1).cast("bigint").alias(copies))
+    # Of a key with many rows all but the first go before anything is shuffled.
+    hot = _hot_copies(repeated, names, limits)
+    same_hot = [key.eqNullSafe(F.col(f"__hot{name}")) for key, name in zip(keys, names)]
+    settled = F.col(_HOT_FIRST).isNull() | (F.col(seq) == F.col(_HOT_FIRST))
+    possible = (
+        flagged.where(_POSSIBLE).join(F.broadcast(hot), same_hot, "left").where(settled).select(*rows.columns)
     )
+    joined = possible.join(repeated.hint("merge"), same, "left")
+    return alone.unionByName(joined.where(first_or_only).select(*rows.columns, copied))
+
+
+def _key_size(repeated: DataFrame, names: Sequence[str]) -> tuple[int, int]:
+    """Bytes of a table of keys, and how many there are."""
+    width = sum((F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names), F.lit(48))
+    size, how_many = repeated.agg(F.sum(width), F.count(F.lit(1))).first()
+    return size or 0, how_many
+
+
+def _hot_copies(repeated: DataFrame, names: Sequence[str], limits: RepeatLimits) -> DataFrame:
+    """The keys with the most rows, as many as may be broadcast."""
+    hot_rows = limits.hot_rows
+    hot = repeated.where(F.col(_COPIES) >= hot_rows)
+    while _key_size(hot, names)[0] > max(limits.broadcast_bytes, limits.filter_bytes):
+        hot_rows *= 4
+        hot = repeated.where(F.col(_COPIES) >= hot_rows)
+    return hot.select(*[F.col(n).alias(f"__hot{n}") for n in names], F.col(_FIRST).alias(_HOT_FIRST))

@@ -5,6 +5,7 @@ from conftest import in_order, physical_plan
 from pyspark.sql import functions as F
 
 from tamiz.operators import histogram, quality, rules, slices
+from tamiz.operators.membership import BUCKET_BYTES, key_filter
 from tamiz.operators.repeats import RepeatLimits, drop_copies, flag_repeats
 
 # --- rules --------------------------------------------------------------------
@@ -133,6 +134,81 @@ def test_drop_copies_keeps_the_first_spelling_and_counts(spark):
     assert "Window" not in physical_plan(dropped)
 
 
+@pytest.mark.parametrize(
+    "limits",
+    [
+        RepeatLimits(broadcast_bytes=0),
+        RepeatLimits(broadcast_bytes=0, hot_rows=50),
+        RepeatLimits(broadcast_bytes=0, filter_bytes=0),
+        RepeatLimits(broadcast_bytes=0, filter_bytes=2000, hot_rows=2),
+    ],
+)
+def test_drop_copies_beyond_the_broadcast_limit(spark, limits):
+    pick = random.Random(5)
+    rows = []
+    for seq in pick.sample(range(90_000), 6000):
+        name = "same" if pick.random() < 1 / 3 else pick.choice([None, f"n{pick.randrange(9000)}", ""])
+        # Rows with a null in one place or in the other have equal hashes.
+        rows.append((seq, *pick.choice([(name, "x"), ("x", name), (name, None), (None, name)])))
+    frame = spark.createDataFrame(rows, "seq long, a string, b string").repartition(8)
+    expected = {}
+    for seq, a, b in sorted(rows):
+        row = expected.setdefault((a and a.lower(), b), [seq, a, b, 0])
+        row[3] += 1
+    dropped = drop_copies(frame, [F.lower("a"), F.col("b")], "seq", "copias", limits)
+    in_seq = lambda row: row[0]
+    assert sorted(map(list, dropped.collect()), key=in_seq) == sorted(expected.values(), key=in_seq)
+    assert dropped.columns == ["seq", "a", "b", "copias"]
+
+
+def test_drop_copies_shuffles_possible_copies_only(spark, tmp_path):
+    """30,000 lines alone, 3,000 twice, one key 9,000 times."""
+    unique = spark.range(30_000).selectExpr("id as seq", "concat('u', id) as a")
+    twice = spark.range(6000).selectExpr("id + 30000 as seq", "concat('t', id % 3000) as a")
+    hot = spark.range(9000).selectExpr("id + 36000 as seq", "'hot' as a")
+    unique.union(twice).union(hot).repartition(4).write.parquet(str(tmp_path / "rows"))
+    frame = spark.read.parquet(str(tmp_path / "rows"))
+    limits = RepeatLimits(broadcast_bytes=0, hot_rows=1000)
+    dropped = drop_copies(frame, [F.col("a")], "seq", "copias", limits)
+    assert [tuple(r) for r in dropped.groupBy("copias").count().orderBy("copias").collect()] == [
+        (1, 30_000), (2, 3000), (9000, 1)
+    ]
+    dropped.collect()
+    plan = dropped._jdf.queryExecution().executedPlan().executedPlan()
+    while plan.nodeName() != "Union":
+        plan = plan.plan() if plan.nodeName() == "ResultQueryStage" else plan.children().apply(0)
+    alone, open_rows = (plan.children().apply(side) for side in (0, 1))
+    assert "Exchange hashpartitioning" not in alone.toString()
+    written = shuffled_rows(open_rows)
+    # Both sides of the join: keys that repeat, and rows that may be one of them.
+    assert 0 < written < 3001 + 6001 + 0.05 * 30_000
+
+
+def shuffled_rows(plan):
+    """Rows that the exchanges of an executed plan wrote."""
+    if plan.nodeName() in ("AdaptiveSparkPlan",):
+        return shuffled_rows(plan.executedPlan())
+    if plan.nodeName() in ("ShuffleQueryStage", "AQEShuffleRead", "BroadcastQueryStage"):
+        inner = plan.child() if plan.nodeName() == "AQEShuffleRead" else plan.plan()
+        return shuffled_rows(inner)
+    found = 0
+    if plan.nodeName() == "Exchange":
+        found = plan.metrics().apply("shuffleRecordsWritten").value()
+    return found + sum(shuffled_rows(plan.children().apply(side)) for side in range(plan.children().size()))
+
+
+def test_key_filter_finds_every_key_and_few_others(spark):
+    keys = spark.range(20_000).select(F.xxhash64("id").alias("h"))
+    known = key_filter(keys, F.col("h"), 20_000, 32 << 20)
+    flagged = known.flag(spark.range(60_000), F.xxhash64("id"), "posible")
+    assert flagged.where("id < 20000 and not posible").isEmpty()
+    assert flagged.where("id >= 20000 and posible").count() < 0.02 * 40_000
+    # It never grows beyond what it may have, and none is found in an empty one.
+    assert key_filter(keys, F.col("h"), 20_000, 10 * BUCKET_BYTES).table.count() == 10
+    none = key_filter(keys.limit(0), F.col("h"), 0, 0)
+    assert none.flag(spark.range(5), F.xxhash64("id"), "posible").where("posible").isEmpty()
+
+
 # --- slices -------------------------------------------------------------------
 
 
