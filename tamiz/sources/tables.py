@@ -6,8 +6,8 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType, VarcharType
 
 from tamiz.session import Scratch
 
@@ -17,7 +17,8 @@ RUN = "run_id"
 @dataclass(frozen=True)
 class Table:
     """``partition`` names the columns the files are laid out by; ``key`` is the
-    primary key of a table that is upserted."""
+    primary key of a table that is upserted.  A ``varchar`` is read as text; its
+    width holds for what is written."""
 
     name: str
     ddl: str
@@ -26,35 +27,46 @@ class Table:
 
     @property
     def schema(self) -> StructType:
-        return StructType.fromDDL(self.ddl)
+        return StructType(
+            [
+                StructField(field.name, StringType()) if field.name in self.widths else field
+                for field in StructType.fromDDL(self.ddl)
+            ]
+        )
+
+    @property
+    def widths(self) -> dict[str, int]:
+        """Characters that each text column of limited width holds."""
+        declared = StructType.fromDDL(self.ddl)
+        return {field.name: field.dataType.length for field in declared if isinstance(field.dataType, VarcharType)}
 
     def path(self, warehouse: str) -> str:
         return f"{warehouse.rstrip('/')}/{self.name}"
 
 
-_PROVENANCE = "procesado_por_hilo string, procesado_en timestamp, run_id string"
+_PROVENANCE = "procesado_por_hilo varchar(60), procesado_en timestamp, run_id string"
 
 TRANSACTIONS = Table(
     "transacciones",
-    "transaccion_id_origen bigint, fecha date, monto decimal(15,2), tipo string, "
-    f"estado string, motivo string, {_PROVENANCE}",
+    "transaccion_id_origen bigint, fecha date, monto decimal(15,2), tipo varchar(20), "
+    f"estado varchar(20), motivo varchar(500), {_PROVENANCE}",
 )
 ACCOUNTS = Table(
     "cuentas_interes",
-    "cuenta_id bigint, nombre string, tipo string, saldo_inicial decimal(15,2), "
+    "cuenta_id bigint, nombre varchar(150), tipo varchar(20), saldo_inicial decimal(15,2), "
     "edad_original int, edad_utilizada int, tasa_aplicada decimal(6,4), "
-    "interes_calculado decimal(15,2), saldo_final decimal(15,2), estado string, "
-    f"observacion string, {_PROVENANCE}",
+    "interes_calculado decimal(15,2), saldo_final decimal(15,2), estado varchar(25), "
+    f"observacion varchar(500), {_PROVENANCE}",
 )
 MOVEMENTS = Table(
     "movimientos_anuales",
-    "cuenta_id bigint, fecha date, tipo_transaccion string, monto decimal(15,2), "
-    f"descripcion string, estado string, motivo string, {_PROVENANCE}",
+    "cuenta_id bigint, fecha date, tipo_transaccion varchar(20), monto decimal(15,2), "
+    f"descripcion varchar(255), estado varchar(25), motivo varchar(500), {_PROVENANCE}",
 )
 ERROR_LOG = Table(
     "batch_error_log",
-    "step_name string, etapa string, detalle_item string, mensaje_error string, "
-    "ocurrido_en timestamp, job_name string, run_id string",
+    "step_name varchar(100), etapa varchar(20), detalle_item varchar(1000), mensaje_error varchar(1000), "
+    "ocurrido_en timestamp, job_name varchar(100), run_id string",
     partition=("job_name", RUN),
 )
 DAILY_MEASURES = (
@@ -80,11 +92,28 @@ ANNUAL_STATEMENT = Table(
 )
 
 
+def _fitting(name: str, width: int) -> Column:
+    """A text that fits its column; blanks that are too many at its end are cut off,
+    anything else that is too much raises."""
+    text = F.col(name).cast("string")
+    message = F.concat(F.lit(f"{name} holds {width} characters, not "), F.length(text).cast("string"))
+    return (
+        F.when(text.isNull() | (F.length(text) <= width), text)
+        .when(F.length(F.rtrim(text)) <= width, F.substring(text, 1, width))
+        .otherwise(F.raise_error(message).cast("string"))
+    )
+
+
 def conform(frame: DataFrame, table: Table) -> DataFrame:
-    """Columns of ``frame`` in the table's order and types; ANSI casts raise on
-    a value that does not fit."""
+    """Columns of ``frame`` in the table's order and types; a number that does not
+    fit raises by the ANSI cast, and a text that is wider than its column as well."""
+    widths = table.widths
     return frame.select(
-        *[F.col(field.name).cast(field.dataType).alias(field.name) for field in table.schema]
+        *[
+            (_fitting(field.name, widths[field.name]) if field.name in widths else F.col(field.name).cast(field.dataType))
+            .alias(field.name)
+            for field in table.schema
+        ]
     )
 
 

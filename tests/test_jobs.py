@@ -338,6 +338,21 @@ def test_an_amount_that_does_not_fit_fails_the_run(spark, tmp_path):
         run_job(spark, v.DAILY_REPORT_JOB, source, str(tmp_path / "tablas"), "r1")
 
 
+def test_a_text_wider_than_its_column_fails_the_run(spark, tmp_path):
+    warehouse, name = str(tmp_path / "tablas"), "n" * 150
+    source = write_text(tmp_path / "i.csv", [ACCOUNTS[0], f"1,{name},100,30,ahorro"])
+    assert run_job(spark, v.MONTHLY_INTEREST_JOB, source, warehouse, "r1").detail.first().nombre == name
+    # Characters count, not bytes; rejected rows may be as wide as they like.
+    rows = [ACCOUNTS[0], f"1,{'ñ' * 150},100,30,ahorro", f"2,{name * 20},100,30,{name}"]
+    source = write_text(tmp_path / "i2.csv", rows)
+    found = run_job(spark, v.MONTHLY_INTEREST_JOB, source, warehouse, "r2").detail
+    assert found.where("run_id = 'r2'").count() == 1
+    source = write_text(tmp_path / "i3.csv", [ACCOUNTS[0], f"1,{name}n,100,30,ahorro"])
+    with pytest.raises(Exception, match="nombre holds 150 characters, not 151"):
+        run_job(spark, v.MONTHLY_INTEREST_JOB, source, warehouse, "r3")
+    assert tables.read_table(spark, warehouse, tables.ACCOUNTS).where("run_id = 'r3'").isEmpty()
+
+
 def test_jobs_are_chosen_by_name(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown job"):
         run_job(spark, "otro", "x", str(tmp_path))

@@ -273,3 +273,14 @@ def test_fields_equal_a_scanner_that_counts_quotes(spark):
     frame = spark.createDataFrame([(n, line) for n, line in enumerate(lines)], "n int, line string")
     found = frame.select("n", delimited.split_fields(F.col("line")).alias("fields")).orderBy("n").collect()
     assert [r.fields for r in found] == [scanned(line) for line in lines]
+
+
+def test_widths_of_text_columns(spark):
+    table = tables.Table("t", "a varchar(3), b string, n int")
+    assert [field.dataType.simpleString() for field in table.schema] == ["string", "string", "int"]
+    rows = [("abc", "abcdef", 1), ("ab    ", "x", 2), (None, None, None), ("ñü\U0001f600", "", 4), ("  a ", "", 5)]
+    frame = spark.createDataFrame(rows, "a string, b string, n int")
+    found = sorted((r.n or 0, r.a) for r in tables.conform(frame, table).collect())
+    assert found == [(0, None), (1, "abc"), (2, "ab "), (4, "ñü\U0001f600"), (5, "  a")]
+    with pytest.raises(Exception, match="a holds 3 characters, not 4"):
+        tables.conform(frame.select(F.lit("abcd").alias("a"), "b", "n"), table).collect()
