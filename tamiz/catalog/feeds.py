@@ -48,6 +48,11 @@ _ACCOUNT_FIELDS = [
         when segment = 'MACHINERY' then ' Prestamo'
         when segment = 'HOUSEHOLD' then 'hipoteca' else '-1' end as tipo""",
 ]
+# Amounts of any feed with every exponent from -9 to 9, one line in four as it is.
+NUMBER_TEXT = """case seq % 4 when 0 then trim({amount}) when 1 then trim({amount}) || 'E' || cast(seq % 19 - 9 as string)
+    when 2 then '-000' || trim({amount}) || 'e' || cast(seq % 19 - 9 as string)
+    else '+0.0' || cast(seq % 1000 as string) || 'e' || cast(seq % 7 - 6 as string) end as texto"""
+
 ACCOUNTS = ["2 * k as seq", "cast(k as string) as cuenta_id", "name as nombre", *_ACCOUNT_FIELDS]
 # Every twentieth line comes a second time, next and spelled differently.
 ACCOUNT_COPIED = "k % 20 = 0"

@@ -4,7 +4,7 @@ windows and row numbers where the library aggregates, joins and narrows."""
 from __future__ import annotations
 
 from tamiz import vocabulary as v
-from tamiz.catalog.feeds import SQL_FEEDS
+from tamiz.catalog.feeds import NUMBER_TEXT, SQL_FEEDS
 from tamiz.catalog.queries import RAGGED_LINE
 
 
@@ -210,6 +210,21 @@ ORACLE: dict[str, str] = {
     union all
     select seq, 'I', try_cast(cuenta_id as bigint), try_cast(edad as int),
         try_cast(trim(saldo) as decimal(15,2)) from I""",
+    "number_messages": _with()
+    + f""", texts as (select seq, 'T' as origen, {NUMBER_TEXT.format(amount='monto')} from T
+        union all select seq, 'I', {NUMBER_TEXT.format(amount='saldo')} from I),
+    parts as (select *, regexp_full_match(texto, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') as good,
+        split_part(replace(lower(ltrim(texto, '+-')), 'e+', 'e'), 'e', 1) as mantissa,
+        coalesce(try_cast(split_part(lower(texto), 'e', 2) as int), 0) as power from texts),
+    scaled as (select *, coalesce(cast(try_cast(replace(mantissa, '.', '') as hugeint) as varchar), '0') as digits,
+        length(split_part(mantissa, '.', 2)) - power as scale from parts),
+    placed as (select *, length(digits) - 1 - scale as high,
+        case when texto like '-%' and digits <> '0' then '-' else '' end as minus from scaled)
+    select seq, origen, texto, case when not good then texto when scale = 0 then minus || digits
+        when scale > 0 and high >= 0 then minus || left(digits, -scale) || '.' || right(digits, scale)
+        when scale > 0 and high >= -6 then minus || '0.' || repeat('0', -1 - high) || digits
+        else minus || rtrim(left(digits, 1) || '.' || substr(digits, 2), '.')
+            || 'E' || case when high > 0 then '+' else '' end || high end as impreso from placed""",
     "category_normalisation": _with()
     + """select seq, lower(trim(tipo)) as tipo, trim(id) = '' as id_vacio,
         lower(trim(tipo)) in ('debito', 'credito') as permitido from T""",

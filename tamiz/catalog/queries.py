@@ -17,6 +17,7 @@ from tamiz.functions.numbers import (
     interest_on,
     long_or_null,
     rate_for,
+    number_text,
     to_money,
 )
 from tamiz.functions.text import clean, is_blank, normalise, render_row
@@ -83,6 +84,18 @@ def lenient_number_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def number_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts as messages print them, whatever exponent they are written with."""
+
+    def texts(feed: DataFrame, name: str, amount: str) -> DataFrame:
+        spelled = feed.selectExpr("seq", f"'{name}' as origen", feeds.NUMBER_TEXT.format(amount=amount))
+        return spelled.withColumn("impreso", number_text(F.col("texto")))
+
+    return texts(feeds.transactions(spark, sf_dir), "T", "monto").unionByName(
+        texts(feeds.accounts(spark, sf_dir), "I", "saldo")
+    )
+
+
 def category_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw categories, blank test and allowed-set test."""
     text = clean(F.col("tipo"))
@@ -465,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "flexible_date_parse": flexible_date_parse,
     "flexible_date_parse_strict": flexible_date_parse_strict,
     "lenient_number_parse": lenient_number_parse,
+    "number_messages": number_messages,
     "category_normalisation": category_normalisation,
     "transactions_classified": transactions_classified,
     "duplicate_flag": duplicate_flag,

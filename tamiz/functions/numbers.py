@@ -15,6 +15,10 @@ BALANCE = "decimal(31,18)"
 _WHOLE = r"\A[+-]?[0-9]+\z"
 _NUMBER = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 _NOT_ZERO = r"\A[^eE]*[1-9]"
+_PARTS = r"\A[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\z"
+#: A plain number below one has at most this many zeros before its first digit, the one
+#: before the point included.
+_MOST_ZEROS = 6
 _LONG_FRACTION = r"\A([^eE.]*\.[0-9]{18})[0-9]+\z"
 
 
@@ -81,13 +85,35 @@ def to_money(amount: Column) -> Column:
 
 
 def number_text(text: Column) -> Column:
-    """A plain number as a message prints it: no plus sign, no leading zeros,
-    a digit before the point, none left open after it.  Exponent forms pass
-    through as written."""
-    no_zeros = F.regexp_replace(text, r"^\+?(-?)0*(?=[0-9.])", "$1")
-    pointed = F.regexp_replace(no_zeros, r"^(-?)(?=\.)", "$10")
-    closed = F.regexp_replace(pointed, r"\.$", "")
-    return F.regexp_replace(closed, r"^-(0(\.0*)?)$", "$1")
+    """A number as a message prints it: its digits without leading zeros, and a
+    scale, the digits after the point less the exponent.  With a scale of 0 the
+    digits alone; with a positive one the point stands that many digits from the
+    right, unless that takes more than six zeros after the point; all else is
+    one digit, the others behind the point, and an exponent (``1E+2``, ``0E-7``).
+    Other text, and an exponent that no ``int`` holds, pass through as written.
+    """
+    whole, fraction = (F.regexp_extract(text, _PARTS, group) for group in (1, 2))
+    written = F.regexp_extract(text, _PARTS, 3)
+    exponent = F.when(written == "", F.lit(0)).otherwise(written.try_cast("int")).cast("bigint")
+    digits = F.ltrim(F.concat(whole, fraction), F.lit("0"))
+    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
+    scale = F.length(fraction) - exponent
+    power = F.length(digits) - 1 - scale
+    # At most one zero before the point and six after it are missing.
+    missing = F.least(F.greatest(scale + 1 - F.length(digits), F.lit(0)), F.lit(_MOST_ZEROS + 1)).cast("int")
+    padded = F.concat(F.repeat(F.lit("0"), missing), digits)
+    before = F.length(padded) - F.least(scale, F.lit(1 << 30)).cast("int")
+    pointed = F.concat(F.substring(padded, F.lit(1), before), F.lit("."), F.substring(padded, before + 1, F.length(padded)))
+    rest = F.substring(digits, F.lit(2), F.length(digits))
+    mantissa = F.concat(F.substring(digits, 1, 1), F.when(rest == "", rest).otherwise(F.concat(F.lit("."), rest)))
+    sign = F.when(power < 0, F.lit("")).otherwise(F.lit("+"))
+    printed = (
+        F.when(scale == 0, digits)
+        .when((scale > 0) & (power >= -_MOST_ZEROS), pointed)
+        .otherwise(F.concat(mantissa, F.lit("E"), sign, power.cast("string")))
+    )
+    minus = F.when(text.startswith("-") & (digits != "0"), F.lit("-")).otherwise(F.lit(""))
+    return F.when(is_number(text) & exponent.isNotNull(), F.concat(minus, printed)).otherwise(text)
 
 
 def rate_for(category: Column, rates: dict[str, str]) -> Column:

@@ -1,5 +1,7 @@
 import calendar
 import datetime
+import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -171,9 +173,42 @@ def test_number_text(spark):
         "0.": "0",
         "0.000": "0.000",
         "-112946.26": "-112946.26",
+        "0.0000000": "0E-7",
+        "0.000000": "0.000000",
+        "1e2": "1E+2",
+        "-12.5e3": "-1.25E+4",
+        "12.5E1": "125",
+        "12.5e+0": "12.5",
+        "0e5": "0E+5",
+        "-0e-3": "0.000",
+        "0.0000012": "0.0000012",
+        "0.00000012": "1.2E-7",
+        "100e-8": "0.00000100",
+        "1e-2000000000": "1E-2000000000",
+        "1e-2147483647": "1E-2147483647",
+        "1e99999999999": "1e99999999999",
+        "": "",
+        "abc": "abc",
+        "e5": "e5",
     }
     rows = text_rows(spark, list(cases)).withColumn("x", num.number_text(text()))
     assert dict(in_order(rows, "texto", "x")) == cases
+    assert in_order(text_rows(spark, [None]).withColumn("x", num.number_text(text())), "x") == [(None,)]
+
+
+def test_number_text_equals_decimal_numbers(spark):
+    """``decimal`` prints by the same rule, but keeps the sign of a zero."""
+    pick = random.Random(11)
+    digits = lambda most: "".join(pick.choice("000123456789") for _ in range(pick.randrange(most)))
+    texts = set()
+    while len(texts) < 3000:
+        number = pick.choice(["", "-", "+"]) + digits(5) + pick.choice(["", ".", "."]) + digits(12)
+        texts.add(number + pick.choice(["", "", f"e{pick.randrange(-12, 12)}", f"E+{pick.randrange(30)}"]))
+    texts = [x for x in texts if re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", x)]
+    expected = [str(Decimal(x) or Decimal(x).copy_abs()) for x in texts]
+    assert len(texts) > 2000
+    rows = text_rows(spark, texts).withColumn("x", num.number_text(text()))
+    assert [x for (x,) in in_order(rows, "x")] == expected
 
 
 def test_clamp_keeps_range_and_defaults_to_minimum(spark):
