@@ -5,7 +5,8 @@ position; words under a 0 may be anything, so a passage with substituted words
 still shares seeds.  Seeds of the training texts are joined with those of the
 benchmark items.  Around each hit the two texts are compared word by word along
 their common diagonal: the best stretch, by matches less twice the mismatches,
-is the overlap.  An overlap counts if it has ``ENOUGH_WORDS`` equal words, or
+is the overlap.  Words that repeat give ranges of diagonals, which are united
+before any is compared, so a text never has more than its words and the item's.  An overlap counts if it has ``ENOUGH_WORDS`` equal words, or
 ``ENOUGH_SHARE`` of the item's.
 
 The benchmark is a stated query set: it is read in blocks of about
@@ -29,6 +30,8 @@ MASKS = ("110110011", "1010011011", "11001010101")
 ENOUGH_WORDS, ENOUGH_SHARE = 13, 0.6
 MISMATCH = 2
 BLOCK_WORDS = 1_000_000
+#: Ranges of diagonals made together, before those that meet are united.
+LANES = 1 << 20
 
 _U = np.uint64
 OVERLAP = "array<struct<item_id:{kind},matched:int,item_words:int,first_word:int>>"
@@ -45,9 +48,35 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return mixed(out)
 
 
+def _sequences(places: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each stretch of rows whose places count up by one while
+    all of ``same`` stay as they are."""
+    cut = np.diff(places) != 1
+    for values in same:
+        cut |= values[1:] != values[:-1]
+    inner = np.flatnonzero(cut)
+    some = [0] if len(places) else []
+    starts = np.concatenate([some, inner + 1]).astype(np.int64)
+    return starts, np.concatenate([inner, [len(places) - 1] if some else []]).astype(np.int64)
+
+
+def _united(lanes: np.ndarray) -> np.ndarray:
+    """The same diagonals, each once: ranges of one text and item that meet are one range."""
+    if not lanes.shape[1]:
+        return lanes
+    text, item, first, last = lanes[:, np.lexsort(lanes[[2, 1, 0]])]
+    pair = np.concatenate([[0], np.cumsum((text[1:] != text[:-1]) | (item[1:] != item[:-1]))])
+    width = int(last.max() - first.min()) + 3
+    low, high = first - first.min() + pair * width, np.maximum.accumulate(last - first.min() + pair * width)
+    starts = np.concatenate([[0], np.flatnonzero(low[1:] > high[:-1] + 1) + 1])
+    ends = np.concatenate([starts[1:] - 1, [len(low) - 1]])
+    return np.stack([text[starts], item[starts], first[starts], high[ends] - pair[ends] * width + first.min()])
+
+
 @dataclass
 class BenchmarkIndex:
-    """Words of the items one after another, and (seed, item, position) rows."""
+    """Words of the items one after another, and (seed, item, places) rows; a seed that
+    stands at places in sequence, as within a repeated word, is one row."""
 
     item_ids: list
     words: np.ndarray
@@ -64,9 +93,11 @@ class BenchmarkIndex:
                 places.append(np.arange(len(keys)))
         keys = np.concatenate([*found, np.empty(0, _U)])
         order = np.argsort(keys, kind="stable")
-        self.items = np.concatenate([*items, np.empty(0, np.int64)]).astype(np.int64)[order]
-        self.places = np.concatenate([*places, np.empty(0, np.int64)]).astype(np.int64)[order]
-        keys, self.first, self.count = np.unique(keys[order], return_index=True, return_counts=True)
+        items = np.concatenate([*items, np.empty(0, np.int64)]).astype(np.int64)[order]
+        places = np.concatenate([*places, np.empty(0, np.int64)]).astype(np.int64)[order]
+        starts, ends = _sequences(places, keys[order], items)
+        self.items, self.low, self.high = items[starts], places[starts], places[ends]
+        keys, self.first, self.count = np.unique(keys[order][starts], return_index=True, return_counts=True)
         self.table = HashTable(keys)
 
     @staticmethod
@@ -89,24 +120,39 @@ class BenchmarkIndex:
     def overlaps(self, words: np.ndarray, begins: np.ndarray) -> dict[int, dict[int, tuple[int, int, int]]]:
         """For each text with overlaps: item -> (matched words, words of the item, first word in the text)."""
         text_of = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
-        lanes = []
+        lanes = np.empty((4, 0), np.int64)
         for mask in self.masks:
             at = self.table.find(seeds(words, mask))
             hit = np.flatnonzero(at >= 0)
             hit = hit[text_of[hit] == text_of[hit + len(mask) - 1]]
-            count = self.count[at[hit]]
-            entry = np.repeat(self.first[at[hit]] - np.cumsum(count) + count, count) + np.arange(count.sum())
-            place = np.repeat(hit, count)
-            lanes.append(np.stack([text_of[place], self.items[entry], place - self.places[entry]], axis=1))
+            starts, ends = _sequences(hit, at[hit], text_of[hit])
+            low, high = hit[starts], hit[ends]
+            upto = np.cumsum(self.count[at[low]])
+            begin = 0
+            while begin < len(low):
+                before = upto[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(upto, before + LANES, "right")))
+                lanes = _united(np.concatenate([lanes, self._lanes(text_of, at, low[begin:end], high[begin:end])], axis=1))
+                begin = end
         found: dict[int, dict[int, tuple[int, int, int]]] = {}
-        if not lanes:
-            return found
-        for text, item, shift in np.unique(np.concatenate(lanes), axis=0).tolist():
-            overlap = self._compare(words, begins[text], begins[text + 1], item, shift)
-            if overlap and overlap > found.get(text, {}).get(item, (0,)):
-                found.setdefault(text, {})[item] = overlap
+        # From the last diagonal up; nothing before one on which the whole item is equal can be better.
+        for text, item, first, last in lanes.T[::-1].tolist():
+            for shift in range(last, first - 1, -1):
+                best = found.get(text, {}).get(item, (0,))
+                if best[0] == self.begins[item + 1] - self.begins[item]:
+                    break
+                overlap = self._compare(words, begins[text], begins[text + 1], item, shift)
+                if overlap and overlap > best:
+                    found.setdefault(text, {})[item] = overlap
         return found
 
+    def _lanes(self, text_of: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """(text, item, first and last diagonal) rows of sequences of equal hits from ``low`` to ``high``."""
+        count = self.count[at[low]]
+        entry = np.repeat(self.first[at[low]] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        low, high = np.repeat(low, count), np.repeat(high, count)
+        return np.stack([text_of[low], self.items[entry], low - self.high[entry], high - self.low[entry]])
+
     def _compare(self, words: np.ndarray, begin: int, end: int, item: int, shift: int):
         """Best stretch of the item laid over the text with its first word at ``shift``."""
         own = self.words[self.begins[item] : self.begins[item + 1]]
@@ -158,7 +204,9 @@ def mark_overlaps(
     Words are runs of ASCII letters and digits and of all other non-ASCII
     characters, A-Z lower-cased.  Null and empty texts and items overlap
     nothing; an empty benchmark leaves every array empty; items that repeat are
-    reported each.  All columns of ``docs`` are kept, whatever their names.
+    reported each.  All columns of ``docs`` are kept, whatever their names, but one
+    named like ``out``, which is replaced.  Of stretches that tie, the last in the
+    text is reported.
     """
     spark = docs.sparkSession
     ship_package(spark)
