@@ -45,6 +45,14 @@ def not_in(category: Column, allowed: Sequence[str]) -> Column:
     return ~F.coalesce(category.isin(*allowed), F.lit(False))
 
 
+def judged(rows: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Rule]]:
+    """``rows`` with a boolean for each rule, and the rules as tests of these booleans:
+    a condition that a status and a message both need is looked at once."""
+    names = [f"__rule_{place}" for place in range(len(rules))]
+    flagged = rows.select("*", *[rule.holds.alias(name) for rule, name in zip(rules, names)])
+    return flagged, [Rule(F.col(name), rule.message) for rule, name in zip(rules, names)]
+
+
 def any_holds(rules: Sequence[Rule]) -> Column:
     return reduce(lambda left, right: left | right, [rule.holds for rule in rules], F.lit(False))
 

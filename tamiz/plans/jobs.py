@@ -15,7 +15,7 @@ from tamiz import vocabulary as v
 from tamiz.functions.text import render_row
 from tamiz.operators.histogram import worker_name
 from tamiz.operators.quality import StepReport, enforce_gate, reject_log, rejects_by_slice
-from tamiz.operators.rules import REJECTED, split
+from tamiz.operators.rules import REJECT_REASON, REJECTED, split
 from tamiz.operators.slices import slice_of_index
 from tamiz.plans import interest, statements, transactions
 from tamiz.session import Scratch
@@ -77,6 +77,19 @@ def _stage_classified(
     return scratch.stage(observed, name, (REJECTED,)), seen.get
 
 
+def _stage_rejected(
+    scratch: Scratch, classified: DataFrame, config: Any
+) -> tuple[DataFrame, dict[str, int]]:
+    """The rejected rows as they were read, with the reason, written once; and counts taken
+    by that pass, which works out no more than the outcome of the others."""
+    seen = Observation()
+    observed = classified.observe(
+        seen, F.count(F.lit(1)).alias("leidos"), F.count_if(REJECTED).alias("saltados_proceso")
+    )
+    rejected = observed.where(REJECTED).select(*config.fields, delimited.SEQ, REJECT_REASON)
+    return scratch.stage(rejected, "rejected"), seen.get
+
+
 def _check_gate(rejected: DataFrame, total: int, config: Any) -> None:
     """Fails the run when any row range of the input holds too many rejects.
     Slices are over all ``total`` lines; of the rejects only ``seq`` is read."""
@@ -143,8 +156,9 @@ def monthly_interest(
             F.col("copias"),
         )
         counts |= seen
+        kept, rejected = split(classified)
         item = render_row(v.ACCOUNT_LABEL, v.ACCOUNT_PRINT_FIELDS)
-        kept = _kept_after_log(lines, total, classified, item, warehouse, run_id, config, counts)
+        counts |= _log_and_check(lines, total, rejected, item, warehouse, run_id, config)
         detail = interest.interest_detail(kept, config)
         counts |= _write_detail(detail, warehouse, tables.ACCOUNTS, run_id)
     return tables.read_table(scratch.spark, warehouse, tables.ACCOUNTS), None
@@ -161,40 +175,39 @@ def annual_statements(
     spark = scratch.spark
     with steps.step(config.step_name) as counts:
         lines, total = delimited.stage_lines(scratch, source, config.fields)
-        classified, seen = _stage_classified(
-            scratch, statements.classify_movements(delimited.readable(lines)), "movements", F.lit(1)
-        )
+        classified = statements.classify_movements(delimited.readable(lines))
+        rejected, seen = _stage_rejected(scratch, classified, config)
         counts |= seen
         item = render_row(v.MOVEMENT_LABEL, v.MOVEMENT_PRINT_FIELDS)
-        kept = _kept_after_log(lines, total, classified, item, warehouse, run_id, config, counts)
+        counts |= _log_and_check(lines, total, rejected, item, warehouse, run_id, config)
+        kept, _ = split(classified)
         detail = statements.movement_detail(kept, config)
         counts |= _write_detail(detail, warehouse, tables.MOVEMENTS, run_id)
 
     detail = tables.read_table(spark, warehouse, tables.MOVEMENTS)
     with steps.step(v.STATEMENT_SUMMARY_STEP):
-        added = statements.annual_statement(_rows_of(detail, run_id))
+        keyed = F.col("cuenta_id").isNotNull() & F.col("fecha").isNotNull()
+        added = statements.annual_statement(_rows_of(detail, run_id).where(keyed))
         parts.refresh_summary(scratch, added, warehouse, parts.STATEMENT_PARTS, run_id)
     return detail, tables.read_table(spark, warehouse, tables.ANNUAL_STATEMENT)
 
 
-def _kept_after_log(
+def _log_and_check(
     lines: DataFrame,
     total: int,
-    classified: DataFrame,
+    rejected: DataFrame,
     item: Column,
     warehouse: str,
     run_id: str,
     config: Any,
-    counts: dict[str, int],
-) -> DataFrame:
-    """The kept rows, once the rejected ones are logged and have passed the gate."""
-    kept, rejected = split(classified)
-    counts |= _write_rejects(
+) -> dict[str, int]:
+    """Logs the rejected rows and malformed lines, and then lets them pass the gate."""
+    counts = _write_rejects(
         warehouse, run_id, config, _process_log(rejected, config, item), _malformed_log(lines, config)
     )
     bad = delimited.malformed(lines).select(delimited.SEQ)
     _check_gate(rejected.select(delimited.SEQ).unionByName(bad), total, config)
-    return kept
+    return counts
 
 
 JOBS: dict[str, Callable[..., tuple[DataFrame, DataFrame | None]]] = {

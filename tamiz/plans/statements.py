@@ -25,6 +25,7 @@ from tamiz.operators.rules import (
     Rule,
     all_messages,
     any_holds,
+    judged,
     not_in,
     with_outcome,
 )
@@ -115,11 +116,13 @@ def classify_movements(feed: DataFrame) -> DataFrame:
 
 def movement_detail(kept: DataFrame, config: StatementsConfig = StatementsConfig()) -> DataFrame:
     """Kept movements with status; an anomaly's note hides its corrections."""
-    issues, corrections = movement_issues(config.known_types), movement_corrections()
+    known = movement_issues(config.known_types)
+    rows, rules = judged(kept, [*known, *movement_corrections()])
+    issues, corrections = rules[: len(known)], rules[len(known) :]
     kind = F.col("tipo_transaccion")
     parsed = {*v.MOVEMENT_FIELDS, "fecha_leida", "importe", "tipo_transaccion"}
     carried = [name for name in kept.columns if name not in parsed | {REJECTED, REJECT_REASON}]
-    return kept.select(
+    return rows.select(
         *carried,
         long_or_null(F.col("cuenta_id")).alias("cuenta_id"),
         F.col("fecha_leida").alias("fecha"),

@@ -54,7 +54,7 @@ class Scratch:
         """``frame`` written as a table and read back, so later readers prune
         columns and partitions instead of recomputing it."""
         path = self.path(f"{name}-{uuid.uuid4().hex[:8]}")
-        frame.write.partitionBy(*partition_by).parquet(path)
+        frame.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def __enter__(self) -> Scratch:

@@ -161,32 +161,33 @@ def refresh_summary(scratch: Scratch, added: DataFrame, warehouse: str, parts: P
     up over the living parts, and replaced or, where no run has them any more,
     removed.  Years in which a run died before are added up as a whole.
     """
-    spark, identity = added.sparkSession, parts.identity
+    spark, identity = scratch.spark, parts.identity
     register = parts.register(spark, warehouse)
-    added = scratch.stage(added, "added")
     before = parts.written(spark, warehouse)
     # One value per year of runs that died.
     unsure = before.join(F.broadcast(register.pending()), tables.RUN, "left_semi")
     unsure = [row[0] for row in unsure.select("anio").distinct().collect()]
     healed = [(DONE, *row, None, None) for row in register.pending().collect()]
-    own = before.where(F.col(tables.RUN) == run_id)
-    keys = own.select(*identity).unionByName(added.select(*identity)).distinct()
-    keys = scratch.stage(keys, "keys")
+    of_run = F.col(tables.RUN) == run_id
 
     published = register.entries().agg(F.max(VERSION)).first()[0] or 0
-    version = 1 + max(published, own.agg(F.max(VERSION)).first()[0] or 0)
+    version = 1 + max(published, before.where(of_run).agg(F.max(VERSION)).first()[0] or 0)
     rows = added.withColumn(tables.RUN, F.lit(run_id)).withColumn(VERSION, F.lit(version))
     _write_segment(rows, warehouse, parts, f"{_OF_RUN}{run_id}-v{version}")
     register.add((PUBLISHED, run_id, version, None, None))
 
+    # A key once for each version: joins that only test for it need no more.
+    keys = parts.written(spark, warehouse).where(of_run).select(*identity)
     years = sorted({row[0] for row in keys.select("anio").distinct().collect()} | set(unsure))
     living = parts.living(spark, warehouse).where(F.col("anio").isin(years))
     in_whole = F.col("anio").isin(unsure)
-    of_keys = living.where(~in_whole).join(keys, identity, "left_semi")
-    found = living.where(in_whole).unionByName(of_keys)
-    totals = add_up(found, *identity, leaving_out=(tables.RUN, VERSION, SEGMENT))
+    of_keys = living.where(~(in_whole | of_run)).join(keys, identity, "left_semi")
+    found = living.where(in_whole | of_run).unionByName(of_keys)
+    # A key has one row for each run, so nothing would combine before the shuffle: rows
+    # go there as they are, which is half of what partial sums take.
+    totals = add_up(found.repartition(*identity), *identity, leaving_out=(tables.RUN, VERSION, SEGMENT))
     totals = totals.withColumn("generado_en", F.current_timestamp())
-    tables.refresh(totals, keys, warehouse, parts.summary, scratch, whole=unsure)
+    tables.refresh(totals, keys, warehouse, parts.summary, whole=unsure)
     # Runs that died are shown too now: their years were added up from what they published.
     healed = [entry for entry in healed if entry[1] != run_id]
     register.add((DONE, run_id, version, None, None), *healed)

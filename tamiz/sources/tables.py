@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, VarcharType
 
 from tamiz.session import Scratch
@@ -155,7 +155,7 @@ def upsert(frame: DataFrame, warehouse: str, table: Table, scratch: Scratch) ->
     Only the partitions that hold a new key are read and rewritten.
     """
     new = scratch.stage(conform(frame, table), f"{table.name}-new")
-    _replace(new, new.select(*_identity(table)), warehouse, table, scratch)
+    _replace(new, new.select(*_identity(table)), warehouse, table)
 
 
 def refresh(
@@ -163,14 +163,13 @@ def refresh(
     keys: DataFrame,
     warehouse: str,
     table: Table,
-    scratch: Scratch,
     whole: Sequence[int] = (),
 ) -> None:
     """Makes ``frame`` all that the table holds of ``keys``, and of the partitions
     ``whole``: keys that it has are inserted or replaced, the others are removed.
-    ``keys`` has the table's key and layout columns."""
-    new = scratch.stage(conform(frame, table), f"{table.name}-new")
-    _replace(new, keys, warehouse, table, scratch, whole)
+    ``keys`` has the table's key and layout columns, and may repeat; ``frame`` is
+    worked out once."""
+    _replace(conform(frame, table), keys, warehouse, table, whole)
 
 
 def _identity(table: Table) -> list[str]:
@@ -182,12 +181,11 @@ def _replace(
     keys: DataFrame,
     warehouse: str,
     table: Table,
-    scratch: Scratch,
     whole: Sequence[int] = (),
 ) -> None:
-    """Rows that stay are complete in the shared folder before the table is
-    touched: the path being read is never the path being written.  A row is
-    written there and to the table, no more."""
+    """A row is written once: rows that stay are read from the table by the write that
+    replaces their partitions.  Such a write goes to a folder of its own and changes
+    places with the old partitions when all of it is there, not before."""
     spark = new.sparkSession
     (layout,) = table.partition
     # One value per partition of the table (years), however many rows there are.
@@ -196,19 +194,16 @@ def _replace(
         return
     kept = F.col(layout).isin(sorted(touched - set(whole)))
     current = read_table(spark, warehouse, table).where(kept)
-    staying = scratch.stage(
-        current.join(keys.select(*table.key).distinct(), list(table.key), "left_anti").select(
-            *new.columns
-        ),
-        f"{table.name}-staying",
-    )
-    merged = staying.unionByName(new)
-    left = {row[0] for row in merged.select(layout).distinct().collect()}
+    staying = current.join(keys.select(*table.key), list(table.key), "left_anti").select(*new.columns)
+    seen = Observation()
+    held = [F.count_if(F.col(layout) == value).alias(f"{layout}={value}") for value in sorted(touched)]
+    merged = staying.unionByName(new).observe(seen, *held)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         layout
     ).parquet(table.path(warehouse))
-    for value in touched - left:  # a partition that is written no row is left as it was
-        remove(spark, f"{table.path(warehouse)}/{layout}={value}")
+    for folder, rows in seen.get.items():
+        if rows == 0:  # a partition that is written no row is left as it was
+            remove(spark, f"{table.path(warehouse)}/{folder}")
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -14,6 +14,7 @@ from tamiz.plans import statements, transactions
 from tamiz.plans.interest import InterestConfig
 from tamiz.plans.jobs import run_job
 from tamiz.plans.transactions import TransactionsConfig
+from tamiz.session import Scratch
 from tamiz.sources import tables
 
 JAN_10 = datetime.date(2024, 1, 10)
@@ -317,6 +318,22 @@ def test_annual_statements(spark, tmp_path):
     assert (counters["leidos"], counters["escritos"], counters["total_saltados"]) == (12, 11, 1)
 
 
+def test_annual_statements_write_kept_movements_and_their_summary_once(spark, tmp_path, monkeypatch):
+    """Between lines and tables nothing is written but the rejected rows."""
+    staged = {}
+    real = Scratch.stage
+
+    def stage(self, frame, name, *options):
+        found = real(self, frame, name, *options)
+        staged[name] = found.count()
+        return found
+
+    monkeypatch.setattr(Scratch, "stage", stage)
+    source = write_text(tmp_path / "m.csv", MOVEMENTS)
+    run_job(spark, v.ANNUAL_STATEMENT_JOB, source, str(tmp_path / "tablas"), "r1")
+    assert staged == {"lines": 13, "rejected": 1}
+
+
 def test_an_empty_file_is_a_run_without_rows(spark, tmp_path):
     warehouse = str(tmp_path / "tablas")
     for job, feed in (
