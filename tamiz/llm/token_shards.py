@@ -21,6 +21,7 @@ special strings, and files with other rules, are encoded whole.
 
 from __future__ import annotations
 
+import codecs
 import json
 import math
 import os
@@ -55,7 +56,12 @@ BATCH_BYTES = 4 << 20
 _SPACED = re.compile(r" \s")
 _CUT = re.compile(r"(?= \S)")
 #: Latin letters, and the rest of a word if an ASCII sign that is no letter follows them.
-_LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([\x00-@\\[-`{-\x7f].*)", re.DOTALL)
+_LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++)([\x00-@\\[-`{-\x7f].*)?", re.DOTALL)
+#: What a byte-level vocabulary calls the bytes of letters and of the space before them; lines stay lines.
+_BYTE_NAMES = "".join(
+    chr(byte + 0x100 if byte <= 0x20 else byte + 0xA2 if 0x7F <= byte <= 0xA0 else 0x143 if byte == 0xAD else byte)
+    for byte in range(256)
+).replace("\u010a", "\n")
 _CATALOG = "task int, shard int, file string, documents bigint, tokens bigint, bytes bigint"
 
 
@@ -100,18 +106,20 @@ class LibraryEncoder:
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         spec = json.loads(spec)
-        split = spec.get("pre_tokenizer") or {}
+        split, model, added = spec.get("pre_tokenizer") or {}, spec["model"], spec.get("added_tokens") or []
         self._by_words = (
-            split.get("type") == "ByteLevel"
+            model.get("type") == "BPE"
+            and not model.get("dropout")
+            and split.get("type") == "ByteLevel"
             and split.get("use_regex", True)
             and not split.get("add_prefix_space")
             and not spec.get("normalizer")
-            and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
-            and not any(re.search(r"\s", t["content"]) for t in spec["added_tokens"])
+            and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)
+            and not any(re.search(r"\s", t["content"]) for t in added)
         )
-        self._special = [t["content"] for t in spec["added_tokens"]]
-        # Byte-level tokens have a character for each byte.
-        vocabulary = spec["model"]["vocab"]
+        self._special = [t["content"] for t in added]
+        # Byte-level tokens have a character for each byte; other files are not read by words.
+        vocabulary = model["vocab"] if self._by_words else {}
         self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self._bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self._forget()
@@ -167,6 +175,17 @@ class LibraryEncoder:
         counts = np.array([len(ids) for ids in found], np.int64)
         return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
 
+    def _letter_lists(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only that follow a space: the split leaves them whole,
+        so the library's model takes them as they are, which spares the split."""
+        named, _ = codecs.charmap_decode((" " + "\n ".join(words)).encode(), "strict", _BYTE_NAMES)
+        tokenize, ids, counts = self._tokenizer.model.tokenize, [], []
+        for word in named.split("\n"):
+            found = [token.id for token in tokenize(word)]
+            ids += found
+            counts.append(len(found))
+        return np.array(ids, np.uint32), np.array(counts, np.int64)
+
     def _joined_lists(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for what follows spaces: encoded as one text, which is cut before
         every word anyway, and told apart by the bytes that tokens stand for."""
@@ -200,15 +219,26 @@ class LibraryEncoder:
         """Encodes what is new.  Letters that a sign follows are cut there in any case, so such
         words are put together of their letters and the rest, which are met more often."""
         words = self._rest.new
-        cut = [(at, *found.groups()) for at, found in enumerate(map(_LETTERS.match, words)) if found]
-        compound = np.array([at for at, _, _ in cut], np.int64)
-        heads = np.array([self._rest[head] for _, head, _ in cut], np.int64)  # may be new words themselves
-        tails = np.array([self._first[tail] for _, _, tail in cut], np.int64)
+        compound, heads, tails, other = (array("q") for _ in range(4))
+        for at, found in enumerate(map(_LETTERS.fullmatch, words.copy())):
+            if not found:
+                other.append(at)
+            elif found[2]:
+                compound.append(at)
+                heads.append(self._rest[found[1]])  # may be a new word itself
+                tails.append(self._first[found[2]])
+        compound, heads, tails, other = (np.array(part) for part in (compound, heads, tails, other))
         self._remember(self._first, *self._in_parts(self._first.new, self._lists))
-        whole = np.ones(len(words), bool)
-        whole[compound] = False
-        simple, counts = self._in_parts([word for word, one in zip(words, whole) if one], self._joined_lists)
-        if not len(cut):
+        whole, letters = np.ones((2, len(words)), bool)
+        whole[compound] = letters[compound] = letters[other] = False
+        simple, counts = self._in_parts([word for word, one in zip(words, letters) if one], self._letter_lists)
+        if len(other):
+            others, other_counts = self._in_parts([words[at] for at in other.tolist()], self._joined_lists)
+            place = np.argsort(np.concatenate([np.flatnonzero(letters), other]))
+            counts = np.concatenate([counts, other_counts])
+            simple = np.concatenate([simple, others])[_stretches((np.cumsum(counts) - counts)[place], counts[place])]
+            counts = counts[place]
+        if not len(compound):
             return self._remember(self._rest, simple, counts)
         (known, ends), (first_known, first_ends) = self._held(self._rest), self._held(self._first)
         old = len(ends) - 1
@@ -264,7 +294,7 @@ class LibraryEncoder:
 _loaded: dict[int, LibraryEncoder] = {}
 
 
-def _encoder(spec: str) -> LibraryEncoder:
+def encoder_of(spec: str) -> LibraryEncoder:
     """The encoder of a file, kept by a worker until it needs another one."""
     if hash(spec) not in _loaded:
         _loaded.clear()
@@ -308,7 +338,7 @@ def _written(file, folder: str, end_id: int | None, shard_tokens: int) -> Callab
     """Writes the documents of a task, which come in order; one row a file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = _encoder(file.value), TaskContext.get().partitionId()
+        encoder, task = encoder_of(file.value), TaskContext.get().partitionId()
         files, path = _file_system(folder)
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         size, shard = 0, 0

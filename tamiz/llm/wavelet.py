@@ -33,7 +33,7 @@ MAGIC = b"TAMIZWM1"
 #: Bits of a plane in one block.
 BLOCK_BITS = 1 << 17
 #: Ids sorted together.
-STRETCH = 1 << 17
+STRETCH = 1 << 15
 _TAIL_BYTES = len(MAGIC) + 4
 
 
@@ -48,7 +48,9 @@ def _sorted_by(ids: np.ndarray, ones: np.ndarray, zeros: int) -> np.ndarray:
     for begin in range(0, len(ids), STRETCH):
         here, bits = ids[begin : begin + STRETCH], ones[begin : begin + STRETCH]
         up, down = np.flatnonzero(bits), np.flatnonzero(~bits)
-        out[low : low + len(down)], out[high : high + len(up)] = here[down], here[up]
+        # The places are all there: "clip" only spares a copy.
+        here.take(down, out=out[low : low + len(down)], mode="clip")
+        here.take(up, out=out[high : high + len(up)], mode="clip")
         low, high = low + len(down), high + len(up)
     return out
 
