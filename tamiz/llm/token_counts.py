@@ -11,57 +11,49 @@ touched unless the caller passes an expression that the tokenizer ignores.
 
 Copies are found on digests.  A text itself is shuffled only if it is the first
 of its content and not in the cache, once, and spread by its own row number.
+
+Missing contents are encoded by the encoder of ``token_shards``: the library sees
+each word once in a while, not at each of its places, where the tokenizer file
+allows to tell words apart exactly, and the whole text elsewhere.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tamiz.llm.bpe import read_file
 from tamiz.llm.frames import broadcast_if_small, scratch_of
+from tamiz.llm.token_shards import SLICE_CHARS, encoder_of
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens bigint"
 #: Largest table of missing digests that is sent to the texts; beyond it they are
 #: joined by shuffle.
 DIGEST_BYTES = 24 << 20
-#: Characters handed to the tokenizer at once.
-BATCH_CHARS = 1 << 20
-
-_loaded: dict[int, object] = {}
 
 
 def _counted(file) -> Callable:
-    """(content, n_tokens) with the library's own tokenizer, nothing added or cut off."""
+    """(content, n_tokens) as the library's own tokenizer counts them, nothing added or cut off."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks
-        from tokenizers import Tokenizer
-
-        text = file.value
-        if hash(text) not in _loaded:
-            _loaded.clear()
-            tokenizer = Tokenizer.from_str(text)
-            tokenizer.no_truncation()
-            tokenizer.no_padding()
-            _loaded[hash(text)] = tokenizer
-        tokenizer = _loaded[hash(text)]
+        encoder = encoder_of(file.value)
         for batch in batches:
             counts, held, size = [], [], 0
-            for content in batch.column("text").to_pylist():
-                held.append(content or "")
+            for text in batch.column("text"):
+                held.append(text.as_py() or "")
                 size += len(held[-1])
-                if size >= BATCH_CHARS:
-                    counts += [len(e) for e in tokenizer.encode_batch_fast(held, add_special_tokens=False)]
+                if size >= SLICE_CHARS:
+                    counts.append(encoder.encode(held)[1])
                     held, size = [], 0
-            counts += [len(e) for e in tokenizer.encode_batch_fast(held, add_special_tokens=False)]
+            counts.append(encoder.encode(held)[1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("content"), pa.array(counts, pa.int64())], ["content", "n_tokens"]
+                [batch.column("content"), pa.array(np.concatenate(counts))], ["content", "n_tokens"]
             )
+        pa.default_memory_pool().release_unused()
 
     return run
 

@@ -3,6 +3,7 @@
 import random
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("tamiz.llm")
@@ -10,7 +11,7 @@ pytest.importorskip("public_tokenizers")
 
 from tokenizers import Tokenizer, models, pre_tokenizers  # noqa: E402
 
-from tamiz.llm import token_shards as ts  # noqa: E402
+from tamiz.llm import token_counts, token_shards as ts  # noqa: E402
 from tamiz.llm.queries import BYTE_BPE  # noqa: E402
 
 
@@ -38,6 +39,21 @@ def corpus(seed):
     return [" ".join(rng.choice(words) + rng.choice(signs) for _ in range(200)) for _ in range(60)]
 
 
+def test_token_counts_give_the_library_each_word_once(monkeypatch):
+    with open(BYTE_BPE, encoding="utf-8") as file:
+        spec = file.read()
+    texts = corpus(5) + ["", None, "one <|endoftext|> two", "  x  "]
+    monkeypatch.setattr(ts, "_loaded", {})
+    watched = Watched(ts.encoder_of(spec)._tokenizer)
+    ts.encoder_of(spec)._tokenizer = watched
+    batch = pa.RecordBatch.from_arrays([pa.array([b"%d" % n for n in range(len(texts))]), pa.array(texts)], ["content", "text"])
+    found = pa.Table.from_batches(token_counts._counted(SimpleNamespace(value=spec))(iter([batch])))
+    library = Tokenizer.from_str(spec)
+    assert found["n_tokens"].to_pylist() == [len(library.encode(t or "", add_special_tokens=False)) for t in texts]
+    assert found["content"].to_pylist() == batch.column("content").to_pylist()
+    assert 0 < watched.chars < sum(len(t or "") for t in texts) / 5
+
+
 def test_words_of_letters_go_to_the_model_without_a_split():
     with open(BYTE_BPE, encoding="utf-8") as file:
         spec = file.read()
