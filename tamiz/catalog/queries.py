@@ -34,7 +34,7 @@ from tamiz.operators.rules import REJECT_REASON, REJECTED, split
 from tamiz.operators.slices import slice_feed, slice_of, slice_table
 from tamiz.plans import interest, statements, transactions
 from tamiz.plans.jobs import JobResult, run_job
-from tamiz.session import Scratch
+from tamiz.session import Scratch, balanced_scans
 from tamiz.sources import delimited, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,10 +374,12 @@ LINES_A_FILE = 1_000_000
 
 def _written_feed(spark: SparkSession, feed: DataFrame, fields: tuple[str, ...], *order) -> str:
     """The feed as delimited files with a header, in feed order where the job goes by it.
-    They are compressed, and short enough for each to be one task's work."""
+    They are compressed, which is done fast, and short enough for each to be one task's work."""
     path = Scratch(spark).path("feed")
     lines = (feed.orderBy(*order) if order else feed).select(*fields)
-    lines.write.options(header=True, compression="gzip", maxRecordsPerFile=LINES_A_FILE).csv(path)
+    compressed = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    with balanced_scans(spark):
+        lines.write.options(header=True, maxRecordsPerFile=LINES_A_FILE, **compressed).csv(path)
     return path
 
 

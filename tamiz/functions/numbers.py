@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 AMOUNT = "decimal(38,18)"
 MONEY = "decimal(15,2)"
@@ -15,7 +15,10 @@ BALANCE = "decimal(31,18)"
 _WHOLE = r"\A[+-]?[0-9]+\z"
 _NUMBER = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 _NOT_ZERO = r"\A[^eE]*[1-9]"
-_PARTS = r"\A[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?\z"
+# All of a number but the digits of its mantissa, without zeros in front; the last zero stays.
+_NO_DIGITS = r"\A[+-]?[0.]*(?=[0-9])|[eE].*\z|[^0-9]"
+_FRACTION = r"\.([0-9]*)"
+_EXPONENT = r"[eE]([+-]?[0-9]+)"
 #: A plain number below one has at most this many zeros before its first digit, the one
 #: before the point included.
 _MOST_ZEROS = 6
@@ -33,7 +36,12 @@ def is_negative(text: Column) -> Column:
 
 def is_positive(text: Column) -> Column:
     """Whether a number is above zero, judged on all its digits; false for other text."""
-    return is_number(text) & ~text.startswith("-") & text.rlike(_NOT_ZERO)
+    return is_number(text) & is_above_zero(text)
+
+
+def is_above_zero(number: Column) -> Column:
+    """``is_positive`` of a text that is known to be a number."""
+    return ~number.startswith("-") & number.rlike(_NOT_ZERO)
 
 
 def _storable(text: Column) -> Column:
@@ -44,13 +52,14 @@ def _storable(text: Column) -> Column:
     ).otherwise(text)
 
 
-def decimal_or_null(text: Column) -> Column:
-    """Amount of a row that is stored, or NULL when the text is not a number.
+def decimal_or_null(text: Column, number: Column | None = None) -> Column:
+    """Amount of a row that is stored, or NULL when the text is not a number; ``number``
+    tells whether it is, where that is a column already.
 
     A number too large for any money column is not "missing": the guarded ANSI
     cast raises on it, so it can never be filed as one more anomalous row.
     """
-    return F.when(is_number(text), _storable(text).cast(AMOUNT))
+    return F.when(is_number(text) if number is None else number, _storable(text).cast(AMOUNT))
 
 
 def decimal_if_it_fits(text: Column) -> Column:
@@ -84,6 +93,37 @@ def to_money(amount: Column) -> Column:
     return amount.cast(MONEY)
 
 
+def _digits(number: Column) -> Column:
+    """All digits before the exponent, without zeros in front."""
+    return F.regexp_replace(number, _NO_DIGITS, "")
+
+
+def _scale(number: Column) -> Column:
+    """The digits after the point less the exponent; NULL if no ``int`` holds that."""
+    # The first exponent counts: its own, or the 0 of a number that has none.
+    exponent = F.regexp_extract(F.concat(number, F.lit("e0")), _EXPONENT, 1).try_cast("int")
+    return F.length(F.regexp_extract(number, _FRACTION, 1)) - exponent.cast("bigint")
+
+
+def _behind_point(digits: Column, scale: Column) -> Column:
+    """How many of the digits are printed behind the point: all but the first, if it
+    takes an exponent to print the number."""
+    first = F.length(digits) - 1
+    return F.when((scale < 0) | (first - scale < -_MOST_ZEROS), first).otherwise(scale).cast("int")
+
+
+def _padded(digits: Column, behind: Column) -> Column:
+    return F.lpad(digits, F.greatest(F.length(digits), behind + 1), F.lit("0"))
+
+
+def _printed(number: Column, digits: Column, scale: Column, behind: Column, padded: Column) -> Column:
+    # No point is left behind a whole number.
+    pointed = F.rtrim(F.overlay(padded, F.lit("."), F.length(padded) - behind + 1, F.lit(0)), F.lit("."))
+    exponent = F.when(behind == scale, F.lit("")).otherwise(F.format_string("E%+d", F.length(digits) - 1 - scale))
+    minus = F.when(number.startswith("-") & (digits != "0"), F.lit("-")).otherwise(F.lit(""))
+    return F.coalesce(F.concat(minus, pointed, exponent), number)
+
+
 def number_text(text: Column) -> Column:
     """A number as a message prints it: its digits without leading zeros, and a
     scale, the digits after the point less the exponent.  With a scale of 0 the
@@ -92,28 +132,22 @@ def number_text(text: Column) -> Column:
     one digit, the others behind the point, and an exponent (``1E+2``, ``0E-7``).
     Other text, and an exponent that no ``int`` holds, pass through as written.
     """
-    whole, fraction = (F.regexp_extract(text, _PARTS, group) for group in (1, 2))
-    written = F.regexp_extract(text, _PARTS, 3)
-    exponent = F.when(written == "", F.lit(0)).otherwise(written.try_cast("int")).cast("bigint")
-    digits = F.ltrim(F.concat(whole, fraction), F.lit("0"))
-    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
-    scale = F.length(fraction) - exponent
-    power = F.length(digits) - 1 - scale
-    # At most one zero before the point and six after it are missing.
-    missing = F.least(F.greatest(scale + 1 - F.length(digits), F.lit(0)), F.lit(_MOST_ZEROS + 1)).cast("int")
-    padded = F.concat(F.repeat(F.lit("0"), missing), digits)
-    before = F.length(padded) - F.least(scale, F.lit(1 << 30)).cast("int")
-    pointed = F.concat(F.substring(padded, F.lit(1), before), F.lit("."), F.substring(padded, before + 1, F.length(padded)))
-    rest = F.substring(digits, F.lit(2), F.length(digits))
-    mantissa = F.concat(F.substring(digits, 1, 1), F.when(rest == "", rest).otherwise(F.concat(F.lit("."), rest)))
-    sign = F.when(power < 0, F.lit("")).otherwise(F.lit("+"))
-    printed = (
-        F.when(scale == 0, digits)
-        .when((scale > 0) & (power >= -_MOST_ZEROS), pointed)
-        .otherwise(F.concat(mantissa, F.lit("E"), sign, power.cast("string")))
-    )
-    minus = F.when(text.startswith("-") & (digits != "0"), F.lit("-")).otherwise(F.lit(""))
-    return F.when(is_number(text) & exponent.isNotNull(), F.concat(minus, printed)).otherwise(text)
+    digits, scale = _digits(text), _scale(text)
+    behind = _behind_point(digits, scale)
+    return F.when(is_number(text), _printed(text, digits, scale, behind, _padded(digits, behind))).otherwise(text)
+
+
+def with_number_text(rows: DataFrame, name: str, number: Column) -> DataFrame:
+    """``rows`` with ``number_text`` of ``number``, which is a number or NULL, as column
+    ``name``.  Each step is a column of its own: as one expression, which
+    repeats them, the generated code is too long for the JVM to compile."""
+    steps = [f"__{name}_{step}" for step in ("number", "digits", "scale", "behind", "padded")]
+    number_, digits, scale, behind, padded = map(F.col, steps)
+    rows_ = rows.select("*", number.alias(steps[0]))
+    rows_ = rows_.select("*", _digits(number_).alias(steps[1]), _scale(number_).alias(steps[2]))
+    rows_ = rows_.select("*", _behind_point(digits, scale).alias(steps[3]))
+    rows_ = rows_.select("*", _padded(digits, behind).alias(steps[4]))
+    return rows_.select(*rows.columns, _printed(number_, digits, scale, behind, padded).alias(name))
 
 
 def rate_for(category: Column, rates: dict[str, str]) -> Column:

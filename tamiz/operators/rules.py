@@ -59,9 +59,10 @@ def any_holds(rules: Sequence[Rule]) -> Column:
 
 def all_messages(rules: Sequence[Rule]) -> Column:
     """Messages of every rule that holds, in rule order; NULL if none does
-    (``concat_ws`` skips the NULL of a rule that does not hold)."""
+    (``concat_ws`` skips the NULL of a rule that does not hold).  The texts are
+    named once: code that is generated twice may be too long to be compiled."""
     found = [F.when(rule.holds, rule.message) for rule in rules]
-    return F.nullif(F.concat_ws(v.NOTE_SEPARATOR, *found), F.lit(""))
+    return F.when(any_holds(rules), F.concat_ws(v.NOTE_SEPARATOR, *found))
 
 
 def first_reason(rejects: Sequence[Reject]) -> Column:

@@ -18,7 +18,7 @@ from tamiz.operators.quality import StepReport, enforce_gate, reject_log, reject
 from tamiz.operators.rules import REJECT_REASON, REJECTED, split
 from tamiz.operators.slices import slice_of_index
 from tamiz.plans import interest, statements, transactions
-from tamiz.session import Scratch
+from tamiz.session import Scratch, balanced_scans
 from tamiz.sources import delimited, parts, tables
 
 
@@ -54,11 +54,15 @@ def _write_rejects(warehouse: str, run_id: str, config: Any, *logs: DataFrame) -
     return seen.get
 
 
-def _write_detail(detail: DataFrame, warehouse: str, table: tables.Table, run_id: str) -> dict[str, int]:
-    """Writes a run's rows of the detail table; returns how many."""
-    seen = Observation()
-    detail = _with_provenance(detail).observe(seen, F.count(F.lit(1)).alias("escritos"))
-    tables.write_run(detail, warehouse, table, run_id=run_id)
+def _write_detail(
+    detail: DataFrame, warehouse: str, table: tables.Table, run_id: str, seen: Observation | None = None
+) -> dict[str, int]:
+    """Writes a run's rows of the detail table; returns how many, by ``seen`` if that
+    observes them already."""
+    if seen is None:
+        seen = Observation()
+        detail = detail.observe(seen, F.count(F.lit(1)).alias("escritos"))
+    tables.write_run(_with_provenance(detail), warehouse, table, run_id=run_id)
     return seen.get
 
 
@@ -80,14 +84,12 @@ def _stage_classified(
 def _stage_rejected(
     scratch: Scratch, classified: DataFrame, config: Any
 ) -> tuple[DataFrame, dict[str, int]]:
-    """The rejected rows as they were read, with the reason, written once; and counts taken
-    by that pass, which works out no more than the outcome of the others."""
+    """The rejected rows as they were read, with the reason, written once; and their number.
+    They are counted behind the filter, so of other rows only what it tests is worked out."""
     seen = Observation()
-    observed = classified.observe(
-        seen, F.count(F.lit(1)).alias("leidos"), F.count_if(REJECTED).alias("saltados_proceso")
-    )
-    rejected = observed.where(REJECTED).select(*config.fields, delimited.SEQ, REJECT_REASON)
-    return scratch.stage(rejected, "rejected"), seen.get
+    rejected = classified.where(REJECTED).select(*config.fields, delimited.SEQ, REJECT_REASON)
+    counted = rejected.observe(seen, F.count(F.lit(1)).alias("saltados_proceso"))
+    return scratch.stage(counted, "rejected"), seen.get
 
 
 def _check_gate(rejected: DataFrame, total: int, config: Any) -> None:
@@ -176,13 +178,21 @@ def annual_statements(
     with steps.step(config.step_name) as counts:
         lines, total = delimited.stage_lines(scratch, source, config.fields)
         classified = statements.classify_movements(delimited.readable(lines))
-        rejected, seen = _stage_rejected(scratch, classified, config)
-        counts |= seen
-        item = render_row(v.MOVEMENT_LABEL, v.MOVEMENT_PRINT_FIELDS)
-        counts |= _log_and_check(lines, total, rejected, item, warehouse, run_id, config)
-        kept, _ = split(classified)
-        detail = statements.movement_detail(kept, config)
-        counts |= _write_detail(detail, warehouse, tables.MOVEMENTS, run_id)
+        try:
+            rejected, skipped = _stage_rejected(scratch, classified, config)
+            counts |= skipped
+            item = render_row(v.MOVEMENT_LABEL, v.MOVEMENT_PRINT_FIELDS)
+            counts |= _log_and_check(lines, total, rejected, item, warehouse, run_id, config)
+            kept, _ = split(classified)
+            seen = Observation()
+            detail = statements.movement_detail(kept, config, seen)
+            counts |= _write_detail(detail, warehouse, tables.MOVEMENTS, run_id, seen)
+        except Exception:
+            # The log of a run that fails has it, too.
+            counts["leidos"] = delimited.readable(lines).count()
+            raise
+        # Every row that was read is kept or rejected.
+        counts["leidos"] = counts["escritos"] + counts["saltados_proceso"]
 
     detail = tables.read_table(spark, warehouse, tables.MOVEMENTS)
     with steps.step(v.STATEMENT_SUMMARY_STEP):
@@ -239,7 +249,7 @@ def run_job(
     options = {} if config is None else {"config": config}
     started = time.monotonic()
     steps = StepReport(name)
-    with Scratch(spark) as scratch:
+    with Scratch(spark) as scratch, balanced_scans(spark):
         detail, summary = JOBS[name](scratch, steps, source, warehouse, run_id, **options)
     seconds = time.monotonic() - started
     return JobResult(name, run_id, seconds, steps.frame(spark), detail, summary)

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tamiz import vocabulary as v
 from tamiz.functions.dates import date_problem, flexible_date
 from tamiz.functions.numbers import (
     decimal_or_null,
+    is_above_zero,
     is_number,
-    is_positive,
     long_or_null,
-    number_text,
     outflow,
     to_money,
+    with_number_text,
 )
 from tamiz.functions.text import clean, is_blank, message, normalise
 from tamiz.operators.rules import (
@@ -39,6 +39,7 @@ DETAIL_COLUMNS = (
     "estado",
     "motivo",
 )
+HAS_AMOUNT, PRINTED_AMOUNT = "monto_valido", "monto_impreso"
 
 
 @dataclass(frozen=True)
@@ -57,10 +58,10 @@ def parse_movements(feed: DataFrame) -> DataFrame:
     column of the feed (its sequence, say) is carried along."""
     carried = [name for name in feed.columns if name not in v.MOVEMENT_FIELDS]
     texts = feed.select(*carried, *[clean(F.col(name)).alias(name) for name in v.MOVEMENT_FIELDS])
-    return texts.select(
+    return texts.withColumn(HAS_AMOUNT, is_number(F.col("monto"))).select(
         "*",
         flexible_date(F.col("fecha")).alias("fecha_leida"),
-        decimal_or_null(F.col("monto")).alias("importe"),
+        decimal_or_null(F.col("monto"), F.col(HAS_AMOUNT)).alias("importe"),
         normalise(F.col("transaccion")).alias("tipo_transaccion"),
     )
 
@@ -69,7 +70,7 @@ def movement_rejects() -> list[Reject]:
     # On the text: a filter by this rule is pushed down without the conversion.
     return [
         Reject(
-            ~is_number(F.col("monto")),
+            ~F.col(HAS_AMOUNT),
             message(v.MSG_MOVEMENT_AMOUNT_MISSING, F.col("cuenta_id")),
             v.BAD_AMOUNT,
         )
@@ -77,13 +78,16 @@ def movement_rejects() -> list[Reject]:
 
 
 def movement_issues(known_types=v.MOVEMENT_TYPES) -> list[Rule]:
+    """The message of the last one prints column ``PRINTED_AMOUNT``."""
     kind, date = F.col("tipo_transaccion"), F.col("fecha_leida")
+    amount = F.col("monto")
+    not_positive = F.col(HAS_AMOUNT) & ~is_above_zero(amount)
     return [
         Rule(date.isNull(), date_problem(F.col("fecha"))),
         Rule(not_in(kind, known_types), message(v.MSG_MOVEMENT_TYPE, F.col("transaccion"))),
         Rule(
-            kind.isin(*v.DEPOSIT_TYPES) & is_number(F.col("monto")) & ~is_positive(F.col("monto")),
-            message(v.MSG_DEPOSIT_NOT_POSITIVE, number_text(F.col("monto"))),
+            kind.isin(*v.DEPOSIT_TYPES) & not_positive,
+            message(v.MSG_DEPOSIT_NOT_POSITIVE, F.col(PRINTED_AMOUNT)),
         ),
     ]
 
@@ -99,8 +103,9 @@ def signed_amount(kind: Column, amount: Column) -> Column:
 
 def movement_corrections() -> list[Rule]:
     kind = F.col("tipo_transaccion")
+    positive = F.col(HAS_AMOUNT) & is_above_zero(F.col("monto"))
     return [
-        Rule(is_outflow(kind) & is_positive(F.col("monto")), message(v.MSG_SIGN_FIXED, kind)),
+        Rule(is_outflow(kind) & positive, message(v.MSG_SIGN_FIXED, kind)),
         Rule(is_blank(F.col("descripcion")), F.lit(v.MSG_DESCRIPTION_DEFAULTED)),
     ]
 
@@ -114,21 +119,31 @@ def classify_movements(feed: DataFrame) -> DataFrame:
     return with_outcome(parse_movements(feed), movement_rejects())
 
 
-def movement_detail(kept: DataFrame, config: StatementsConfig = StatementsConfig()) -> DataFrame:
-    """Kept movements with status; an anomaly's note hides its corrections."""
+def movement_detail(
+    kept: DataFrame, config: StatementsConfig = StatementsConfig(), seen: Observation | None = None
+) -> DataFrame:
+    """Kept movements with status; an anomaly's note hides its corrections.  ``seen``, if
+    given, takes their number as ``escritos`` and nothing is carried: it counts halfway, which parts the generated
+    code, so that neither half is too long for the JVM to compile."""
     known = movement_issues(config.known_types)
     rows, rules = judged(kept, [*known, *movement_corrections()])
     issues, corrections = rules[: len(known)], rules[len(known) :]
+    no_description = corrections[-1]
+    rows = with_number_text(rows, PRINTED_AMOUNT, F.when(issues[-1].holds, F.col("monto")))
     kind = F.col("tipo_transaccion")
-    parsed = {*v.MOVEMENT_FIELDS, "fecha_leida", "importe", "tipo_transaccion"}
+    parsed = {*v.MOVEMENT_FIELDS, HAS_AMOUNT, "fecha_leida", "importe", "tipo_transaccion"}
     carried = [name for name in kept.columns if name not in parsed | {REJECTED, REJECT_REASON}]
+    rows = rows.withColumn("monto", to_money(signed_amount(kind, F.col("importe"))))
+    rows = rows.drop("importe", HAS_AMOUNT, REJECTED, REJECT_REASON)
+    if seen is not None:
+        rows, carried = rows.drop(*carried).observe(seen, F.count(F.lit(1)).alias("escritos")), []
     return rows.select(
         *carried,
         long_or_null(F.col("cuenta_id")).alias("cuenta_id"),
         F.col("fecha_leida").alias("fecha"),
         "tipo_transaccion",
-        to_money(signed_amount(kind, F.col("importe"))).alias("monto"),
-        default_text(F.col("descripcion"), config.default_description).alias("descripcion"),
+        "monto",
+        F.when(no_description.holds, config.default_description).otherwise(F.col("descripcion")).alias("descripcion"),
         F.when(any_holds(issues), v.ANOMALY)
         .when(any_holds(corrections), v.CORRECTED)
         .otherwise(v.VALID)

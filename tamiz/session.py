@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +38,24 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+SCAN_TASKS, TASKS_A_CORE = "spark.sql.files.minPartitionNum", 4
+
+
+@contextmanager
+def balanced_scans(spark: SparkSession) -> Iterator[None]:
+    """Scans have several tasks a core meanwhile, unless the session says how many at
+    least.  Tables here hold a row in a few bytes: divided by their size alone, they
+    make fewer tasks than it takes to keep all cores busy to the end."""
+    given = spark.conf.get(SCAN_TASKS, None)
+    if given is None:
+        spark.conf.set(SCAN_TASKS, str(TASKS_A_CORE * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if given is None:
+            spark.conf.unset(SCAN_TASKS)
+
+
 class Scratch:
     """A folder of its own under the shared one, for the large intermediate
     tables of one run.  As a context manager it removes the folder at the end,
@@ -54,7 +74,8 @@ class Scratch:
         """``frame`` written as a table and read back, so later readers prune
         columns and partitions instead of recomputing it."""
         path = self.path(f"{name}-{uuid.uuid4().hex[:8]}")
-        frame.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+        with balanced_scans(self.spark):
+            frame.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def __enter__(self) -> Scratch:

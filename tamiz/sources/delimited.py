@@ -25,6 +25,25 @@ def split_fields(line: Column) -> Column:
     quotes, wherever they stand; a quote that is never closed reaches to the end.
     A field within quotes loses them, and pairs of quotes in it become one; an empty
     field is null."""
+    return F.transform(_split(line, _bare(line)), lambda field: F.nullif(field, F.lit("")))
+
+
+def _bare(line: Column) -> Column:
+    """The line with empty fields instead of those that are a pair of quotes.  Such fields
+    next to each other share a comma, so every other one goes first."""
+    pair, bare = F.lit(f",{_QUOTE * 2},"), F.concat(F.lit(","), line, F.lit(","))
+    for _ in range(2):
+        bare = F.replace(bare, pair, F.lit(",,"))
+    return F.when(F.contains(line, F.lit(_QUOTE)), F.substring(bare, F.lit(2), F.length(bare) - 2)).otherwise(line)
+
+
+def _split(line: Column, bare: Column) -> Column:
+    """The fields with empty ones as they are.  Where ``_bare`` left no quote, every
+    comma is a border: the quotes before it came in pairs."""
+    return F.when(F.contains(bare, F.lit(_QUOTE)), _split_quoted(line)).otherwise(F.split(bare, ","))
+
+
+def _split_quoted(line: Column) -> Column:
     # What stands between two quotes is inside or outside of them by turns.  No
     # line holds a line feed, which so can mark the borders.
     outside = lambda part, place: F.when(place % 2 == 0, F.replace(part, F.lit(","), F.lit(_BORDER))).otherwise(part)
@@ -36,8 +55,7 @@ def _unquoted(field: Column) -> Column:
     text = F.trim(field)
     single = F.replace(text, F.lit(_QUOTE * 2), F.lit(_QUOTE))
     inner = F.substring(single, F.lit(2), F.greatest(F.length(single) - 2, F.lit(0)))
-    bare = F.when(text.startswith(_QUOTE) & text.endswith(_QUOTE), inner).otherwise(field)
-    return F.nullif(bare, F.lit(""))
+    return F.when(text.startswith(_QUOTE) & text.endswith(_QUOTE), inner).otherwise(field)
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -53,14 +71,15 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], fields: Sequence[
     return (
         spark.read.text([path] if isinstance(path, str) else list(path))
         .select(
-            split_fields(F.col("value")).alias("parsed"),
             "value",
+            _bare(F.col("value")).alias("bare"),
             F.col("_metadata.file_path").alias(FILE),
             F.col("_metadata.file_block_start").alias(BLOCK),
             F.monotonically_increasing_id().alias(POSITION),
         )
+        .select("*", _split(F.col("value"), F.col("bare")).alias("parsed"))
         .select(
-            *[F.get("parsed", F.lit(place)).alias(name) for place, name in enumerate(fields)],
+            *[F.nullif(F.get("parsed", F.lit(place)), F.lit("")).alias(name) for place, name in enumerate(fields)],
             F.when(ragged, F.col("value")).alias(MALFORMED),
             F.col("value").startswith(_COMMENT_MARK).alias(COMMENT),
             FILE,

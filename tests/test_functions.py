@@ -211,6 +211,20 @@ def test_number_text_equals_decimal_numbers(spark):
     assert [x for (x,) in in_order(rows, "x")] == expected
 
 
+def test_number_text_bound_to_columns(spark):
+    """Step by step it is the same, for rows that have a number to print."""
+    texts = [
+        "-5", "+5", "00", "-0.00", "-007.10", "-.5", "5.", "0.000", "0.0000000", "0.000000", "1e2", "-12.5e3",
+        "12.5E1", "0e5", "-0e-3", "0.0000012", "0.00000012", "100e-8", "1e99999999999", "-1e-2147483647",
+    ]
+    rows = text_rows(spark, texts)
+    stepwise = num.with_number_text(rows, "x", text())
+    assert stepwise.columns == ["n", "texto", "x"]
+    assert in_order(stepwise, "x") == in_order(rows.withColumn("x", num.number_text(text())), "x")
+    some = num.with_number_text(rows, "x", F.when(F.col("n") < 2, text()))
+    assert [x for (x,) in in_order(some, "x")] == ["-5", "5"] + [None] * (len(texts) - 2)
+
+
 def test_clamp_keeps_range_and_defaults_to_minimum(spark):
     rows = spark.createDataFrame([(0, 17), (1, 18), (2, 90), (3, 91), (4, None)], "n int, x int")
     clamped = rows.withColumn("y", num.clamp(F.col("x"), 18, 90))

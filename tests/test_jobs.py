@@ -1,21 +1,23 @@
 """The three jobs on small hand-made files, every edge in one row each."""
 
 import datetime
+import logging
 from decimal import Decimal
 
 import pytest
-from conftest import write_text
+from conftest import physical_plan, write_text
+from pyspark.sql import Observation, functions as F
 
 from tamiz import vocabulary as v
 from tamiz.__main__ import main
 from tamiz.operators.quality import QualityGateError
 from tamiz.operators.rules import split
-from tamiz.plans import statements, transactions
+from tamiz.plans import jobs, statements, transactions
 from tamiz.plans.interest import InterestConfig
 from tamiz.plans.jobs import run_job
 from tamiz.plans.transactions import TransactionsConfig
-from tamiz.session import Scratch
-from tamiz.sources import tables
+from tamiz.session import SCAN_TASKS, Scratch
+from tamiz.sources import delimited, tables
 
 JAN_10 = datetime.date(2024, 1, 10)
 
@@ -334,6 +336,80 @@ def test_annual_statements_write_kept_movements_and_their_summary_once(spark, tm
     assert staged == {"lines": 13, "rejected": 1}
 
 
+def longest_generated_method(frame):
+    """Bytes of the longest method that Spark generates for a frame."""
+    spark = frame.sparkSession
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = frame.select("*")._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        code = debug.codegenStringSeq(plan)
+        return max(code.apply(place)._3().maxMethodCodeSize() for place in range(code.size()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_movements_are_judged_by_code_that_the_jvm_compiles(spark, tmp_path):
+    """It leaves methods of more than 8,000 bytes to its interpreter, which takes many times as long."""
+    lines, _ = delimited.stage_lines(
+        Scratch(spark), write_text(tmp_path / "m.csv", MOVEMENTS), v.MOVEMENT_FIELDS
+    )
+    kept, rejected = split(statements.classify_movements(delimited.readable(lines)))
+    assert longest_generated_method(rejected) < 8000
+    seen = Observation()
+    detail = jobs._with_provenance(statements.movement_detail(kept, seen=seen)).withColumn("run_id", F.lit("r"))
+    written = tables.conform(detail, tables.MOVEMENTS)
+    assert 3000 < longest_generated_method(written) < 7500
+    assert written.count() == seen.get["escritos"] == 11
+
+
+def test_rejected_movements_are_looked_for_before_anything_is_made_of_the_others(spark, tmp_path, monkeypatch):
+    staged = {}
+    real = Scratch.stage
+    monkeypatch.setattr(
+        Scratch, "stage", lambda self, frame, name: real(self, staged.setdefault(name, frame), name)
+    )
+    source = write_text(tmp_path / "m.csv", MOVEMENTS)
+    result = run_job(spark, v.ANNUAL_STATEMENT_JOB, source, str(tmp_path / "tablas"), "r1")
+    above, below = physical_plan(staged["rejected"]).split("CollectMetrics")
+    assert "RLIKE" in below.split("Join")[1] and "RLIKE" not in above
+    assert result.counters.first()["saltados_proceso"] == 1
+
+
+def test_a_run_that_fails_tells_how_many_movements_it_read(spark, tmp_path, caplog):
+    source = write_text(tmp_path / "m.csv", MOVEMENTS)
+    config = statements.StatementsConfig(reject_limit=0)
+    with caplog.at_level(logging.INFO, "tamiz.operators.quality"), pytest.raises(QualityGateError):
+        run_job(spark, v.ANNUAL_STATEMENT_JOB, source, str(tmp_path / "t"), "r1", config)
+    assert "'leidos': 12" in caplog.text and "'saltados_proceso': 1" in caplog.text
+    wide = write_text(tmp_path / "n.csv", [*MOVEMENTS, "201,2024-01-01,deposito,1e20,x"])
+    with caplog.at_level(logging.INFO, "tamiz.operators.quality"), pytest.raises(Exception, match="OUT_OF_RANGE"):
+        run_job(spark, v.ANNUAL_STATEMENT_JOB, wide, str(tmp_path / "u"), "r1")
+    assert "'leidos': 13" in caplog.text
+
+
+def test_jobs_deal_scans_into_several_tasks_a_core_and_leave_the_setting_alone(spark, tmp_path, monkeypatch):
+    found = []
+    real = tables.write_run
+
+    def write_run(frame, *place, **run):
+        found.append(spark.conf.get(SCAN_TASKS, None))
+        real(frame, *place, **run)
+
+    monkeypatch.setattr(tables, "write_run", write_run)
+    source = write_text(tmp_path / "m.csv", MOVEMENTS)
+    run_job(spark, v.ANNUAL_STATEMENT_JOB, source, str(tmp_path / "t"), "r1")
+    assert set(found) == {"32"} and spark.conf.get(SCAN_TASKS, None) is None
+    found.clear()
+    spark.conf.set(SCAN_TASKS, "3")
+    try:
+        run_job(spark, v.ANNUAL_STATEMENT_JOB, source, str(tmp_path / "t"), "r2")
+        assert set(found) == {"3"} and spark.conf.get(SCAN_TASKS) == "3"
+    finally:
+        spark.conf.unset(SCAN_TASKS)
+
+
 def test_an_empty_file_is_a_run_without_rows(spark, tmp_path):
     warehouse = str(tmp_path / "tablas")
     for job, feed in (
